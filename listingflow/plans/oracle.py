@@ -222,22 +222,56 @@ def derived(src: str) -> str:
 FROM {src}"""
 
 
-DEDUP = """dd AS (
-  SELECT * FROM raw
+def silver_ctes(suffix: str = "", where: str | None = None) -> list[str]:
+    """CTEs ``dd{suffix}`` (newest versions of the raw rows matching ``where``), ``c{suffix}``
+    (cleaned), ``sv{suffix}`` (means and flags) and ``silver{suffix}`` (final columns)."""
+    filt = f"WHERE {where}" if where else ""
+    return [
+        f"""dd{suffix} AS (
+  SELECT * FROM raw {filt}
   QUALIFY row_number() OVER (PARTITION BY Property_ID ORDER BY bronze_ingested_at DESC, row_seq DESC) = 1
-)"""
-
-SILVER_CTES = ",\n".join([
-    RAW, DEDUP,
-    f"c AS ({cleaned('dd')})",
-    f"sv AS ({derived('c')})",
-    f"""silver AS (
+)""",
+        f"c{suffix} AS ({cleaned('dd' + suffix)})",
+        f"sv{suffix} AS ({derived('c' + suffix)})",
+        f"""silver{suffix} AS (
   SELECT * EXCLUDE (Down_Payment_Pct, Transport_Index_Num, Nearby_Schools_Score_Num, ti_mean, ss_mean, dp_final),
          ti_mean AS Transport_Index_Num, ss_mean AS Nearby_Schools_Score_Num, dp_final AS Down_Payment_Pct,
          {spark_round('Installment_Years / (dp_final + 1)', 2)} AS Payment_Flexibility_Score
-  FROM sv
+  FROM sv{suffix}
 )""",
-])
+    ]
+
+
+DEDUP = silver_ctes()[0]
+SILVER_CTES = ",\n".join([RAW, *silver_ctes()])
+
+# Developer rows of every raw version, cleaned like silver (name, ratings, 'nan' scrub).
+DEV_ROWS = f"""devrows AS (
+  SELECT {scrub(clean_name('Developer_Name'))} AS Developer_Name,
+         {domain('Market_Reputation', REPUTATION)} AS Market_Reputation,
+         {domain('Delivery_Punctuality', PUNCTUALITY)} AS Delivery_Punctuality,
+         bronze_ingested_at, row_seq, year(bronze_ingested_at) AS yr
+  FROM raw)"""
+
+
+def scd2_sql(src: str, ts: str) -> str:
+    """SCD2 intervals from rows of ``src`` with columns Developer_Name, the two ratings and
+    ``ts`` (at most one row per developer and ts)."""
+    return f"""SELECT {hash_key('Developer_Name', ts_text(ts))} AS developer_sk, Developer_Name,
+       Market_Reputation, Delivery_Punctuality, {ts} AS valid_from_ts,
+       lead({ts}) OVER (PARTITION BY Developer_Name ORDER BY {ts}) AS valid_to_ts,
+       lead({ts}) OVER (PARTITION BY Developer_Name ORDER BY {ts}) IS NULL AS is_current
+FROM (
+  SELECT *, lag(Market_Reputation) OVER w AS pm, lag(Delivery_Punctuality) OVER w AS pd,
+         row_number() OVER w AS rn
+  FROM {src} WINDOW w AS (PARTITION BY Developer_Name ORDER BY {ts})
+) WHERE rn = 1 OR pm IS DISTINCT FROM Market_Reputation OR pd IS DISTINCT FROM Delivery_Punctuality"""
+
+
+HISTORY_CTES = [DEV_ROWS, """devpick AS (
+  SELECT * FROM devrows
+  QUALIFY row_number() OVER (PARTITION BY Developer_Name, bronze_ingested_at ORDER BY row_seq DESC) = 1)""",
+                f"hist AS ({scd2_sql('devpick', 'bronze_ingested_at')})"]
 
 
 def with_ctes(*ctes: str) -> str:

@@ -256,3 +256,247 @@ def q_silver_listings(spark, sf_dir):
     return silver_good(spark, sf_dir).select(
         *SILVER_COLUMNS, _round("Down_Payment_Pct", 6), _round("Transport_Index_Num", 4),
         _round("Nearby_Schools_Score_Num", 4))
+
+
+# ---------------------------------------------------------------- incremental read and merges
+
+def _control_mark(spark, df: DataFrame, before: str):
+    """High-water mark of a first batch (rows ingested before ``before``) as a control row,
+    read back the way a later run reads it."""
+    from listingflow.sources.tables import control_row, last_mark, max_mark
+    first = df.filter(F.col("bronze_ingested_at") < F.lit(before).cast("timestamp_ntz"))
+    mark = max_mark(first, "bronze_ingested_at")
+    control = control_row(spark, "silver", "listings", mark, 0, "SUCCESS", "batch-1", mark)
+    return last_mark(control, "silver", "listings")
+
+
+@register("incremental_read", O.with_ctes(O.RAW) + """
+SELECT Property_ID, row_seq, bronze_ingested_at FROM raw
+WHERE bronze_ingested_at > (SELECT max(bronze_ingested_at) FROM raw
+                            WHERE bronze_ingested_at < TIMESTAMP '1998-01-01')""")
+def q_incremental_read(spark, sf_dir):
+    from listingflow.sources.tables import newer_than
+    raw = raw_listings(spark, sf_dir)
+    mark = _control_mark(spark, raw, "1998-01-01 00:00:00")
+    return newer_than(raw, "bronze_ingested_at", mark).select("Property_ID", "row_seq",
+                                                               "bronze_ingested_at")
+
+
+_FIRST = "bronze_ingested_at < TIMESTAMP '1998-01-01'"
+_SECOND = "bronze_ingested_at >= TIMESTAMP '1998-01-01'"
+
+
+def _halves(spark, sf_dir):
+    raw = raw_listings(spark, sf_dir)
+    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    first, _ = split_valid(silver_transform(raw.filter(F.col("bronze_ingested_at") < cut), AS_OF))
+    second, _ = split_valid(silver_transform(raw.filter(F.col("bronze_ingested_at") >= cut), AS_OF))
+    return first, second
+
+
+_UPSERT_COLS = "Property_ID, bronze_ingested_at, row_seq, Total_Price, Size_SqM, City, Developer_Name"
+
+
+@register("upsert_listings", O.with_ctes(O.RAW, *O.silver_ctes("1", _FIRST), *O.silver_ctes("2", _SECOND)) + f"""
+SELECT {_UPSERT_COLS} FROM silver1 t
+WHERE quarantine_reason IS NULL
+  AND NOT EXISTS (SELECT 1 FROM silver2 s WHERE s.quarantine_reason IS NULL AND s.Property_ID = t.Property_ID)
+UNION ALL
+SELECT {_UPSERT_COLS} FROM silver2 WHERE quarantine_reason IS NULL""")
+def q_upsert_listings(spark, sf_dir):
+    from listingflow.operators.merge import upsert
+    first, second = _halves(spark, sf_dir)
+    return upsert(first, second, ["Property_ID"]).select(*_UPSERT_COLS.split(", "))
+
+
+_PROFILE = ("Unit_Type", "View_Type", "Kitchen_Type", "Has_Elevator", "Smart_Home_Ready",
+            "has_pool", "gym", "security", "parking_spots")
+_PROFILE_SQL = ", ".join(_PROFILE)
+
+
+@register("insert_new_profiles", O.with_ctes(O.RAW, *O.silver_ctes("1", _FIRST), *O.silver_ctes("2", _SECOND), f"""
+p1 AS (SELECT DISTINCT {_PROFILE_SQL} FROM silver1 WHERE quarantine_reason IS NULL),
+p2 AS (SELECT DISTINCT {_PROFILE_SQL} FROM silver2 WHERE quarantine_reason IS NULL)""") + f"""
+SELECT {_PROFILE_SQL}, {O.hash_key(*_PROFILE)} AS profile_sk FROM p1
+UNION ALL
+SELECT {_PROFILE_SQL}, {O.hash_key(*_PROFILE)} AS profile_sk FROM p2
+WHERE {O.hash_key(*_PROFILE)} NOT IN (SELECT {O.hash_key(*_PROFILE)} FROM p1)""")
+def q_insert_new_profiles(spark, sf_dir):
+    from listingflow.operators.dims import merge_profile, profile_batch
+    first, second = _halves(spark, sf_dir)
+    return merge_profile(profile_batch(first), profile_batch(second))
+
+
+# ---------------------------------------------------------------- dimensions
+
+def developer_rows(spark, sf_dir) -> DataFrame:
+    """Every raw version's developer attributes, cleaned as in silver."""
+    df = C.clean_name(raw_listings(spark, sf_dir), "Developer_Name")
+    df = C.validate_domain(df, "Market_Reputation", C.REPUTATION_DOMAIN)
+    df = C.validate_domain(df, "Delivery_Punctuality", C.PUNCTUALITY_DOMAIN)
+    df = C.scrub_nan(df, cols=["Developer_Name"])
+    return df.select("Developer_Name", "Market_Reputation", "Delivery_Punctuality",
+                     "bronze_ingested_at", "row_seq")
+
+
+def developer_history(spark, sf_dir) -> DataFrame:
+    from listingflow.operators.dims import scd2_from_history
+    return scd2_from_history(developer_rows(spark, sf_dir))
+
+
+@register("scd2_history", O.with_ctes(O.RAW, *O.HISTORY_CTES) + "SELECT * FROM hist")
+def q_scd2_history(spark, sf_dir):
+    return developer_history(spark, sf_dir)
+
+
+@register("scd2_incremental", O.with_ctes(O.RAW, O.DEV_ROWS, """yearpick AS (
+  SELECT Developer_Name, Market_Reputation, Delivery_Punctuality,
+         make_timestamp(yr, 12, 31, 0, 0, 0) AS batch_ts
+  FROM devrows
+  QUALIFY row_number() OVER (PARTITION BY Developer_Name, yr ORDER BY bronze_ingested_at DESC, row_seq DESC) = 1)""")
+         + O.scd2_sql("yearpick", "batch_ts"))
+def q_scd2_incremental(spark, sf_dir):
+    """One merge per yearly batch (ingest year), dimension checkpointed between batches."""
+    from listingflow.operators.dims import developer_batch, merge_scd2
+    from listingflow.session import checkpoint_root
+    checkpoint_root(spark)
+    rows = developer_rows(spark, sf_dir).withColumn("yr", F.year("bronze_ingested_at"))
+    years = sorted(r["yr"] for r in rows.select("yr").distinct().collect())
+    dim = None
+    for y in years:
+        batch = developer_batch(rows.filter(F.col("yr") == y))
+        ts = F.lit(f"{y}-12-31 00:00:00").cast("timestamp_ntz")
+        dim = merge_scd2(dim, batch, ts).checkpoint()
+    return dim
+
+
+_GOOD = "g AS (SELECT * FROM silver WHERE quarantine_reason IS NULL)"
+
+
+@register("dim_location", O.with_ctes(O.SILVER_CTES, _GOOD) + f"""
+SELECT City, District, Distance_To_City_Center_KM,
+  {O.spark_round('round(Transport_Index_Num, 6)', 4)} AS Transport_Index_Num,
+  {O.spark_round('round(Nearby_Schools_Score_Num, 6)', 4)} AS Nearby_Schools_Score_Num,
+  {O.hash_key('City', 'District')} AS location_sk
+FROM g QUALIFY row_number() OVER (PARTITION BY City, District ORDER BY bronze_ingested_at DESC, row_seq DESC) = 1""")
+def q_dim_location(spark, sf_dir):
+    from listingflow.operators.dims import location_batch
+    loc = location_batch(silver_good(spark, sf_dir))
+    return loc.select("City", "District", "Distance_To_City_Center_KM",
+                      _round("Transport_Index_Num", 4), _round("Nearby_Schools_Score_Num", 4),
+                      "location_sk")
+
+
+@register("dim_profile", O.with_ctes(O.SILVER_CTES, _GOOD) + f"""
+SELECT {_PROFILE_SQL}, {O.hash_key(*_PROFILE)} AS profile_sk FROM (SELECT DISTINCT {_PROFILE_SQL} FROM g)""")
+def q_dim_profile(spark, sf_dir):
+    from listingflow.operators.dims import profile_batch
+    return profile_batch(silver_good(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- fact, lookups, star
+
+RUN_TS = "2021-06-30 00:00:00"
+_RUN_TS_TEXT = "'2021-06-30 00:00:00.000000'"
+
+
+def gold_state(spark, sf_dir):
+    from listingflow.plans.gold import gold_transform
+    return gold_transform(silver_good(spark, sf_dir), F.lit(RUN_TS).cast("timestamp_ntz"))
+
+
+_FACT_SQL = f"""fact AS (
+SELECT Property_ID,
+  {O.hash_key('Developer_Name', _RUN_TS_TEXT)} AS developer_sk,
+  {O.hash_key('City', 'District')} AS location_sk,
+  {O.hash_key(*_PROFILE)} AS profile_sk,
+  "Date" AS Listing_Date, Delivery_Date, Total_Price, Size_SqM, Price_Per_SqM, Rooms_Count,
+  Kitchen_Size_SqM, Reception_Size_SqM, Balcony_Size_SqM, round(Down_Payment_Pct, 6) AS Down_Payment_Pct,
+  Installment_Years, Payment_Flexibility_Score, Is_Ready_To_Move, Payment_Type,
+  TIMESTAMP '{RUN_TS}' AS last_updated_ts,
+  Developer_Name, City, District
+FROM g)"""
+
+
+@register("fact_listings", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) +
+          "SELECT * EXCLUDE (Developer_Name, City, District) FROM fact")
+def q_fact_listings(spark, sf_dir):
+    fact = gold_state(spark, sf_dir).fact_delta
+    return fact.withColumn("Down_Payment_Pct", F.round("Down_Payment_Pct", 6))
+
+
+@register("lookup_as_of", O.with_ctes(O.SILVER_CTES, _GOOD, *O.HISTORY_CTES) + """
+SELECT g.Property_ID, g.Developer_Name, g.bronze_ingested_at, h.developer_sk
+FROM g LEFT JOIN hist h
+  ON g.Developer_Name = h.Developer_Name AND g.bronze_ingested_at >= h.valid_from_ts
+ AND (h.valid_to_ts IS NULL OR g.bronze_ingested_at < h.valid_to_ts)""")
+def q_lookup_as_of(spark, sf_dir):
+    from listingflow.operators.facts import lookup_as_of
+    listings = silver_good(spark, sf_dir).select("Property_ID", "Developer_Name",
+                                                 "bronze_ingested_at")
+    return lookup_as_of(listings, developer_history(spark, sf_dir), "bronze_ingested_at")
+
+
+TOP_CITY, TOP_YEAR, TOP_N = "Nation_3 Zone", 2020, 3
+
+
+@register("top_developers", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) + f"""
+SELECT Developer_Name, max(Payment_Flexibility_Score) AS best_score,
+       {O.spark_round('avg(Payment_Flexibility_Score)', 4)} AS avg_score, count(*) AS listings
+FROM fact
+WHERE City = '{TOP_CITY}' AND Is_Ready_To_Move AND year(Delivery_Date) = {TOP_YEAR}
+GROUP BY Developer_Name
+ORDER BY best_score DESC NULLS LAST, Developer_Name
+LIMIT {TOP_N}""")
+def q_top_developers(spark, sf_dir):
+    from listingflow.plans.star import top_developers
+    g = gold_state(spark, sf_dir)
+    return top_developers(g.fact_delta, g.developers, g.locations, TOP_CITY, TOP_YEAR, TOP_N)
+
+
+@register("star_measures", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) + f"""
+SELECT City, Payment_Type, count(*) AS listings,
+  {O.spark_round('avg(cast(Total_Price AS double))', 2)} AS avg_price,
+  sum(Size_SqM) AS total_size_sqm, {O.spark_round('min(Price_Per_SqM)', 4)} AS min_price_per_sqm,
+  max(Payment_Flexibility_Score) AS max_flexibility
+FROM fact GROUP BY City, Payment_Type""")
+def q_star_measures(spark, sf_dir):
+    from listingflow.plans.star import star_measures
+    g = gold_state(spark, sf_dir)
+    return star_measures(g.fact_delta, g.locations)
+
+
+@register("listing_calendar", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) + """
+SELECT year(d) AS "Year", quarter(d) AS "Quarter", monthname(d) AS Month_Name,
+       dayofweek(d) IN (5, 6) AS Is_Weekend, count(*) AS listings
+FROM (SELECT Listing_Date AS d FROM fact) f
+JOIN (SELECT cast(range AS date) AS cd FROM range(DATE '2010-01-01', DATE '2036-01-01', INTERVAL 1 DAY)) c
+  ON f.d = c.cd
+GROUP BY ALL""")
+def q_listing_calendar(spark, sf_dir):
+    """Listings per calendar attributes of their listing date (fact joined to dim_date; the
+    calendar's size is fixed by its span, so it is broadcast)."""
+    from listingflow.sources.calendar import dim_date
+    fact = gold_state(spark, sf_dir).fact_delta
+    cal = dim_date(spark)
+    rows = fact.join(F.broadcast(cal), fact["Listing_Date"] == cal["Date"])
+    return rows.groupBy("Year", "Quarter", "Month_Name", "Is_Weekend").agg(
+        F.count(F.lit(1)).alias("listings"))
+
+
+# ---------------------------------------------------------------- chat side
+
+@register("chat_context", """
+SELECT conv_id, turn, role,
+  CASE WHEN lag(line, 1) OVER w IS NULL THEN ''
+       ELSE 'Conversation Context:' || chr(10) || coalesce(lag(line, 3) OVER w, '')
+            || coalesce(lag(line, 2) OVER w, '') || lag(line, 1) OVER w END AS context
+FROM (SELECT conv_id, turn, role,
+             CASE WHEN role = 'user' THEN 'User' ELSE 'Assistant' END || ': ' || coalesce(text, '') || chr(10) AS line
+      FROM conversations)
+WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
+def q_chat_context(spark, sf_dir):
+    from listingflow.operators.asklog import chat_context
+    conv = read_driver_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role",
+                                                                    "text")
+    return chat_context(conv).select("conv_id", "turn", "role", "context")
