@@ -500,3 +500,115 @@ def q_chat_context(spark, sf_dir):
     conv = read_driver_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role",
                                                                     "text")
     return chat_context(conv).select("conv_id", "turn", "role", "context")
+
+
+def generated_sql(events: DataFrame) -> DataFrame:
+    """A generated-query log derived from ``events`` (one text per event, eight shapes: plain,
+    fenced, aggregate, limited, literal containing a blocked word, and write statements)."""
+    uid = F.col("user_id").cast("string")
+    cents = F.floor(F.col("value") * 100).cast("bigint").cast("string")
+    k = F.col("event_id") % 8
+    text = (F.when(k == 0, F.concat(F.lit("SELECT City, Total_Price FROM fact_listings WHERE Rooms_Count = "), uid))
+            .when(k == 1, F.concat(F.lit("```sql\nSELECT * FROM dim_location WHERE District = 'Drop "),
+                                   F.col("event_type"), F.lit("'\n```")))
+            .when(k == 2, F.concat(F.lit("SELECT Property_ID, last_updated_ts FROM fact_listings "
+                                         "ORDER BY last_updated_ts DESC LIMIT "), uid))
+            .when(k == 3, F.concat(F.lit("DELETE FROM dim_developer WHERE developer_sk = '"),
+                                   F.col("event_id").cast("string"), F.lit("'")))
+            .when(k == 4, F.concat(F.lit("select count(*) from fact_listings where Total_Price > "), cents))
+            .when(k == 5, F.lit("WITH t AS (SELECT * FROM fact_listings) SELECT * FROM t; DROP TABLE t"))
+            .when(k == 6, F.concat(F.lit("MERGE INTO dim_location USING x ON 1=1 -- "), F.col("props")))
+            .otherwise(F.concat(F.lit("  SELECT max (Size_SqM) FROM fact_listings WHERE Rooms_Count = "), uid)))
+    return events.select("event_id", text.alias("sql_text"))
+
+
+def router_replies(events: DataFrame) -> DataFrame:
+    """Router replies derived from ``events``: valid, fenced, invalid, and partial JSON."""
+    k = F.col("event_id") % 6
+    cents = F.floor(F.col("value") * 100).cast("bigint").cast("string")
+    reply = (F.when(k == 0, F.lit('{"status": "IN_SCOPE", "message": ""}'))
+             .when(k == 1, F.concat(F.lit('```json\n{"status": "OOS_GENERAL", "message": "general '),
+                                    F.col("event_type"), F.lit('"}\n```')))
+             .when(k == 2, F.concat(F.lit("not json "), F.col("event_type")))
+             .when(k == 3, F.lit('{"status": "OOS_GEO"}'))
+             .when(k == 4, F.concat(F.lit('{"message": "user '), F.col("user_id").cast("string"), F.lit('"}')))
+             .otherwise(F.concat(F.lit('{"status": "OOS_AMBIGUOUS", "message": "budget '), cents, F.lit('"}'))))
+    return events.select("event_id", reply.alias("reply"))
+
+
+_NL = "chr(10)"
+_CENTS = "cast(cast(floor(value * 100) AS bigint) AS varchar)"
+_SQL_LOG = f"""q AS (SELECT event_id, CASE event_id % 8
+  WHEN 0 THEN 'SELECT City, Total_Price FROM fact_listings WHERE Rooms_Count = ' || cast(user_id AS varchar)
+  WHEN 1 THEN '```sql' || {_NL} || 'SELECT * FROM dim_location WHERE District = ''Drop ' || event_type || '''' || {_NL} || '```'
+  WHEN 2 THEN 'SELECT Property_ID, last_updated_ts FROM fact_listings ORDER BY last_updated_ts DESC LIMIT ' || cast(user_id AS varchar)
+  WHEN 3 THEN 'DELETE FROM dim_developer WHERE developer_sk = ''' || cast(event_id AS varchar) || ''''
+  WHEN 4 THEN 'select count(*) from fact_listings where Total_Price > ' || {_CENTS}
+  WHEN 5 THEN 'WITH t AS (SELECT * FROM fact_listings) SELECT * FROM t; DROP TABLE t'
+  WHEN 6 THEN 'MERGE INTO dim_location USING x ON 1=1 -- ' || props
+  ELSE '  SELECT max (Size_SqM) FROM fact_listings WHERE Rooms_Count = ' || cast(user_id AS varchar) END AS sql_text
+FROM events)"""
+
+
+def _strip_fences_sql(x: str) -> str:
+    return (f"regexp_replace(replace(replace(replace({x}, '```json', ''), '```sql', ''), '```', ''), "
+            f"'^\\s+|\\s+$', '', 'g')")
+
+
+_WORDS = r"\b(DROP|DELETE|UPDATE|INSERT|ALTER|TRUNCATE|GRANT|REVOKE|MERGE|CREATE|REPLACE)\b"
+
+
+@register("audit_queries", O.with_ctes(_SQL_LOG, f"""a AS (SELECT event_id, sql_text, {_strip_fences_sql('sql_text')} AS clean_sql FROM q)""",
+                                       """b AS (SELECT *, upper(regexp_replace(clean_sql, '''([^'']|'''')*''', '''''', 'g')) AS up FROM a)""") + f"""
+SELECT event_id, sql_text, clean_sql,
+  array_to_string(regexp_extract_all(up, '{_WORDS}', 1), ',') AS blocked_words,
+  len(regexp_extract_all(up, '{_WORDS}', 1)) > 0 OR NOT regexp_matches(up, '^\\s*(SELECT|WITH)\\b') AS blocked,
+  NOT regexp_matches(up, '\\bLIMIT\\b') AND NOT regexp_matches(up, '\\b(COUNT|AVG|SUM|MIN|MAX)\\s*\\(') AS needs_limit
+FROM b""")
+def q_audit_queries(spark, sf_dir):
+    from listingflow.operators.asklog import audit_queries
+    return audit_queries(generated_sql(read_driver_table(spark, sf_dir, "events")))
+
+
+@register("parse_routes", O.with_ctes(f"""r AS (SELECT event_id, CASE event_id % 6
+  WHEN 0 THEN '{{"status": "IN_SCOPE", "message": ""}}'
+  WHEN 1 THEN '```json' || {_NL} || '{{"status": "OOS_GENERAL", "message": "general ' || event_type || '"}}' || {_NL} || '```'
+  WHEN 2 THEN 'not json ' || event_type
+  WHEN 3 THEN '{{"status": "OOS_GEO"}}'
+  WHEN 4 THEN '{{"message": "user ' || cast(user_id AS varchar) || '"}}'
+  ELSE '{{"status": "OOS_AMBIGUOUS", "message": "budget ' || {_CENTS} || '"}}' END AS reply
+FROM events)""", f"""t AS (SELECT event_id, reply, {_strip_fences_sql('reply')} AS body FROM r)""",
+                                      """u AS (SELECT *, coalesce(CASE WHEN json_valid(body) THEN json_type(body) = 'OBJECT' END, false) AS ok FROM t)""",
+                                      """v AS (SELECT *, CASE WHEN ok THEN json_extract_string(body, '$.status') END AS st,
+                   CASE WHEN ok THEN json_extract_string(body, '$.message') END AS msg FROM u)""") + f"""
+SELECT event_id, reply,
+  CASE WHEN NOT ok THEN 'IN_SCOPE' ELSE st END AS route_status,
+  (NOT ok OR coalesce(st = 'IN_SCOPE', false)) AS in_scope,
+  CASE WHEN NOT (NOT ok OR coalesce(st = 'IN_SCOPE', false)) THEN coalesce(msg, 'عذراً، هذا السؤال خارج تخصصي.') END AS reply_message
+FROM v""")
+def q_parse_routes(spark, sf_dir):
+    from listingflow.operators.asklog import parse_routes
+    return parse_routes(router_replies(read_driver_table(spark, sf_dir, "events")))
+
+
+# ---------------------------------------------------------------- ingest and context
+
+@register("ingest_stream", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_ingest_stream(spark, sf_dir):
+    """Stream the events file into a bronze folder (drain and stop), then read the table back
+    without its two ingest stamps. The folder is a fresh one under the checkpoint root."""
+    from listingflow.session import scratch_path
+    from listingflow.sources.tables import read_table
+    from listingflow.streaming.ingest import ingest_stream
+    base = scratch_path(spark, "bronze-events")
+    ingest_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", f"{base}/table", f"{base}/_checkpoint")
+    return read_table(spark, f"{base}/table").drop("bronze_ingested_at", "source_file_path")
+
+
+@register("table_context", None)
+def q_table_context(spark, sf_dir):
+    """Schema and two sample rows of the driver's star tables (rows-only check: the sample
+    rows are whatever the scan returns first)."""
+    from listingflow.sources.context import table_context
+    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+    return table_context({n: read_driver_table(spark, sf_dir, n) for n in names}, sample_rows=2)
