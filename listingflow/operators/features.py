@@ -7,20 +7,26 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listingflow.session import stage
+
 # The two payment classes (instalments, cash).
 PAYMENT_INSTALMENTS = "تقسيط"
 PAYMENT_CASH = "كاش"
 CASH_DOWN_PAYMENT = 100.0
 
 
-def impute_mean(df: DataFrame, cols, by, stats_from: DataFrame | None = None) -> DataFrame:
+def impute_mean(df: DataFrame, cols, by, stats_from: DataFrame | None = None,
+                stage_stats: bool = True) -> DataFrame:
     """Fill NULLs of ``cols`` with the mean of the same ``by`` group.
 
     The means come from ``stats_from`` (default: ``df`` itself, the batch) through a grouped
     aggregate, which combines map-side before its small shuffle, and are joined back NULL-safely
     on the group. Unlike a window over ``partitionBy(by)``, no task has to hold a whole group, so a
-    group holding a third of the rows costs nothing extra; AQE turns the join into a broadcast
-    when the aggregate is measured small and splits skewed partitions otherwise.
+    group holding a third of the rows costs nothing extra.
+
+    With ``stage_stats`` the (small) means are written first, so the planner sees their real
+    size: below ``spark.sql.autoBroadcastJoinThreshold`` the join is a broadcast and the rows are
+    never shuffled; above it, a sort-merge join whose skewed partitions AQE splits.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
     by = [by] if isinstance(by, str) else list(by)
@@ -28,6 +34,8 @@ def impute_mean(df: DataFrame, cols, by, stats_from: DataFrame | None = None) ->
     stats = src.groupBy(*by).agg(*[F.avg(c).alias(f"__mean_{c}") for c in cols])
     stats = stats.select(*[F.col(b).alias(f"__key_{b}") for b in by],
                          *[f"__mean_{c}" for c in cols])
+    if stage_stats:
+        stats = stage(stats, "group-means")
     cond = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"__key_{b}")) for b in by])
     out = df.join(stats, cond, "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__mean_{c}")) for c in cols})

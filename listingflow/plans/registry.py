@@ -43,8 +43,10 @@ def silver_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good silver rows, written once like the published silver table that gold reads."""
+    from listingflow.session import stage
     good, _ = split_valid(silver_flagged(spark, sf_dir))
-    return good
+    return stage(good, "silver-good")
 
 
 # ---------------------------------------------------------------- row-wise cleaning (P4-P19)

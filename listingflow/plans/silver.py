@@ -16,6 +16,7 @@ from listingflow.operators.features import (flexibility_score, impute_down_payme
 from listingflow.operators.merge import dedup_latest
 from listingflow.operators.quality import (REASON_MISSING_KEY, flag_invalid, listing_rules,
                                            missing_key)
+from listingflow.session import stage
 from listingflow.sources.fixtures import VERSION_ORDER
 
 PRIMARY_KEY = "Property_ID"
@@ -87,11 +88,19 @@ def impute_and_derive(df: DataFrame, as_of, stats_from: DataFrame | None = None)
 
 
 def silver_transform(raw: DataFrame, as_of, price_mode: str = "decimal", developer_map=None,
-                     key: str = PRIMARY_KEY, order_cols=VERSION_ORDER) -> DataFrame:
+                     key: str = PRIMARY_KEY, order_cols=VERSION_ORDER,
+                     materialize: bool = True) -> DataFrame:
     """Raw versions -> flagged silver rows (``quarantine_reason`` NULL and ``is_valid`` true for
-    good rows). Rows later rejected still feed the group means, as in the source design."""
+    good rows). Rows later rejected still feed the group means, as in the source design.
+
+    The cleaned batch is read three times (two group means and the rows themselves); with
+    ``materialize`` it is written once under the checkpoint root, so the raw scan, its joins and
+    the dedup shuffle run once instead of three times.
+    """
     df = newest_versions(raw, key, order_cols)
     df = clean_rows(df, price_mode, developer_map)
+    if materialize:
+        df = stage(df, "silver-batch")
     df = impute_and_derive(df, as_of)
     rules = [(REASON_MISSING_KEY, F.col("__missing_key")), *listing_rules()]
     return flag_invalid(df, rules).drop("__missing_key")

@@ -71,3 +71,16 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def stage(df, name: str = "stage"):
+    """Write ``df`` once as parquet under the checkpoint root and return a frame reading it.
+
+    Used where a plan reads the same intermediate several times (a batch and its group means):
+    the upstream joins and shuffles run once, lineage is cut (a lost executor costs a re-read,
+    not a recompute), and later stages get real file statistics for AQE.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
