@@ -82,8 +82,11 @@ def expand_json(df: DataFrame, col: str, schema=AMENITIES_DDL, drop: bool = True
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    parsed = F.from_json(F.col(col), schema)
-    out = df.withColumns({f.name: parsed[f.name] for f in schema.fields})
+    # Parse once into a struct column and expand it; referencing the parse once per field would
+    # let the optimizer prune it into one parse per field.
+    out = (df.withColumn("__parsed", F.from_json(F.col(col), schema))
+           .select("*", *[F.col("__parsed")[f.name].alias(f.name) for f in schema.fields])
+           .drop("__parsed"))
     return out.drop(col) if drop else out
 
 

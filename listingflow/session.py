@@ -22,6 +22,11 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytecodes; wide projections (the listing
+    # cleaning has ~40 expressions) would then run interpreted inside whole-stage codegen.
+    # With this limit Spark falls back to per-expression codegen for such stages instead
+    # (the setting the Spark configuration docs recommend for HotSpot).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
