@@ -63,14 +63,27 @@ def quality_summary(flagged: DataFrame, max_bad_share: float = 0.05,
             .withColumn("alert", (F.col("reason") != "Valid") & (F.col("share") > max_bad_share)))
 
 
-def observe_counts(df: DataFrame, name: str, flag_col: str | None = None):
-    """Attach row counters to ``df`` that fill in when it is written (no extra job).
+def stamp_run(df: DataFrame, run_id: str | None = None, ts=None, id_col: str = "silver_run_id",
+              ts_col: str = "silver_updated_at") -> DataFrame:
+    """Lineage columns of a run: its id and its time, both bound once per run (literals), so
+    every row and every statement of the run carries the same values."""
+    cols = {}
+    if run_id is not None:
+        cols[id_col] = F.lit(run_id)
+    if ts is not None:
+        cols[ts_col] = F.lit(ts).cast("timestamp_ntz")
+    return df.withColumns(cols)
+
+
+def observe_counts(df: DataFrame, name: str, mark_col: str | None = None):
+    """Attach run metrics to ``df`` that are filled in by the action that runs it (no extra
+    job): ``rows`` and, with ``mark_col``, its maximum ``max_mark``.
 
     Returns ``(df, observation)``; read ``observation.get`` after the action.
     """
     from pyspark.sql import Observation
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows")]
-    if flag_col:
-        metrics.append(F.sum(F.col(flag_col).cast("int")).alias("valid_rows"))
+    if mark_col:
+        metrics.append(F.max(mark_col).alias("max_mark"))
     return df.observe(obs, *metrics), obs

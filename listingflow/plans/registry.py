@@ -614,3 +614,20 @@ def q_table_context(spark, sf_dir):
     from listingflow.sources.context import table_context
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
     return table_context({n: read_driver_table(spark, sf_dir, n) for n in names}, sample_rows=2)
+
+
+GUARDED_TEXT = ("```sql\nSELECT f.Property_ID, l.City, f.Total_Price FROM fact_listings f "
+                "JOIN dim_location l ON f.location_sk = l.location_sk "
+                "ORDER BY f.Total_Price DESC, f.Property_ID\n```")
+
+
+@register("guarded_sql", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) + """
+SELECT Property_ID, City, Total_Price FROM fact ORDER BY Total_Price DESC, Property_ID LIMIT 20""")
+def q_guarded_sql(spark, sf_dir):
+    """A generated query (fenced, no LIMIT) run through the guard against the star's views:
+    the default 20-row limit is the feature here."""
+    from listingflow.plans.star import guarded_sql
+    g = gold_state(spark, sf_dir)
+    g.fact_delta.createOrReplaceTempView("fact_listings")
+    g.locations.createOrReplaceTempView("dim_location")
+    return guarded_sql(spark, GUARDED_TEXT)

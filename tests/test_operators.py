@@ -166,3 +166,16 @@ def test_chat_context_matches_list_slicing(spark):
             out[(conv, m[1])] = text
         return out
     assert got == {**expected(1), **expected(2)}
+
+
+def test_guarded_sql_blocks_and_limits(spark):
+    import pytest
+    from listingflow.plans.star import guarded_sql
+    spark.range(100).createOrReplaceTempView("nums")
+    assert guarded_sql(spark, "SELECT id FROM nums").count() == 20
+    assert guarded_sql(spark, "SELECT id FROM nums LIMIT 50").count() == 50
+    assert guarded_sql(spark, "```sql\nSELECT count(*) AS n FROM nums;\n```").first()["n"] == 100
+    with pytest.raises(PermissionError):
+        guarded_sql(spark, "DROP TABLE nums")
+    with pytest.raises(PermissionError):
+        guarded_sql(spark, "SELECT 1; DELETE FROM nums")
