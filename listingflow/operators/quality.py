@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from listingflow.functions.keys import ts_literal
+
 # Quarantine reasons, tested in the order listed in listing_rules (first match wins).
 REASON_MISSING_KEY = "Missing Primary Key"
 
@@ -44,7 +46,7 @@ def split_valid(df: DataFrame, valid_col: str = "is_valid",
     good = df.filter(F.col(valid_col)).drop(valid_col, reason_col)
     bad = df.filter(~F.col(valid_col)).drop(valid_col)
     if quarantine_ts is not None:
-        bad = bad.withColumn("quarantine_ts", F.lit(quarantine_ts).cast("timestamp"))
+        bad = bad.withColumn("quarantine_ts", ts_literal(quarantine_ts))
     return good, bad
 
 
@@ -71,7 +73,7 @@ def stamp_run(df: DataFrame, run_id: str | None = None, ts=None, id_col: str = "
     if run_id is not None:
         cols[id_col] = F.lit(run_id)
     if ts is not None:
-        cols[ts_col] = F.lit(ts).cast("timestamp_ntz")
+        cols[ts_col] = ts_literal(ts)
     return df.withColumns(cols)
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listingflow.functions.keys import ts_literal
 from listingflow.operators.dims import (developer_batch, location_batch, merge_location,
                                         merge_profile, merge_scd2, profile_batch)
 from listingflow.operators.facts import fact_listings
@@ -31,7 +32,7 @@ def gold_transform(silver: DataFrame, run_ts, developers: DataFrame | None = Non
     built (as publishing them would), so the fact's joins are planned on their real sizes:
     broadcast when small, sort-merge with AQE skew splitting otherwise.
     """
-    ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp_ntz")
+    ts = ts_literal(run_ts)
     devs = merge_scd2(developers, developer_batch(silver), ts)
     locs = merge_location(locations, location_batch(silver))
     if stage_dims:

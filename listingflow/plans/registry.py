@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow.operators import cleaning as C
-from listingflow.operators.features import impute_mean
 from listingflow.operators.merge import dedup_latest
 from listingflow.operators.quality import quality_summary, split_valid
 from listingflow.plans import oracle as O

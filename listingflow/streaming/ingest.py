@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from listingflow.functions.keys import ts_literal
+
 
 def evolved_schema(spark: SparkSession, src: str, fmt: str = "parquet",
                    known: StructType | None = None, options: dict | None = None) -> StructType:
@@ -44,7 +46,7 @@ def load_schema(spark: SparkSession, path: str) -> StructType | None:
 
 def stamp_ingest(df: DataFrame, ts=None) -> DataFrame:
     """Add ``bronze_ingested_at`` (micro-batch time, or ``ts``) and ``source_file_path``."""
-    stamp = F.current_timestamp() if ts is None else F.lit(ts).cast("timestamp")
+    stamp = F.current_timestamp() if ts is None else ts_literal(ts, "timestamp")
     return df.withColumns({"bronze_ingested_at": stamp,
                            "source_file_path": F.col("_metadata.file_path")})
 
