@@ -363,9 +363,12 @@ def q_scd2_history(spark, sf_dir):
 def q_scd2_incremental(spark, sf_dir):
     """One merge per yearly batch (ingest year), dimension checkpointed between batches."""
     from listingflow.operators.dims import developer_batch, merge_scd2
-    from listingflow.session import checkpoint_root
+    from listingflow.session import checkpoint_root, stage
     checkpoint_root(spark)
-    rows = developer_rows(spark, sf_dir).withColumn("yr", F.year("bronze_ingested_at"))
+    # Five narrow columns, written once: the yearly batches then read them instead of each
+    # re-deriving the raw joins.
+    rows = stage(developer_rows(spark, sf_dir).withColumn("yr", F.year("bronze_ingested_at")),
+                 "developer-rows")
     years = sorted(r["yr"] for r in rows.select("yr").distinct().collect())
     dim = None
     for y in years:

@@ -89,3 +89,16 @@ def stage(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the cluster's cores)
+    when its scan yields fewer, e.g. a large file written as one unsplittable row group.
+
+    A scan that already has enough splits (the normal case for a big table) is left alone, so
+    this costs a shuffle only where the alternative is one task doing all the work.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

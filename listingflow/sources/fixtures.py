@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listingflow.session import spread
+
 # The column rules of the fixture (Spark SQL), in output order.
 RAW_LISTING_COLUMNS = [
     ("Property_ID", "concat('P', cast(l_orderkey as string))"),
@@ -85,6 +87,8 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     Plan: lineitem joins orders (+customer) on the order key and part on the part key by
     shuffle (AQE may turn a side into a broadcast after measuring it); supplier joins the
     25-row nation and 5-row region by broadcast (fixed TPC-H sizes), then lineitem by key.
+    A lineitem or orders file with fewer splits than cores is spread first
+    (``session.spread``), so whichever side AQE streams through the joins runs on every core.
     """
     t = lambda name: read_driver_table(spark, sf_dir, name)
     nation = t("nation")
@@ -92,8 +96,8 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = (t("supplier")
                 .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
                 .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
-    orders = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    joined = (t("lineitem")
+    orders = spread(t("orders")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    joined = (spread(t("lineitem"))
               .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
               .join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
