@@ -179,3 +179,45 @@ def test_guarded_sql_blocks_and_limits(spark):
         guarded_sql(spark, "DROP TABLE nums")
     with pytest.raises(PermissionError):
         guarded_sql(spark, "SELECT 1; DELETE FROM nums")
+
+
+def test_upsert_keeps_new_columns_and_assert_unique(spark):
+    import pytest
+    from listingflow.operators.merge import assert_unique
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(2, "b", 1.5)], "k int, v string, extra double")
+    out = {r.k: (r.v, r.extra) for r in upsert(target, source, ["k"]).collect()}
+    assert out == {1: ("a", None), 2: ("b", 1.5)}
+    assert_unique(target, ["k"])
+    with pytest.raises(ValueError):
+        assert_unique(target.union(target), ["k"], "dup")
+
+
+def test_observe_counts_and_stamp_run(spark):
+    import datetime as dt
+    from listingflow.operators.quality import observe_counts, stamp_run
+    df = spark.createDataFrame([(dt.datetime(2020, 1, d),) for d in (3, 1, 2)], "t timestamp_ntz")
+    observed, obs = observe_counts(df, "probe", "t")
+    stamped = stamp_run(observed, "run-1", dt.datetime(2030, 5, 6, 7, 8, 9))
+    rows = stamped.collect()
+    assert obs.get == {"rows": 3, "max_mark": dt.datetime(2020, 1, 3)}
+    assert {(r.silver_run_id, r.silver_updated_at) for r in rows} == {
+        ("run-1", dt.datetime(2030, 5, 6, 7, 8, 9))}
+
+
+def test_table_context_and_views(spark, tmp_root):
+    from listingflow.sources.context import table_context
+    from listingflow.sources.tables import TableStore, append_rows, read_table
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "id int, name string")
+    ctx = {(r.table_name, r.column_name): (r.data_type, r.sample_values)
+           for r in table_context({"a": a}, sample_rows=2).collect()}
+    assert ctx[("a", "id")][0] == "int" and len(ctx[("a", "name")][1].split(" | ")) == 2
+    path = f"{tmp_root}/appendonly"
+    append_rows(a, path)
+    append_rows(a.withColumn("more", F.lit(1.0)), path)
+    both = read_table(spark, path)
+    assert both.count() == 6 and both.filter(F.col("more").isNull()).count() == 3
+    store = TableStore(spark, f"{tmp_root}/store")
+    store.publish("fact_listings", a)
+    store.register_views(["fact_listings", "missing"])
+    assert spark.sql("SELECT count(*) AS n FROM fact_listings").first().n == 3
