@@ -146,9 +146,6 @@ def q_clean_names(spark, sf_dir):
     return df.select("Property_ID", "row_seq", "Developer_Name")
 
 
-_CANON = "concat(s_name, ' (', {n}, ')')"
-
-
 @register("map_values", O.with_ctes(O.RAW, f"""names AS (
   SELECT s_name AS from_value, concat(s_name, ' (', {O.initcap('n_name')}, ')') AS to_value
   FROM supplier JOIN nation ON s_nationkey = n_nationkey)""") + f"""

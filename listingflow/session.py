@@ -7,7 +7,6 @@ shared place for checkpoints and written intermediates.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,15 +68,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/listingflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can see a local path (tests only)."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def stage(df, name: str = "stage"):
     """Write ``df`` once as parquet under the checkpoint root and return a frame reading it.
 
