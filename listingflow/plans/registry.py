@@ -612,13 +612,44 @@ def q_ingest_stream(spark, sf_dir):
     return read_table(spark, f"{base}/table").drop("bronze_ingested_at", "source_file_path")
 
 
-@register("table_context", None)
+CONTEXT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+_SAMPLES = "\n  UNION ALL\n  ".join(
+    f"SELECT '{t}' AS table_name, column_name, v FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM "
+    f"(SELECT * FROM {t} LIMIT 2)) ON COLUMNS(*) INTO NAME column_name VALUE v)"
+    for t in CONTEXT_TABLES)
+
+
+@register("table_context", f"""
+WITH cols AS (
+  SELECT table_name, ordinal_position - 1 AS ordinal, column_name,
+         CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint'
+              WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+              WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type
+  FROM information_schema.columns
+  WHERE table_name IN ({", ".join(f"'{t}'" for t in CONTEXT_TABLES)})),
+samples AS (
+  {_SAMPLES})
+SELECT c.table_name, c.ordinal, c.column_name, c.data_type,
+       coalesce(string_agg(s.v, ' | ' ORDER BY s.v), '') AS sample_values
+FROM cols c LEFT JOIN samples s ON c.table_name = s.table_name AND c.column_name = s.column_name
+GROUP BY ALL""")
 def q_table_context(spark, sf_dir):
-    """Schema and two sample rows of the driver's star tables (rows-only check: the sample
-    rows are whatever the scan returns first)."""
+    """Schema and two sample rows of the driver's star tables (the context handed to a
+    question-to-SQL assistant); only two rows of each table are read."""
     from listingflow.sources.context import table_context
-    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-    return table_context({n: read_driver_table(spark, sf_dir, n) for n in names}, sample_rows=2)
+    return table_context({n: read_driver_table(spark, sf_dir, n) for n in CONTEXT_TABLES},
+                         sample_rows=2)
+
+
+@register("price_digits", O.with_ctes(O.RAW) + """
+SELECT Property_ID, row_seq,
+  CASE WHEN try_cast(nullif(regexp_replace(Total_Price, '[^0-9]', '', 'g'), '') AS bigint) > 0
+       THEN try_cast(nullif(regexp_replace(Total_Price, '[^0-9]', '', 'g'), '') AS bigint) END AS Total_Price
+FROM raw""")
+def q_price_digits(spark, sf_dir):
+    """The digit-only price reading of the source scripts ("12.50" -> 1250), kept as a mode."""
+    df = C.parse_amount(raw_listings(spark, sf_dir), "Total_Price", mode="digits")
+    return df.select("Property_ID", "row_seq", "Total_Price")
 
 
 GUARDED_TEXT = ("```sql\nSELECT f.Property_ID, l.City, f.Total_Price FROM fact_listings f "

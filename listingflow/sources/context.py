@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 
 def table_context(tables: dict[str, DataFrame], sample_rows: int = 2) -> DataFrame:
-    """One row per (table, column): its type and up to ``sample_rows`` sample values as text.
+    """One row per (table, column): its type and up to ``sample_rows`` sample values as text
+    (sorted, ``' | '``-joined; NULLs left out).
 
     Only ``sample_rows`` rows of each table are read (``limit``); the schema comes from the plan.
     """
@@ -25,5 +26,6 @@ def table_context(tables: dict[str, DataFrame], sample_rows: int = 2) -> DataFra
         parts.append(df.limit(sample_rows).select(F.lit(name).alias("table_name"),
                                                   cells.alias("c"))
                      .groupBy("table_name", "c.ordinal", "c.column_name", "c.data_type")
-                     .agg(F.concat_ws(" | ", F.collect_list("c.value")).alias("sample_values")))
+                     .agg(F.concat_ws(" | ", F.array_sort(F.collect_list("c.value")))
+                          .alias("sample_values")))
     return reduce(DataFrame.unionByName, parts)
