@@ -7,6 +7,7 @@ shared place for checkpoints and written intermediates.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -63,9 +64,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH_ROOTS: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the checkpoint root for one job's written intermediates."""
-    return f"{checkpoint_root(spark)}/listingflow/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder for one job's written intermediates, under
+    ``<checkpoint root>/listingflow/<application id>/``. That application folder is removed when
+    the driver process exits (frames returned to a caller may read from it until then)."""
+    root = f"{checkpoint_root(spark)}/listingflow/{spark.sparkContext.applicationId}"
+    if root not in _SCRATCH_ROOTS:
+        _SCRATCH_ROOTS.add(root)
+        atexit.register(_remove_tree, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove_tree(spark: SparkSession, root: str) -> None:
+    """Best effort: delete a scratch tree through the session's Hadoop file system."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the JVM may already be gone at interpreter exit
+        pass
 
 
 def stage(df, name: str = "stage"):
