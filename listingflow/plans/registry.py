@@ -310,6 +310,28 @@ def q_upsert_listings(spark, sf_dir):
     return upsert(first, second, ["Property_ID"]).select(*_UPSERT_COLS.split(", "))
 
 
+@register("impute_history_mean", O.with_ctes(O.RAW, *O.silver_ctes("1", _FIRST), *O.silver_ctes("2", _SECOND), """
+hist AS (SELECT City, Transport_Index_Num AS ti FROM silver1 WHERE quarantine_reason IS NULL
+         UNION ALL SELECT City, Transport_Index_Num FROM c2),
+m AS (SELECT City, avg(ti) AS ti_mean FROM hist GROUP BY City)""") + f"""
+SELECT c2.Property_ID, c2.City,
+  {O.spark_round('round(coalesce(c2.Transport_Index_Num, m.ti_mean), 10)', 4)} AS Transport_Index_Num
+FROM c2 LEFT JOIN m ON c2.City = m.City""")
+def q_impute_history_mean(spark, sf_dir):
+    """Means from history: the second batch's missing transport index is filled with the city
+    mean over the published silver rows of the first batch plus the new batch itself."""
+    from listingflow.operators.features import impute_mean
+    from listingflow.plans.silver import clean_rows, newest_versions
+    raw = raw_listings(spark, sf_dir)
+    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    first, _ = split_valid(silver_transform(raw.filter(F.col("bronze_ingested_at") < cut), AS_OF))
+    batch = clean_rows(newest_versions(raw.filter(F.col("bronze_ingested_at") >= cut)))
+    history = first.select("City", "Transport_Index_Num").unionByName(
+        batch.select("City", "Transport_Index_Num"))
+    out = impute_mean(batch, "Transport_Index_Num", "City", stats_from=history)
+    return out.select("Property_ID", "City", _round("Transport_Index_Num", 4))
+
+
 _PROFILE = ("Unit_Type", "View_Type", "Kitchen_Type", "Has_Elevator", "Smart_Home_Ready",
             "has_pool", "gym", "security", "parking_spots")
 _PROFILE_SQL = ", ".join(_PROFILE)
