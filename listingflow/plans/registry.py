@@ -625,13 +625,15 @@ def q_parse_routes(spark, sf_dir):
 @register("ingest_stream", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_ingest_stream(spark, sf_dir):
     """Stream the events file into a bronze folder (drain and stop), then read the table back
-    without its two ingest stamps. The folder is a fresh one under the checkpoint root."""
+    without its ingest stamps (time, file, day partition). The folder is a fresh one under the
+    checkpoint root."""
     from listingflow.session import scratch_path
     from listingflow.sources.tables import read_table
     from listingflow.streaming.ingest import ingest_stream
     base = scratch_path(spark, "bronze-events")
     ingest_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", f"{base}/table", f"{base}/_checkpoint")
-    return read_table(spark, f"{base}/table").drop("bronze_ingested_at", "source_file_path")
+    return read_table(spark, f"{base}/table").drop("bronze_ingested_at", "source_file_path",
+                                                   "ingest_date")
 
 
 CONTEXT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")

@@ -45,10 +45,12 @@ def load_schema(spark: SparkSession, path: str) -> StructType | None:
 
 
 def stamp_ingest(df: DataFrame, ts=None) -> DataFrame:
-    """Add ``bronze_ingested_at`` (micro-batch time, or ``ts``) and ``source_file_path``."""
+    """Add ``bronze_ingested_at`` (micro-batch time, or ``ts``), ``source_file_path`` and the
+    ``ingest_date`` partition value."""
     stamp = F.current_timestamp() if ts is None else ts_literal(ts, "timestamp")
     return df.withColumns({"bronze_ingested_at": stamp,
-                           "source_file_path": F.col("_metadata.file_path")})
+                           "source_file_path": F.col("_metadata.file_path"),
+                           "ingest_date": F.to_date(stamp)})
 
 
 def stream_path(spark: SparkSession, src: str) -> str:
@@ -78,8 +80,11 @@ def ingest_stream(spark: SparkSession, src: str, dst: str, checkpoint: str, fmt:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = stamp_ingest(reader.load(stream_path(spark, src)))
+    # Partitioned by ingest day: a later "rows newer than the mark" read prunes whole days by
+    # directory instead of opening every file footer of the table.
     query = (stream.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint)
+             .partitionBy("ingest_date")
              .trigger(availableNow=True)
              .start(dst))
     query.awaitTermination()

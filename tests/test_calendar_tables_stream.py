@@ -91,3 +91,15 @@ def test_bucketed_upsert_rewrites_touched_buckets_only(spark, tmp_root):
     # a complete rewrite hides every older bucket version
     store.publish_bucketed("t", spark.range(0, 3).selectExpr("id AS k", "'c' AS v"), ["k"], 16)
     assert store.read("t").count() == 3
+
+
+def test_mark_filter_prunes_ingest_days(spark, tmp_root):
+    src = os.path.join(tmp_root, "in")
+    spark.range(5).write.parquet(os.path.join(src, "f1"))
+    dst = os.path.join(tmp_root, "bronze")
+    ingest_stream(spark, src + "/*", dst, os.path.join(tmp_root, "ck"))
+    bronze = spark.read.parquet(dst)
+    assert "ingest_date" in bronze.columns
+    newer = newer_than(bronze, "bronze_ingested_at", dt.datetime(2000, 1, 1), "ingest_date")
+    plan = newer._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and newer.count() == 5
