@@ -103,3 +103,19 @@ def test_mark_filter_prunes_ingest_days(spark, tmp_root):
     newer = newer_than(bronze, "bronze_ingested_at", dt.datetime(2000, 1, 1), "ingest_date")
     plan = newer._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan and newer.count() == 5
+
+
+def test_compact_and_vacuum(spark, tmp_root):
+    store = TableStore(spark, tmp_root)
+    store.upsert_bucketed("t", spark.range(0, 50).selectExpr("id AS k", "'a' AS v"), ["k"], 4)
+    for i in range(3):
+        store.upsert_bucketed("t", spark.createDataFrame([(i, f"b{i}")], "k long, v string"), ["k"], 4)
+    assert store.versions_since_complete("t") == 3
+    before = sorted(map(tuple, store.read("t").collect()))
+    store.compact("t", ["k"], 4)
+    assert store.versions_since_complete("t") == 0
+    assert store.vacuum("t") == [1, 2, 3, 4]
+    assert sorted(map(tuple, store.read("t").collect())) == before
+    store.publish("plain", spark.range(2))
+    store.publish("plain", spark.range(3))
+    assert store.vacuum("plain") == [1] and store.read("plain").count() == 3
