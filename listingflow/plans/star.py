@@ -26,16 +26,35 @@ def top_developers(fact: DataFrame, developers: DataFrame, locations: DataFrame,
             .limit(n))
 
 
-def star_measures(fact: DataFrame, locations: DataFrame, by=("City", "Payment_Type")) -> DataFrame:
-    """Count, average, sum, minimum and maximum of the fact measures by location attributes."""
+# The default measures of star_measures, as (output name, aggregate, column,
+# decimal places or None).
+DEFAULT_MEASURES = (
+    ("listings", "count", "*", None),
+    ("avg_price", "avg", "Total_Price", 2),
+    ("total_size_sqm", "sum", "Size_SqM", None),
+    ("min_price_per_sqm", "min", "Price_Per_SqM", 4),
+    ("max_flexibility", "max", "Payment_Flexibility_Score", None),
+)
+_AGGREGATES = {"count": F.count, "avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def star_measures(fact: DataFrame, locations: DataFrame, by=("City", "Payment_Type"),
+                  measures=DEFAULT_MEASURES, where=None) -> DataFrame:
+    """Aggregates of fact measures (count, avg, sum, min, max) by fact or location attributes,
+    optionally filtered first (``where``: a Column or SQL text). Partial aggregation happens
+    before the shuffle, so a hot group costs one row per task."""
     loc = locations.select("location_sk", "City", "District")
     rows = fact.join(loc, "location_sk", "left")
-    return rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("listings"),
-        F.round(F.avg(F.col("Total_Price").cast("double")), 2).alias("avg_price"),
-        F.sum("Size_SqM").alias("total_size_sqm"),
-        F.round(F.min("Price_Per_SqM"), 4).alias("min_price_per_sqm"),
-        F.max("Payment_Flexibility_Score").alias("max_flexibility"))
+    if where is not None:
+        rows = rows.filter(where)
+    aggs = []
+    for name, func, column, places in measures:
+        value = F.lit(1) if column == "*" else F.col(column)
+        if func == "avg":
+            value = value.cast("double")
+        agg = _AGGREGATES[func](value)
+        aggs.append((F.round(agg, places) if places is not None else agg).alias(name))
+    return rows.groupBy(*by).agg(*aggs)
 
 
 def guarded_sql(spark: SparkSession, sql_text: str, limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:

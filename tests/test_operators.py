@@ -221,3 +221,16 @@ def test_table_context_and_views(spark, tmp_root):
     store.publish("fact_listings", a)
     store.register_views(["fact_listings", "missing"])
     assert spark.sql("SELECT count(*) AS n FROM fact_listings").first().n == 3
+
+
+def test_star_measures_generic(spark):
+    from listingflow.plans.star import star_measures
+    fact = spark.createDataFrame([("l1", 10.0, 2.0), ("l1", 20.0, 4.0), ("l2", 5.0, 1.0)],
+                                 "location_sk string, Size_SqM double, Price_Per_SqM double")
+    locs = spark.createDataFrame([("l1", "A", "d"), ("l2", "B", "d")],
+                                 "location_sk string, City string, District string")
+    out = star_measures(fact, locs, by=["City"],
+                        measures=[("n", "count", "*", None), ("s", "sum", "Size_SqM", None),
+                                  ("a", "avg", "Price_Per_SqM", 1)],
+                        where="Size_SqM > 6")
+    assert sorted(map(tuple, out.collect())) == [("A", 2, 30.0, 3.0)]
