@@ -106,8 +106,9 @@ def map_values(df: DataFrame, col: str, mapping) -> DataFrame:
         if not mapping:
             return df
         return df.replace(mapping, subset=[col])
-    pairs = mapping.select(F.col(mapping.columns[0]).alias("__from"),
-                           F.col(mapping.columns[1]).alias("__to")).dropDuplicates(["__from"])
+    pairs = (mapping.select(F.col(mapping.columns[0]).alias("__from"),
+                            F.col(mapping.columns[1]).alias("__to"))
+             .groupBy("__from").agg(F.min("__to").alias("__to")))  # one target per value
     joined = df.join(pairs, F.col(col) == F.col("__from"), "left")
     return joined.withColumn(col, F.coalesce(F.col("__to"), F.col(col))).drop("__from", "__to")
 

@@ -53,17 +53,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this must be set by the deployment (a path every executor can reach). Only when
     it is unset, as in a local test session, a private temporary folder is created and set.
     """
+    sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="listingflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; ``None`` for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 _SCRATCH_ROOTS: set[str] = set()
 
 
@@ -71,8 +80,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder for one job's written intermediates, under
     ``<checkpoint root>/listingflow/<application id>/``. That application folder is removed when
     the driver process exits (frames returned to a caller may read from it until then)."""
-    root = f"{checkpoint_root(spark)}/listingflow/{spark.sparkContext.applicationId}"
-    if root not in _SCRATCH_ROOTS:
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
+    root = f"{checkpoint_root(spark)}/listingflow/{app}"
+    if root not in _SCRATCH_ROOTS and sc is not None:
         _SCRATCH_ROOTS.add(root)
         atexit.register(_remove_tree, spark, root)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
@@ -107,7 +118,10 @@ def spread(df, min_partitions: int | None = None):
     A scan that already has enough splits (the normal case for a big table) is left alone, so
     this costs a shuffle only where the alternative is one task doing all the work.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    sc = _context(df.sparkSession)
+    if sc is None:           # Spark Connect: no partition count to inspect
+        return df
+    want = min_partitions or sc.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)

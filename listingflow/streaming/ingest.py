@@ -55,11 +55,14 @@ def stamp_ingest(df: DataFrame, ts=None) -> DataFrame:
 
 def stream_path(spark: SparkSession, src: str) -> str:
     """A file stream source watches a folder or a glob; a single file becomes a one-file glob."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(src)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(path) and fs.getFileStatus(path).isFile():
-        return src[:-1] + "[" + src[-1] + "]"
-    return src
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(src)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        is_file = fs.exists(path) and fs.getFileStatus(path).isFile()
+    except Exception:        # no JVM handle (Spark Connect): judge by the name
+        is_file = not any(ch in src for ch in "*?[{") and \
+            src.rsplit("/", 1)[-1].rsplit(".", 1)[-1] in ("parquet", "csv", "json", "orc", "txt")
+    return src[:-1] + "[" + src[-1] + "]" if is_file else src
 
 
 def ingest_stream(spark: SparkSession, src: str, dst: str, checkpoint: str, fmt: str = "parquet",
