@@ -234,3 +234,14 @@ def test_star_measures_generic(spark):
                                   ("a", "avg", "Price_Per_SqM", 1)],
                         where="Size_SqM > 6")
     assert sorted(map(tuple, out.collect())) == [("A", 2, 30.0, 3.0)]
+
+
+def test_lookup_left_and_unique(spark):
+    import pytest
+    from listingflow.operators.facts import lookup
+    rows_ = spark.createDataFrame([(1, "a"), (2, "z"), (3, None)], "id int, code string")
+    dim = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, label string")
+    out = lookup(rows_, dim, {"code": "k"}, ["label"], check_unique=True).orderBy("id")
+    assert [tuple(r) for r in out.collect()] == [(1, "a", "A"), (2, "z", None), (3, None, None)]
+    with pytest.raises(ValueError):
+        lookup(rows_, dim.union(dim), {"code": "k"}, ["label"], check_unique=True)
