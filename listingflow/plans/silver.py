@@ -77,12 +77,15 @@ def clean_rows(df: DataFrame, price_mode: str = "decimal", developer_map=None) -
 
 
 def impute_and_derive(df: DataFrame, as_of, stats_from: DataFrame | None = None) -> DataFrame:
-    """Group means, defaults and derived payment features."""
+    """Group means, defaults and derived payment features. Both groups' means are taken from
+    the batch as given (the city fill does not touch the down payment), so neither mean job
+    depends on the other's join."""
+    batch = df
     df = impute_mean(df, CITY_MEAN_COLUMNS, "City", stats_from)
     df = df.drop(*[src for _, src in DECIMAL_COLUMNS if src in df.columns])
     df = C.fill_defaults(df, C.AMENITY_DEFAULTS)
     df = payment_type(df)
-    df = impute_down_payment(df, stats_from=stats_from)
+    df = impute_down_payment(df, stats_from=batch if stats_from is None else stats_from)
     df = flexibility_score(df)
     return ready_to_move(df, as_of)
 
