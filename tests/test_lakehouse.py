@@ -88,3 +88,20 @@ def test_files_to_gold_with_ingest(spark, tmp_root):
     third = run_lakehouse(spark, None, RunConfig(root=f"{tmp_root}/lake", as_of="2021-06-30",
                                                  raw_dir=f"{raw_dir}/*", buckets=8))
     assert third[0]["new_rows"] == 0 and third[1]["new_rows"] == 0
+
+
+def test_quality_gate_holds_back_silver(spark, tmp_root):
+    import pytest
+    from listingflow.plans.lakehouse import QualityGateError
+    raw = raw_listings(spark, SF_SMALL)
+    store = TableStore(spark, tmp_root)
+    cfg = RunConfig(root=tmp_root, as_of="2021-06-30", run_ts=dt.datetime(2030, 1, 1),
+                    quality_gate=True, max_bad_share=0.01, buckets=8)
+    with pytest.raises(QualityGateError):
+        silver_step(store, raw, cfg)
+    assert store.read("quarantine").count() > 0
+    assert store.read("silver") is None and store.read("control") is None
+    ok = RunConfig(root=tmp_root, as_of="2021-06-30", run_ts=dt.datetime(2030, 1, 2),
+                   quality_gate=True, max_bad_share=0.5, buckets=8)
+    assert silver_step(store, raw, ok)["new_rows"] == raw.count()
+    assert store.read("silver").count() > 0
