@@ -105,3 +105,19 @@ def test_quality_gate_holds_back_silver(spark, tmp_root):
                    quality_gate=True, max_bad_share=0.5, buckets=8)
     assert silver_step(store, raw, ok)["new_rows"] == raw.count()
     assert store.read("silver").count() > 0
+
+
+def test_gold_crash_before_mark_rerun_is_idempotent(spark, tmp_root):
+    raw = raw_listings(spark, SF_SMALL)
+    store = TableStore(spark, tmp_root)
+    cfg = RunConfig(root=tmp_root, as_of="2021-06-30", run_ts=dt.datetime(2030, 1, 1), buckets=8)
+    silver_step(store, raw, cfg)
+    gold_step(store, cfg)
+    names = ("dim_developer", "dim_location", "dim_profile", "fact_listings")
+    before = {n: snapshot(store, n) for n in names}
+    store.publish("control", store.read("control").filter("layer <> 'gold'"))  # mark lost
+    rerun = RunConfig(root=tmp_root, as_of="2021-06-30", run_ts=dt.datetime(2030, 1, 2), buckets=8)
+    assert gold_step(store, rerun)["new_rows"] == store.read("silver").count()
+    assert {n: snapshot(store, n) for n in names} == before
+    devs = store.read("dim_developer")
+    assert devs.count() == devs.filter("is_current").count()        # no spurious versions
