@@ -119,3 +119,16 @@ def test_compact_and_vacuum(spark, tmp_root):
     store.publish("plain", spark.range(2))
     store.publish("plain", spark.range(3))
     assert store.vacuum("plain") == [1] and store.read("plain").count() == 3
+
+
+def test_bucketed_time_travel_and_plain_conversion(spark, tmp_root):
+    store = TableStore(spark, tmp_root)
+    v1 = store.upsert_bucketed("t", spark.range(0, 20).selectExpr("id AS k", "'a' AS v"), ["k"], 4)
+    store.upsert_bucketed("t", spark.createDataFrame([(1, "b")], "k long, v string"), ["k"], 4)
+    old = {r.k: r.v for r in store.read("t", version=v1).collect()}
+    new = {r.k: r.v for r in store.read("t").collect()}
+    assert len(old) == len(new) == 20 and old[1] == "a" and new[1] == "b"
+    store.publish("p", spark.range(0, 10).selectExpr("id AS k", "'a' AS v"))
+    store.upsert_bucketed("p", spark.createDataFrame([(3, "z"), (30, "n")], "k long, v string"), ["k"], 4)
+    rows = {r.k: r.v for r in store.read("p").collect()}
+    assert len(rows) == 11 and rows[3] == "z" and rows[0] == "a"
