@@ -42,6 +42,39 @@ def impute_mean(df: DataFrame, cols, by, stats_from: DataFrame | None = None,
     return out.drop(*[f"__key_{b}" for b in by], *[f"__mean_{c}" for c in cols])
 
 
+def group_means(src: DataFrame, spec: dict, stage_stats: bool = True) -> dict:
+    """Means of several column sets over several groupings, from ONE aggregate of ``src``.
+
+    ``spec`` maps a grouping column to the columns to average, e.g.
+    ``{"City": [...], "Developer_Name": ["Down_Payment_Pct"]}``. The grouping sets are computed
+    together (one scan, one small shuffle, partial aggregation) and, with ``stage_stats``, written
+    once; the result maps each grouping column to a frame ``(__key_<by>, __mean_<col>...)``
+    ready for ``fill_from_means``.
+    """
+    bys = list(spec)
+    cols = sorted({c for cs in spec.values() for c in cs})
+    stats = src.groupingSets([[b] for b in bys], *bys).agg(
+        *[F.avg(c).alias(f"__mean_{c}") for c in cols],
+        F.grouping_id().alias("__gid"))
+    if stage_stats:
+        stats = stage(stats, "group-means")
+    out = {}
+    for i, by in enumerate(bys):
+        # grouping_id has a bit set for every grouping column NOT in the set
+        gid = sum(1 << (len(bys) - 1 - j) for j in range(len(bys)) if j != i)
+        out[by] = stats.filter(F.col("__gid") == gid).select(
+            F.col(by).alias(f"__key_{by}"), *[f"__mean_{c}" for c in spec[by]])
+    return out
+
+
+def fill_from_means(df: DataFrame, means: DataFrame, by: str, cols) -> DataFrame:
+    """Fill NULLs of ``cols`` from a ``group_means`` frame, joined NULL-safely on ``by``."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    out = df.join(means, F.col(by).eqNullSafe(F.col(f"__key_{by}")), "left")
+    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__mean_{c}")) for c in cols})
+    return out.drop(f"__key_{by}", *[f"__mean_{c}" for c in cols])
+
+
 def payment_type(df: DataFrame, years_col: str = "Installment_Years",
                  out: str = "Payment_Type") -> DataFrame:
     """Instalments when there is at least one instalment year, otherwise cash (NULL -> cash)."""

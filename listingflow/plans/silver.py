@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.operators import cleaning as C
-from listingflow.operators.features import (flexibility_score, impute_down_payment, impute_mean,
-                                            payment_type, ready_to_move)
+from listingflow.operators.features import (CASH_DOWN_PAYMENT, PAYMENT_CASH, fill_from_means,
+                                            flexibility_score, group_means, payment_type,
+                                            ready_to_move)
 from listingflow.operators.merge import dedup_latest
 from listingflow.operators.quality import (REASON_MISSING_KEY, flag_invalid, listing_rules,
                                            missing_key)
@@ -77,15 +78,22 @@ def clean_rows(df: DataFrame, price_mode: str = "decimal", developer_map=None) -
 
 
 def impute_and_derive(df: DataFrame, as_of, stats_from: DataFrame | None = None) -> DataFrame:
-    """Group means, defaults and derived payment features. Both groups' means are taken from
-    the batch as given (the city fill does not touch the down payment), so neither mean job
-    depends on the other's join."""
-    batch = df
-    df = impute_mean(df, CITY_MEAN_COLUMNS, "City", stats_from)
+    """Group means, defaults and derived payment features.
+
+    The city means (transport, schools) and the developer mean (down payment) come from one
+    grouping-sets aggregate of the batch as given (or of ``stats_from``); the down-payment mean
+    is over the clamped values of all rows, cash rows included, before cash is set to 100.
+    """
+    means = group_means(df if stats_from is None else stats_from,
+                        {"City": list(CITY_MEAN_COLUMNS), "Developer_Name": ["Down_Payment_Pct"]})
+    df = fill_from_means(df, means["City"], "City", CITY_MEAN_COLUMNS)
     df = df.drop(*[src for _, src in DECIMAL_COLUMNS if src in df.columns])
     df = C.fill_defaults(df, C.AMENITY_DEFAULTS)
     df = payment_type(df)
-    df = impute_down_payment(df, stats_from=batch if stats_from is None else stats_from)
+    df = fill_from_means(df, means["Developer_Name"], "Developer_Name", ["Down_Payment_Pct"])
+    df = df.withColumn("Down_Payment_Pct",
+                       F.when(F.col("Payment_Type") == PAYMENT_CASH, F.lit(CASH_DOWN_PAYMENT))
+                       .otherwise(F.col("Down_Payment_Pct")))
     df = flexibility_score(df)
     return ready_to_move(df, as_of)
 
