@@ -1,752 +1,10 @@
 """Registered queries: one Spark job per operator family, each with its DuckDB oracle.
 
 Every query reads the driver tables (through ``raw_listings`` or directly), over whole tables,
-so its work grows with the data. Names are what ``__spark_entry__.queries()`` exposes.
+so its work grows with the data. Names are what ``__spark_entry__.queries()`` exposes; the
+queries themselves live in ``listingflow.plans.queries`` (one module per operator family).
 """
 
-from __future__ import annotations
+from listingflow.plans.queries import ORACLE, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from listingflow.operators import cleaning as C
-from listingflow.operators.merge import dedup_latest
-from listingflow.operators.quality import quality_summary, split_valid
-from listingflow.plans import oracle as O
-from listingflow.plans.silver import silver_transform
-from listingflow.sources.fixtures import VERSION_ORDER, raw_listings, read_driver_table
-
-AS_OF = O.AS_OF
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None):
-    def wrap(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLE[name] = oracle
-        return fn
-    return wrap
-
-
-def _round(c: str, places: int):
-    return F.round(F.col(c).cast("double"), places).alias(c)
-
-
-def silver_flagged(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
-    raw = raw_listings(spark, sf_dir) if raw is None else raw
-    return silver_transform(raw, AS_OF)
-
-
-def silver_good(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
-    """Good silver rows. The cleaned batch and its group means are already written inside
-    ``silver_transform``, so readers (even several, as in the gold queries) recompute only the
-    broadcast joins and expressions on top of them; measured faster than writing a copy."""
-    good, _ = split_valid(silver_flagged(spark, sf_dir, raw))
-    return good
-
-
-# ---------------------------------------------------------------- row-wise cleaning (P4-P19)
-
-@register("clean_text", O.with_ctes(O.RAW) + f"""
-SELECT Property_ID, row_seq,
-  {O.clean_text('City')} AS City, {O.clean_text('District')} AS District,
-  {O.clean_text('Compound_Name')} AS Compound_Name, {O.clean_text('Unit_Type')} AS Unit_Type,
-  {O.clean_text('View_Type')} AS View_Type, {O.clean_text('Kitchen_Type', None)} AS Kitchen_Type
-FROM raw""")
-def q_clean_text(spark, sf_dir):
-    df = C.clean_text(raw_listings(spark, sf_dir))
-    df = C.clean_text(df, ["Kitchen_Type"], default=None)
-    return df.select("Property_ID", "row_seq", *C.TEXT_COLUMNS, "Kitchen_Type")
-
-
-@register("parse_dates", O.with_ctes(O.RAW) + f"""
-SELECT Property_ID, row_seq,
-  {O.within_years(O.parse_date('Delivery_Date'), 2010, 2035)} AS Delivery_Date,
-  {O.within_years(f"coalesce({O.parse_date('Date')}, cast(ingestion_time AS date))", 2018, 2027)} AS "Date",
-  year({O.within_years(O.parse_date('Delivery_Date'), 2010, 2035)}) AS year
-FROM raw""")
-def q_parse_dates(spark, sf_dir):
-    df = C.parse_dates(raw_listings(spark, sf_dir), ["Delivery_Date", "Date"])
-    df = C.date_fallback(df, "Date")
-    df = C.within_years(df, "Delivery_Date", 2010, 2035)
-    df = C.within_years(df, "Date", 2018, 2027)
-    return df.select("Property_ID", "row_seq", "Delivery_Date", "Date",
-                     F.year("Delivery_Date").alias("year"))
-
-
-@register("parse_amounts", O.with_ctes(O.RAW) + f"""
-SELECT Property_ID, row_seq, {O.parse_amount('Total_Price')} AS Total_Price,
-  {O.positive_double('Size_SqM')} AS Size_SqM,
-  cast({O.parse_amount('Total_Price')} AS double) / {O.positive_double('Size_SqM')} AS Price_Per_SqM
-FROM raw""")
-def q_parse_amounts(spark, sf_dir):
-    df = C.parse_amount(raw_listings(spark, sf_dir), "Total_Price")
-    df = C.positive_double(df, "Size_SqM")
-    df = C.ratio(df, "Price_Per_SqM", "Total_Price", "Size_SqM")
-    return df.select("Property_ID", "row_seq", "Total_Price", "Size_SqM", "Price_Per_SqM")
-
-
-@register("clamp_terms", O.with_ctes(O.RAW) + f"""
-SELECT Property_ID, row_seq,
-  {O.clamp_double('Down_Payment_Pct', 0.0, 100.0)} AS Down_Payment_Pct,
-  {O.clamp_int('Installment_Years', 0, 30)} AS Installment_Years,
-  try_cast(Has_Elevator AS boolean) AS Has_Elevator,
-  try_cast(Distance_To_City_Center_KM AS double) AS Distance_To_City_Center_KM,
-  try_cast(Kitchen_Size_SqM AS double) AS Kitchen_Size_SqM,
-  try_cast(Reception_Size_SqM AS double) AS Reception_Size_SqM,
-  try_cast(Balcony_Size_SqM AS double) AS Balcony_Size_SqM,
-  try_cast({O.scrub('Transport_Index')} AS decimal(10,2)) AS Transport_Index_Num,
-  try_cast({O.scrub('Nearby_Schools_Score')} AS decimal(10,2)) AS Nearby_Schools_Score_Num,
-  try_cast({O.scrub('Nearby_Malls_Dist_KM')} AS decimal(10,2)) AS NearbyMalls_Dist_KM
-FROM raw""")
-def q_clamp_terms(spark, sf_dir):
-    df = C.clamp(raw_listings(spark, sf_dir), "Down_Payment_Pct", 0.0, 100.0, "double")
-    df = C.clamp(df, "Installment_Years", 0, 30, "int")
-    df = C.try_casts(df, {"Has_Elevator": "boolean", "Distance_To_City_Center_KM": "double",
-                          "Kitchen_Size_SqM": "double", "Reception_Size_SqM": "double",
-                          "Balcony_Size_SqM": "double"})
-    df = C.scrub_nan(df, cols=["Transport_Index", "Nearby_Schools_Score", "Nearby_Malls_Dist_KM"])
-    df = df.withColumns({"Transport_Index_Num": F.col("Transport_Index").try_cast("decimal(10,2)"),
-                         "Nearby_Schools_Score_Num":
-                             F.col("Nearby_Schools_Score").try_cast("decimal(10,2)"),
-                         "NearbyMalls_Dist_KM":
-                             F.col("Nearby_Malls_Dist_KM").try_cast("decimal(10,2)")})
-    return df.select("Property_ID", "row_seq", "Down_Payment_Pct", "Installment_Years",
-                     "Has_Elevator", "Distance_To_City_Center_KM", "Kitchen_Size_SqM",
-                     "Reception_Size_SqM", "Balcony_Size_SqM", "Transport_Index_Num",
-                     "Nearby_Schools_Score_Num", "NearbyMalls_Dist_KM")
-
-
-_J = "Amenities_JSON"
-
-
-@register("expand_amenities", O.with_ctes(O.RAW) + f"""
-SELECT Property_ID, row_seq,
-  coalesce(CASE WHEN json_valid({_J}) THEN try_cast(json_extract_string({_J}, '$.has_pool') AS boolean) END, false) AS has_pool,
-  coalesce(CASE WHEN json_valid({_J}) THEN try_cast(json_extract_string({_J}, '$.gym') AS boolean) END, false) AS gym,
-  coalesce(CASE WHEN json_valid({_J}) THEN json_extract_string({_J}, '$.security') END, 'None') AS security,
-  coalesce(CASE WHEN json_valid({_J}) THEN try_cast(json_extract_string({_J}, '$.parking_spots') AS integer) END, 0) AS parking_spots,
-  coalesce(Smart_Home_Ready, 0) AS Smart_Home_Ready
-FROM raw""")
-def q_expand_amenities(spark, sf_dir):
-    df = C.expand_json(raw_listings(spark, sf_dir), "Amenities_JSON")
-    df = C.fill_defaults(df, C.AMENITY_DEFAULTS)
-    return df.select("Property_ID", "row_seq", "has_pool", "gym", "security", "parking_spots",
-                     "Smart_Home_Ready")
-
-
-@register("clean_names", O.with_ctes(O.RAW) + f"""
-SELECT Property_ID, row_seq, {O.clean_name('Developer_Name')} AS Developer_Name FROM raw""")
-def q_clean_names(spark, sf_dir):
-    df = C.clean_name(raw_listings(spark, sf_dir), "Developer_Name")
-    return df.select("Property_ID", "row_seq", "Developer_Name")
-
-
-@register("map_values", O.with_ctes(O.RAW, f"""names AS (
-  SELECT s_name AS from_value, concat(s_name, ' (', {O.initcap('n_name')}, ')') AS to_value
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey)""") + f"""
-SELECT Property_ID, row_seq, coalesce(to_value, {O.clean_name('Developer_Name')}) AS Developer_Name
-FROM raw LEFT JOIN names ON {O.clean_name('Developer_Name')} = from_value""")
-def q_map_values(spark, sf_dir):
-    """Spelling map given as a table (supplier name -> labelled name), applied by a join."""
-    nation = read_driver_table(spark, sf_dir, "nation")
-    names = (read_driver_table(spark, sf_dir, "supplier")
-             .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-             .select(F.col("s_name").alias("from_value"),
-                     F.concat("s_name", F.lit(" ("), F.initcap("n_name"), F.lit(")"))
-                     .alias("to_value")))
-    df = C.clean_name(raw_listings(spark, sf_dir), "Developer_Name")
-    df = C.map_values(df, "Developer_Name", names)
-    return df.select("Property_ID", "row_seq", "Developer_Name")
-
-
-@register("validate_domain", O.with_ctes(O.RAW) + f"""
-SELECT Property_ID, row_seq,
-  {O.domain('Market_Reputation', O.REPUTATION)} AS Market_Reputation,
-  {O.domain('Delivery_Punctuality', O.PUNCTUALITY)} AS Delivery_Punctuality,
-  CASE WHEN Rooms_Count = 0 THEN 1 ELSE Rooms_Count END AS Rooms_Count,
-  {O.scrub(O.clean_text('City'))} AS City,
-  {O.scrub('Nearby_Schools_Score')} AS Nearby_Schools_Score
-FROM raw""")
-def q_validate_domain(spark, sf_dir):
-    df = C.validate_domain(raw_listings(spark, sf_dir), "Market_Reputation", C.REPUTATION_DOMAIN)
-    df = C.validate_domain(df, "Delivery_Punctuality", C.PUNCTUALITY_DOMAIN)
-    df = C.recode(df, "Rooms_Count", {0: 1})
-    df = C.clean_text(df, ["City"])
-    df = C.scrub_nan(df)
-    return df.select("Property_ID", "row_seq", "Market_Reputation", "Delivery_Punctuality",
-                     "Rooms_Count", "City", "Nearby_Schools_Score")
-
-
-# ---------------------------------------------------------------- keyed silver steps
-
-@register("dedup_latest", O.with_ctes(O.RAW, O.DEDUP) + """
-SELECT Property_ID, bronze_ingested_at, row_seq, source_file_path FROM dd""")
-def q_dedup_latest(spark, sf_dir):
-    df = dedup_latest(raw_listings(spark, sf_dir), "Property_ID", VERSION_ORDER)
-    return df.select("Property_ID", "bronze_ingested_at", "row_seq", "source_file_path")
-
-
-@register("impute_city_mean", O.with_ctes(O.SILVER_CTES) + f"""
-SELECT Property_ID, City,
-  {O.spark_round('round(Transport_Index_Num, 6)', 4)} AS Transport_Index_Num,
-  {O.spark_round('round(Nearby_Schools_Score_Num, 6)', 4)} AS Nearby_Schools_Score_Num
-FROM silver""")
-def q_impute_city_mean(spark, sf_dir):
-    df = silver_flagged(spark, sf_dir)
-    return df.select("Property_ID", "City", _round("Transport_Index_Num", 4),
-                     _round("Nearby_Schools_Score_Num", 4))
-
-
-@register("impute_down_payment", O.with_ctes(O.SILVER_CTES) + f"""
-SELECT Property_ID, Developer_Name, Payment_Type,
-  round(Down_Payment_Pct, 6) AS Down_Payment_Pct, Payment_Flexibility_Score
-FROM silver""")
-def q_impute_down_payment(spark, sf_dir):
-    df = silver_flagged(spark, sf_dir)
-    return df.select("Property_ID", "Developer_Name", "Payment_Type",
-                     _round("Down_Payment_Pct", 6), "Payment_Flexibility_Score")
-
-
-@register("ready_to_move", O.with_ctes(O.SILVER_CTES) + """
-SELECT Property_ID, Delivery_Date, Is_Ready_To_Move FROM silver""")
-def q_ready_to_move(spark, sf_dir):
-    return silver_flagged(spark, sf_dir).select("Property_ID", "Delivery_Date", "Is_Ready_To_Move")
-
-
-@register("quarantine_split", O.with_ctes(O.SILVER_CTES) + """
-SELECT Property_ID, quarantine_reason, Total_Price, Size_SqM, City
-FROM silver WHERE quarantine_reason IS NOT NULL""")
-def q_quarantine_split(spark, sf_dir):
-    _, bad = split_valid(silver_flagged(spark, sf_dir))
-    return bad.select("Property_ID", "quarantine_reason", "Total_Price", "Size_SqM", "City")
-
-
-@register("quality_summary", O.with_ctes(O.SILVER_CTES) + """
-SELECT reason, rows, round(rows / sum(rows) OVER (), 6) AS share,
-       reason <> 'Valid' AND round(rows / sum(rows) OVER (), 6) > 0.05 AS alert
-FROM (SELECT coalesce(quarantine_reason, 'Valid') AS reason, count(*) AS rows
-      FROM silver GROUP BY 1)""")
-def q_quality_summary(spark, sf_dir):
-    return quality_summary(silver_flagged(spark, sf_dir), max_bad_share=0.05)
-
-
-SILVER_COLUMNS = (
-    "Property_ID", "City", "District", "Compound_Name", "Unit_Type", "View_Type", "Kitchen_Type",
-    "Delivery_Date", "Date", "ingestion_time", "Total_Price", "Size_SqM", "Installment_Years",
-    "Has_Elevator", "Distance_To_City_Center_KM", "Kitchen_Size_SqM", "Reception_Size_SqM",
-    "Balcony_Size_SqM", "Developer_Name", "Market_Reputation", "Delivery_Punctuality",
-    "Rooms_Count", "Smart_Home_Ready", "bronze_ingested_at", "source_file_path", "row_seq",
-    "Price_Per_SqM", "year", "has_pool", "gym", "security", "parking_spots",
-    "NearbyMalls_Dist_KM", "Payment_Type", "Payment_Flexibility_Score", "Is_Ready_To_Move")
-
-
-@register("silver_listings", O.with_ctes(O.SILVER_CTES) + f"""
-SELECT {', '.join('"Date"' if c == 'Date' else c for c in SILVER_COLUMNS)},
-  round(Down_Payment_Pct, 6) AS Down_Payment_Pct,
-  {O.spark_round('round(Transport_Index_Num, 6)', 4)} AS Transport_Index_Num,
-  {O.spark_round('round(Nearby_Schools_Score_Num, 6)', 4)} AS Nearby_Schools_Score_Num
-FROM silver WHERE quarantine_reason IS NULL""")
-def q_silver_listings(spark, sf_dir):
-    return silver_good(spark, sf_dir).select(
-        *SILVER_COLUMNS, _round("Down_Payment_Pct", 6), _round("Transport_Index_Num", 4),
-        _round("Nearby_Schools_Score_Num", 4))
-
-
-# ---------------------------------------------------------------- incremental read and merges
-
-def _control_mark(spark, df: DataFrame, before: str):
-    """High-water mark of a first batch (rows ingested before ``before``) as a control row,
-    read back the way a later run reads it."""
-    from listingflow.sources.tables import control_row, last_mark, max_mark
-    first = df.filter(F.col("bronze_ingested_at") < F.lit(before).cast("timestamp_ntz"))
-    mark = max_mark(first, "bronze_ingested_at")
-    control = control_row(spark, "silver", "listings", mark, 0, "SUCCESS", "batch-1", mark)
-    return last_mark(control, "silver", "listings")
-
-
-@register("incremental_read", O.with_ctes(O.RAW) + """
-SELECT Property_ID, row_seq, bronze_ingested_at FROM raw
-WHERE bronze_ingested_at > (SELECT max(bronze_ingested_at) FROM raw
-                            WHERE bronze_ingested_at < TIMESTAMP '1998-01-01')""")
-def q_incremental_read(spark, sf_dir):
-    from listingflow.sources.tables import newer_than
-    raw = raw_listings(spark, sf_dir)
-    mark = _control_mark(spark, raw, "1998-01-01 00:00:00")
-    return newer_than(raw, "bronze_ingested_at", mark).select("Property_ID", "row_seq",
-                                                               "bronze_ingested_at")
-
-
-_FIRST = "bronze_ingested_at < TIMESTAMP '1998-01-01'"
-_SECOND = "bronze_ingested_at >= TIMESTAMP '1998-01-01'"
-
-
-def _halves(spark, sf_dir):
-    # Each batch's time filter reaches its own lineitem scan, so the two batches together join
-    # the raw tables once.
-    raw = raw_listings(spark, sf_dir)
-    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    first, _ = split_valid(silver_transform(raw.filter(F.col("bronze_ingested_at") < cut), AS_OF))
-    second, _ = split_valid(silver_transform(raw.filter(F.col("bronze_ingested_at") >= cut), AS_OF))
-    return first, second
-
-
-_UPSERT_COLS = "Property_ID, bronze_ingested_at, row_seq, Total_Price, Size_SqM, City, Developer_Name"
-
-
-@register("upsert_listings", O.with_ctes(O.RAW, *O.silver_ctes("1", _FIRST), *O.silver_ctes("2", _SECOND)) + f"""
-SELECT {_UPSERT_COLS} FROM silver1 t
-WHERE quarantine_reason IS NULL
-  AND NOT EXISTS (SELECT 1 FROM silver2 s WHERE s.quarantine_reason IS NULL AND s.Property_ID = t.Property_ID)
-UNION ALL
-SELECT {_UPSERT_COLS} FROM silver2 WHERE quarantine_reason IS NULL""")
-def q_upsert_listings(spark, sf_dir):
-    from listingflow.operators.merge import upsert
-    first, second = _halves(spark, sf_dir)
-    return upsert(first, second, ["Property_ID"]).select(*_UPSERT_COLS.split(", "))
-
-
-@register("impute_history_mean", O.with_ctes(O.RAW, *O.silver_ctes("1", _FIRST), *O.silver_ctes("2", _SECOND), """
-hist AS (SELECT City, Transport_Index_Num AS ti FROM silver1 WHERE quarantine_reason IS NULL
-         UNION ALL SELECT City, Transport_Index_Num FROM c2),
-m AS (SELECT City, avg(ti) AS ti_mean FROM hist GROUP BY City)""") + f"""
-SELECT c2.Property_ID, c2.City,
-  {O.spark_round('round(coalesce(c2.Transport_Index_Num, m.ti_mean), 10)', 4)} AS Transport_Index_Num
-FROM c2 LEFT JOIN m ON c2.City = m.City""")
-def q_impute_history_mean(spark, sf_dir):
-    """Means from history: the second batch's missing transport index is filled with the city
-    mean over the published silver rows of the first batch plus the new batch itself."""
-    from listingflow.operators.features import impute_mean
-    from listingflow.plans.silver import clean_rows, newest_versions
-    raw = raw_listings(spark, sf_dir)
-    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    first, _ = split_valid(silver_transform(raw.filter(F.col("bronze_ingested_at") < cut), AS_OF))
-    batch = clean_rows(newest_versions(raw.filter(F.col("bronze_ingested_at") >= cut)))
-    history = first.select("City", "Transport_Index_Num").unionByName(
-        batch.select("City", "Transport_Index_Num"))
-    out = impute_mean(batch, "Transport_Index_Num", "City", stats_from=history)
-    return out.select("Property_ID", "City", _round("Transport_Index_Num", 4))
-
-
-_PROFILE = ("Unit_Type", "View_Type", "Kitchen_Type", "Has_Elevator", "Smart_Home_Ready",
-            "has_pool", "gym", "security", "parking_spots")
-_PROFILE_SQL = ", ".join(_PROFILE)
-
-
-@register("insert_new_profiles", O.with_ctes(O.RAW, *O.silver_ctes("1", _FIRST), *O.silver_ctes("2", _SECOND), f"""
-p1 AS (SELECT DISTINCT {_PROFILE_SQL} FROM silver1 WHERE quarantine_reason IS NULL),
-p2 AS (SELECT DISTINCT {_PROFILE_SQL} FROM silver2 WHERE quarantine_reason IS NULL)""") + f"""
-SELECT {_PROFILE_SQL}, {O.hash_key(*_PROFILE)} AS profile_sk FROM p1
-UNION ALL
-SELECT {_PROFILE_SQL}, {O.hash_key(*_PROFILE)} AS profile_sk FROM p2
-WHERE {O.hash_key(*_PROFILE)} NOT IN (SELECT {O.hash_key(*_PROFILE)} FROM p1)""")
-def q_insert_new_profiles(spark, sf_dir):
-    from listingflow.operators.dims import merge_profile, profile_batch
-    first, second = _halves(spark, sf_dir)
-    return merge_profile(profile_batch(first), profile_batch(second))
-
-
-# ---------------------------------------------------------------- dimensions
-
-def developer_rows(spark, sf_dir, raw: DataFrame | None = None) -> DataFrame:
-    """Every raw version's developer attributes, cleaned as in silver."""
-    raw = raw_listings(spark, sf_dir) if raw is None else raw
-    df = C.clean_name(raw, "Developer_Name")
-    df = C.validate_domain(df, "Market_Reputation", C.REPUTATION_DOMAIN)
-    df = C.validate_domain(df, "Delivery_Punctuality", C.PUNCTUALITY_DOMAIN)
-    df = C.scrub_nan(df, cols=["Developer_Name"])
-    return df.select("Developer_Name", "Market_Reputation", "Delivery_Punctuality",
-                     "bronze_ingested_at", "row_seq")
-
-
-def developer_history(spark, sf_dir, raw: DataFrame | None = None) -> DataFrame:
-    from listingflow.operators.dims import scd2_from_history
-    return scd2_from_history(developer_rows(spark, sf_dir, raw))
-
-
-@register("scd2_history", O.with_ctes(O.RAW, *O.HISTORY_CTES) + "SELECT * FROM hist")
-def q_scd2_history(spark, sf_dir):
-    return developer_history(spark, sf_dir)
-
-
-@register("scd2_incremental", O.with_ctes(O.RAW, O.DEV_ROWS, """yearpick AS (
-  SELECT Developer_Name, Market_Reputation, Delivery_Punctuality,
-         make_timestamp(yr, 12, 31, 0, 0, 0) AS batch_ts
-  FROM devrows
-  QUALIFY row_number() OVER (PARTITION BY Developer_Name, yr ORDER BY bronze_ingested_at DESC, row_seq DESC) = 1)""")
-         + O.scd2_sql("yearpick", "batch_ts"))
-def q_scd2_incremental(spark, sf_dir):
-    """One merge per yearly batch (ingest year), dimension checkpointed between batches."""
-    from listingflow.operators.dims import developer_batch, merge_scd2
-    from listingflow.session import checkpoint_root, stage
-    checkpoint_root(spark)
-    # Five narrow columns, written once: the yearly batches then read them instead of each
-    # re-deriving the raw joins.
-    rows = stage(developer_rows(spark, sf_dir).withColumn("yr", F.year("bronze_ingested_at")),
-                 "developer-rows")
-    years = sorted(r["yr"] for r in rows.select("yr").distinct().collect())
-    dim = None
-    for y in years:
-        batch = developer_batch(rows.filter(F.col("yr") == y))
-        ts = F.lit(f"{y}-12-31 00:00:00").cast("timestamp_ntz")
-        dim = merge_scd2(dim, batch, ts).checkpoint()
-    return dim
-
-
-_GOOD = "g AS (SELECT * FROM silver WHERE quarantine_reason IS NULL)"
-
-
-@register("dim_location", O.with_ctes(O.SILVER_CTES, _GOOD) + f"""
-SELECT City, District, Distance_To_City_Center_KM,
-  {O.spark_round('round(Transport_Index_Num, 6)', 4)} AS Transport_Index_Num,
-  {O.spark_round('round(Nearby_Schools_Score_Num, 6)', 4)} AS Nearby_Schools_Score_Num,
-  {O.hash_key('City', 'District')} AS location_sk
-FROM g QUALIFY row_number() OVER (PARTITION BY City, District ORDER BY bronze_ingested_at DESC, row_seq DESC) = 1""")
-def q_dim_location(spark, sf_dir):
-    from listingflow.operators.dims import location_batch
-    loc = location_batch(silver_good(spark, sf_dir))
-    return loc.select("City", "District", "Distance_To_City_Center_KM",
-                      _round("Transport_Index_Num", 4), _round("Nearby_Schools_Score_Num", 4),
-                      "location_sk")
-
-
-@register("dim_profile", O.with_ctes(O.SILVER_CTES, _GOOD) + f"""
-SELECT {_PROFILE_SQL}, {O.hash_key(*_PROFILE)} AS profile_sk FROM (SELECT DISTINCT {_PROFILE_SQL} FROM g)""")
-def q_dim_profile(spark, sf_dir):
-    from listingflow.operators.dims import profile_batch
-    return profile_batch(silver_good(spark, sf_dir))
-
-
-# ---------------------------------------------------------------- fact, lookups, star
-
-RUN_TS = "2021-06-30 00:00:00"
-_RUN_TS_TEXT = "'2021-06-30 00:00:00.000000'"
-
-
-def gold_state(spark, sf_dir):
-    from listingflow.plans.gold import gold_transform
-    return gold_transform(silver_good(spark, sf_dir), F.lit(RUN_TS).cast("timestamp_ntz"))
-
-
-_FACT_SQL = f"""fact AS (
-SELECT Property_ID,
-  {O.hash_key('Developer_Name', _RUN_TS_TEXT)} AS developer_sk,
-  {O.hash_key('City', 'District')} AS location_sk,
-  {O.hash_key(*_PROFILE)} AS profile_sk,
-  "Date" AS Listing_Date, Delivery_Date, Total_Price, Size_SqM, Price_Per_SqM, Rooms_Count,
-  Kitchen_Size_SqM, Reception_Size_SqM, Balcony_Size_SqM, round(Down_Payment_Pct, 6) AS Down_Payment_Pct,
-  Installment_Years, Payment_Flexibility_Score, Is_Ready_To_Move, Payment_Type,
-  TIMESTAMP '{RUN_TS}' AS last_updated_ts,
-  Developer_Name, City, District
-FROM g)"""
-
-
-@register("fact_listings", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) +
-          "SELECT * EXCLUDE (Developer_Name, City, District) FROM fact")
-def q_fact_listings(spark, sf_dir):
-    fact = gold_state(spark, sf_dir).fact_delta
-    return fact.withColumn("Down_Payment_Pct", F.round("Down_Payment_Pct", 6))
-
-
-RUN1_TS, RUN2_TS = "2030-01-01 00:00:00", "2030-01-02 00:00:00"
-_FACT_COLS = ("Property_ID, developer_sk, location_sk, profile_sk, Listing_Date, Delivery_Date, "
-              "Total_Price, Size_SqM, Price_Per_SqM, Rooms_Count, Kitchen_Size_SqM, "
-              "Reception_Size_SqM, Balcony_Size_SqM, Down_Payment_Pct, Installment_Years, "
-              "Payment_Flexibility_Score, Is_Ready_To_Move, Payment_Type, last_updated_ts")
-
-
-def _run_fact(n: str, since: str, run_ts: str) -> str:
-    return f"""SELECT Property_ID, {O.hash_key('Developer_Name', O.ts_text(since))} AS developer_sk,
-  {O.hash_key('City', 'District')} AS location_sk, {O.hash_key(*_PROFILE)} AS profile_sk,
-  "Date" AS Listing_Date, Delivery_Date, Total_Price, Size_SqM, Price_Per_SqM, Rooms_Count,
-  Kitchen_Size_SqM, Reception_Size_SqM, Balcony_Size_SqM, round(Down_Payment_Pct, 6) AS Down_Payment_Pct,
-  Installment_Years, Payment_Flexibility_Score, Is_Ready_To_Move, Payment_Type,
-  TIMESTAMP '{run_ts}' AS last_updated_ts
-FROM g{n}"""
-
-
-_PICK = """SELECT Developer_Name, Market_Reputation AS mr, Delivery_Punctuality AS dp FROM g{n}
-  QUALIFY row_number() OVER (PARTITION BY Developer_Name ORDER BY bronze_ingested_at DESC, row_seq DESC) = 1"""
-
-
-@register("lakehouse_two_runs", O.with_ctes(
-    O.RAW, *O.silver_ctes("1", _FIRST), *O.silver_ctes("2", _SECOND),
-    "g1 AS (SELECT * FROM silver1 WHERE quarantine_reason IS NULL)",
-    "g2 AS (SELECT * FROM silver2 WHERE quarantine_reason IS NULL)",
-    f"p1 AS ({_PICK.format(n=1)})", f"p2 AS ({_PICK.format(n=2)})",
-    f"""since AS (SELECT p2.Developer_Name,
-      CASE WHEN p1.Developer_Name IS NOT NULL AND p1.mr IS NOT DISTINCT FROM p2.mr
-                AND p1.dp IS NOT DISTINCT FROM p2.dp
-           THEN TIMESTAMP '{RUN1_TS}' ELSE TIMESTAMP '{RUN2_TS}' END AS since_ts
-    FROM p2 LEFT JOIN p1 ON p1.Developer_Name = p2.Developer_Name)""",
-    f"f1 AS ({_run_fact('1', f"TIMESTAMP '{RUN1_TS}'", RUN1_TS)})",
-    f"f2 AS ({_run_fact('2', 'since_ts', RUN2_TS).replace('FROM g2', 'FROM g2 JOIN since USING (Developer_Name)')})") + f"""
-SELECT {_FACT_COLS} FROM f1 WHERE Property_ID NOT IN (SELECT Property_ID FROM f2)
-UNION ALL
-SELECT {_FACT_COLS} FROM f2""")
-def q_lakehouse_two_runs(spark, sf_dir):
-    """The batch runner end to end: run 1 ingests the rows shipped before 1998, run 2 the rest
-    (bronze grows, each run reads only rows past its mark); silver and gold steps with bucketed
-    tables in a fresh store. Returns the final fact table."""
-    import datetime as dt
-
-    from listingflow.plans.lakehouse import RunConfig, gold_step, silver_step
-    from listingflow.session import scratch_path
-    from listingflow.sources.tables import TableStore
-    raw = raw_listings(spark, sf_dir)
-    store = TableStore(spark, scratch_path(spark, "lakehouse"))
-    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    for bronze, ts in ((raw.filter(F.col("bronze_ingested_at") < cut), RUN1_TS), (raw, RUN2_TS)):
-        cfg = RunConfig(root=store.root, as_of=AS_OF, buckets=16,
-                        run_ts=dt.datetime.fromisoformat(ts))
-        silver_step(store, bronze, cfg)
-        gold_step(store, cfg)
-    fact = store.read("fact_listings")
-    return fact.select(*[c.strip() for c in _FACT_COLS.split(",")]).withColumn(
-        "Down_Payment_Pct", F.round("Down_Payment_Pct", 6))
-
-
-@register("lookup_as_of", O.with_ctes(O.SILVER_CTES, _GOOD, *O.HISTORY_CTES) + """
-SELECT g.Property_ID, g.Developer_Name, g.bronze_ingested_at, h.developer_sk
-FROM g LEFT JOIN hist h
-  ON g.Developer_Name = h.Developer_Name AND g.bronze_ingested_at >= h.valid_from_ts
- AND (h.valid_to_ts IS NULL OR g.bronze_ingested_at < h.valid_to_ts)""")
-def q_lookup_as_of(spark, sf_dir):
-    from listingflow.operators.facts import lookup_as_of
-    # Measured: writing the 31-column raw rows once costs more than deriving them twice.
-    raw = raw_listings(spark, sf_dir)
-    listings = silver_good(spark, sf_dir, raw).select(
-        "Property_ID", "Developer_Name", "bronze_ingested_at")
-    return lookup_as_of(listings, developer_history(spark, sf_dir, raw), "bronze_ingested_at")
-
-
-TOP_CITY, TOP_YEAR, TOP_N = "Nation_3 Zone", 2020, 3
-
-
-@register("top_developers", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) + f"""
-SELECT Developer_Name, max(Payment_Flexibility_Score) AS best_score,
-       {O.spark_round('avg(Payment_Flexibility_Score)', 4)} AS avg_score, count(*) AS listings
-FROM fact
-WHERE City = '{TOP_CITY}' AND Is_Ready_To_Move AND year(Delivery_Date) = {TOP_YEAR}
-GROUP BY Developer_Name
-ORDER BY best_score DESC NULLS LAST, Developer_Name
-LIMIT {TOP_N}""")
-def q_top_developers(spark, sf_dir):
-    from listingflow.plans.star import top_developers
-    g = gold_state(spark, sf_dir)
-    return top_developers(g.fact_delta, g.developers, g.locations, TOP_CITY, TOP_YEAR, TOP_N)
-
-
-@register("star_measures", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) + f"""
-SELECT City, Payment_Type, count(*) AS listings,
-  {O.spark_round('avg(cast(Total_Price AS double))', 2)} AS avg_price,
-  sum(Size_SqM) AS total_size_sqm, {O.spark_round('min(Price_Per_SqM)', 4)} AS min_price_per_sqm,
-  max(Payment_Flexibility_Score) AS max_flexibility
-FROM fact GROUP BY City, Payment_Type""")
-def q_star_measures(spark, sf_dir):
-    from listingflow.plans.star import star_measures
-    g = gold_state(spark, sf_dir)
-    return star_measures(g.fact_delta, g.locations)
-
-
-@register("listing_calendar", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) + """
-SELECT year(d) AS "Year", quarter(d) AS "Quarter", monthname(d) AS Month_Name,
-       dayofweek(d) IN (5, 6) AS Is_Weekend, count(*) AS listings
-FROM (SELECT Listing_Date AS d FROM fact) f
-JOIN (SELECT cast(range AS date) AS cd FROM range(DATE '2010-01-01', DATE '2036-01-01', INTERVAL 1 DAY)) c
-  ON f.d = c.cd
-GROUP BY ALL""")
-def q_listing_calendar(spark, sf_dir):
-    """Listings per calendar attributes of their listing date (fact joined to dim_date; the
-    calendar's size is fixed by its span, so it is broadcast)."""
-    from listingflow.sources.calendar import dim_date
-    fact = gold_state(spark, sf_dir).fact_delta
-    cal = dim_date(spark)
-    rows = fact.join(F.broadcast(cal), fact["Listing_Date"] == cal["Date"])
-    return rows.groupBy("Year", "Quarter", "Month_Name", "Is_Weekend").agg(
-        F.count(F.lit(1)).alias("listings"))
-
-
-# ---------------------------------------------------------------- chat side
-
-@register("chat_context", """
-SELECT conv_id, turn, role,
-  CASE WHEN lag(line, 1) OVER w IS NULL THEN ''
-       ELSE 'Conversation Context:' || chr(10) || coalesce(lag(line, 3) OVER w, '')
-            || coalesce(lag(line, 2) OVER w, '') || lag(line, 1) OVER w END AS context
-FROM (SELECT conv_id, turn, role,
-             CASE WHEN role = 'user' THEN 'User' ELSE 'Assistant' END || ': ' || coalesce(text, '') || chr(10) AS line
-      FROM conversations)
-WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
-def q_chat_context(spark, sf_dir):
-    from listingflow.operators.asklog import chat_context
-    conv = read_driver_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role",
-                                                                    "text")
-    return chat_context(conv).select("conv_id", "turn", "role", "context")
-
-
-def generated_sql(events: DataFrame) -> DataFrame:
-    """A generated-query log derived from ``events`` (one text per event, eight shapes: plain,
-    fenced, aggregate, limited, literal containing a blocked word, and write statements)."""
-    uid = F.col("user_id").cast("string")
-    cents = F.floor(F.col("value") * 100).cast("bigint").cast("string")
-    k = F.col("event_id") % 8
-    text = (F.when(k == 0, F.concat(F.lit("SELECT City, Total_Price FROM fact_listings WHERE Rooms_Count = "), uid))
-            .when(k == 1, F.concat(F.lit("```sql\nSELECT * FROM dim_location WHERE District = 'Drop "),
-                                   F.col("event_type"), F.lit("'\n```")))
-            .when(k == 2, F.concat(F.lit("SELECT Property_ID, last_updated_ts FROM fact_listings "
-                                         "ORDER BY last_updated_ts DESC LIMIT "), uid))
-            .when(k == 3, F.concat(F.lit("DELETE FROM dim_developer WHERE developer_sk = '"),
-                                   F.col("event_id").cast("string"), F.lit("'")))
-            .when(k == 4, F.concat(F.lit("select count(*) from fact_listings where Total_Price > "), cents))
-            .when(k == 5, F.lit("WITH t AS (SELECT * FROM fact_listings) SELECT * FROM t; DROP TABLE t"))
-            .when(k == 6, F.concat(F.lit("MERGE INTO dim_location USING x ON 1=1 -- "), F.col("props")))
-            .otherwise(F.concat(F.lit("  SELECT max (Size_SqM) FROM fact_listings WHERE Rooms_Count = "), uid)))
-    return events.select("event_id", text.alias("sql_text"))
-
-
-def router_replies(events: DataFrame) -> DataFrame:
-    """Router replies derived from ``events``: valid, fenced, invalid, and partial JSON."""
-    k = F.col("event_id") % 6
-    cents = F.floor(F.col("value") * 100).cast("bigint").cast("string")
-    reply = (F.when(k == 0, F.lit('{"status": "IN_SCOPE", "message": ""}'))
-             .when(k == 1, F.concat(F.lit('```json\n{"status": "OOS_GENERAL", "message": "general '),
-                                    F.col("event_type"), F.lit('"}\n```')))
-             .when(k == 2, F.concat(F.lit("not json "), F.col("event_type")))
-             .when(k == 3, F.lit('{"status": "OOS_GEO"}'))
-             .when(k == 4, F.concat(F.lit('{"message": "user '), F.col("user_id").cast("string"), F.lit('"}')))
-             .otherwise(F.concat(F.lit('{"status": "OOS_AMBIGUOUS", "message": "budget '), cents, F.lit('"}'))))
-    return events.select("event_id", reply.alias("reply"))
-
-
-_NL = "chr(10)"
-_CENTS = "cast(cast(floor(value * 100) AS bigint) AS varchar)"
-_SQL_LOG = f"""q AS (SELECT event_id, CASE event_id % 8
-  WHEN 0 THEN 'SELECT City, Total_Price FROM fact_listings WHERE Rooms_Count = ' || cast(user_id AS varchar)
-  WHEN 1 THEN '```sql' || {_NL} || 'SELECT * FROM dim_location WHERE District = ''Drop ' || event_type || '''' || {_NL} || '```'
-  WHEN 2 THEN 'SELECT Property_ID, last_updated_ts FROM fact_listings ORDER BY last_updated_ts DESC LIMIT ' || cast(user_id AS varchar)
-  WHEN 3 THEN 'DELETE FROM dim_developer WHERE developer_sk = ''' || cast(event_id AS varchar) || ''''
-  WHEN 4 THEN 'select count(*) from fact_listings where Total_Price > ' || {_CENTS}
-  WHEN 5 THEN 'WITH t AS (SELECT * FROM fact_listings) SELECT * FROM t; DROP TABLE t'
-  WHEN 6 THEN 'MERGE INTO dim_location USING x ON 1=1 -- ' || props
-  ELSE '  SELECT max (Size_SqM) FROM fact_listings WHERE Rooms_Count = ' || cast(user_id AS varchar) END AS sql_text
-FROM events)"""
-
-
-def _strip_fences_sql(x: str) -> str:
-    return (f"regexp_replace(replace(replace(replace({x}, '```json', ''), '```sql', ''), '```', ''), "
-            f"'^\\s+|\\s+$', '', 'g')")
-
-
-_WORDS = r"\b(DROP|DELETE|UPDATE|INSERT|ALTER|TRUNCATE|GRANT|REVOKE|MERGE|CREATE|REPLACE)\b"
-
-
-@register("audit_queries", O.with_ctes(_SQL_LOG, f"""a AS (SELECT event_id, sql_text, {_strip_fences_sql('sql_text')} AS clean_sql FROM q)""",
-                                       """b AS (SELECT *, upper(regexp_replace(clean_sql, '''([^'']|'''')*''', '''''', 'g')) AS up FROM a)""") + f"""
-SELECT event_id, sql_text, clean_sql,
-  array_to_string(regexp_extract_all(up, '{_WORDS}', 1), ',') AS blocked_words,
-  len(regexp_extract_all(up, '{_WORDS}', 1)) > 0 OR NOT regexp_matches(up, '^\\s*(SELECT|WITH)\\b') AS blocked,
-  NOT regexp_matches(up, '\\bLIMIT\\b') AND NOT regexp_matches(up, '\\b(COUNT|AVG|SUM|MIN|MAX)\\s*\\(') AS needs_limit
-FROM b""")
-def q_audit_queries(spark, sf_dir):
-    from listingflow.operators.asklog import audit_queries
-    return audit_queries(generated_sql(read_driver_table(spark, sf_dir, "events")))
-
-
-@register("parse_routes", O.with_ctes(f"""r AS (SELECT event_id, CASE event_id % 6
-  WHEN 0 THEN '{{"status": "IN_SCOPE", "message": ""}}'
-  WHEN 1 THEN '```json' || {_NL} || '{{"status": "OOS_GENERAL", "message": "general ' || event_type || '"}}' || {_NL} || '```'
-  WHEN 2 THEN 'not json ' || event_type
-  WHEN 3 THEN '{{"status": "OOS_GEO"}}'
-  WHEN 4 THEN '{{"message": "user ' || cast(user_id AS varchar) || '"}}'
-  ELSE '{{"status": "OOS_AMBIGUOUS", "message": "budget ' || {_CENTS} || '"}}' END AS reply
-FROM events)""", f"""t AS (SELECT event_id, reply, {_strip_fences_sql('reply')} AS body FROM r)""",
-                                      """u AS (SELECT *, coalesce(CASE WHEN json_valid(body) THEN json_type(body) = 'OBJECT' END, false) AS ok FROM t)""",
-                                      """v AS (SELECT *, CASE WHEN ok THEN json_extract_string(body, '$.status') END AS st,
-                   CASE WHEN ok THEN json_extract_string(body, '$.message') END AS msg FROM u)""") + f"""
-SELECT event_id, reply,
-  CASE WHEN NOT ok THEN 'IN_SCOPE' ELSE st END AS route_status,
-  (NOT ok OR coalesce(st = 'IN_SCOPE', false)) AS in_scope,
-  CASE WHEN NOT (NOT ok OR coalesce(st = 'IN_SCOPE', false)) THEN coalesce(msg, 'عذراً، هذا السؤال خارج تخصصي.') END AS reply_message
-FROM v""")
-def q_parse_routes(spark, sf_dir):
-    from listingflow.operators.asklog import parse_routes
-    return parse_routes(router_replies(read_driver_table(spark, sf_dir, "events")))
-
-
-# ---------------------------------------------------------------- ingest and context
-
-@register("ingest_stream", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
-def q_ingest_stream(spark, sf_dir):
-    """Stream the events file into a bronze folder (drain and stop), then read the table back
-    without its ingest stamps (time, file, day partition). The folder is a fresh one under the
-    checkpoint root."""
-    from listingflow.session import scratch_path
-    from listingflow.sources.tables import read_table
-    from listingflow.streaming.ingest import ingest_stream
-    base = scratch_path(spark, "bronze-events")
-    ingest_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", f"{base}/table", f"{base}/_checkpoint")
-    return read_table(spark, f"{base}/table").drop("bronze_ingested_at", "source_file_path",
-                                                   "ingest_date")
-
-
-CONTEXT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-_SAMPLES = "\n  UNION ALL\n  ".join(
-    f"SELECT '{t}' AS table_name, column_name, v FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM "
-    f"(SELECT * FROM {t} LIMIT 2)) ON COLUMNS(*) INTO NAME column_name VALUE v)"
-    for t in CONTEXT_TABLES)
-
-
-@register("table_context", f"""
-WITH cols AS (
-  SELECT table_name, ordinal_position - 1 AS ordinal, column_name,
-         CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint'
-              WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
-              WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type
-  FROM information_schema.columns
-  WHERE table_name IN ({", ".join(f"'{t}'" for t in CONTEXT_TABLES)})),
-samples AS (
-  {_SAMPLES})
-SELECT c.table_name, c.ordinal, c.column_name, c.data_type,
-       coalesce(string_agg(s.v, ' | ' ORDER BY s.v), '') AS sample_values
-FROM cols c LEFT JOIN samples s ON c.table_name = s.table_name AND c.column_name = s.column_name
-GROUP BY ALL""")
-def q_table_context(spark, sf_dir):
-    """Schema and two sample rows of the driver's star tables (the context handed to a
-    question-to-SQL assistant); only two rows of each table are read."""
-    from listingflow.sources.context import table_context
-    return table_context({n: read_driver_table(spark, sf_dir, n) for n in CONTEXT_TABLES},
-                         sample_rows=2)
-
-
-@register("price_digits", O.with_ctes(O.RAW) + """
-SELECT Property_ID, row_seq,
-  CASE WHEN try_cast(nullif(regexp_replace(Total_Price, '[^0-9]', '', 'g'), '') AS bigint) > 0
-       THEN try_cast(nullif(regexp_replace(Total_Price, '[^0-9]', '', 'g'), '') AS bigint) END AS Total_Price
-FROM raw""")
-def q_price_digits(spark, sf_dir):
-    """The digit-only price reading of the source scripts ("12.50" -> 1250), kept as a mode."""
-    df = C.parse_amount(raw_listings(spark, sf_dir), "Total_Price", mode="digits")
-    return df.select("Property_ID", "row_seq", "Total_Price")
-
-
-GUARDED_TEXT = ("```sql\nSELECT f.Property_ID, l.City, f.Total_Price FROM fact_listings f "
-                "JOIN dim_location l ON f.location_sk = l.location_sk "
-                "ORDER BY f.Total_Price DESC, f.Property_ID\n```")
-
-
-@register("guarded_sql", O.with_ctes(O.SILVER_CTES, _GOOD, _FACT_SQL) + """
-SELECT Property_ID, City, Total_Price FROM fact ORDER BY Total_Price DESC, Property_ID LIMIT 20""")
-def q_guarded_sql(spark, sf_dir):
-    """A generated query (fenced, no LIMIT) run through the guard against the star's views:
-    the default 20-row limit is the feature here."""
-    from listingflow.plans.star import guarded_sql
-    g = gold_state(spark, sf_dir)
-    g.fact_delta.createOrReplaceTempView("fact_listings")
-    g.locations.createOrReplaceTempView("dim_location")
-    return guarded_sql(spark, GUARDED_TEXT)
+__all__ = ["ORACLE", "QUERIES"]
