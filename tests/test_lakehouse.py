@@ -121,3 +121,15 @@ def test_gold_crash_before_mark_rerun_is_idempotent(spark, tmp_root):
     assert {n: snapshot(store, n) for n in names} == before
     devs = store.read("dim_developer")
     assert devs.count() == devs.filter("is_current").count()        # no spurious versions
+
+
+def test_cli_run_from_files(spark, tmp_root):
+    from listingflow.__main__ import main
+    raw = raw_listings(spark, SF_SMALL).drop("bronze_ingested_at", "source_file_path")
+    raw.write.parquet(f"{tmp_root}/raw/drop1")
+    main(["run", "--root", f"{tmp_root}/lake", "--raw-dir", f"{tmp_root}/raw/*",
+          "--as-of", "2021-06-30", "--buckets", "8"])
+    store = TableStore(spark, f"{tmp_root}/lake")
+    assert store.read("dim_date").count() == 9496
+    assert store.read("fact_listings").count() == store.read("silver").count() > 0
+    main(["vacuum", "control", "--root", f"{tmp_root}/lake"])
