@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m listingflow <step> ...`` (or ``python -m listingflow``).
+"""Command line: ``python -m listingflow <step> ...`` (or ``spark-submit listingflow/__main__.py``).
 
 Steps: ``run`` (ingest new files, silver, gold, calendar), ``ingest``, ``silver``, ``gold``,
 ``calendar``, ``compact <table>``, ``vacuum <table>``.
