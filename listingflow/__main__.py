@@ -1,4 +1,5 @@
-"""Command line: ``python -m listingflow <step> ...`` (or ``spark-submit listingflow/__main__.py``).
+"""Command line: ``python -m listingflow <step> ...``
+(or ``spark-submit --py-files listingflow.zip listingflow/__main__.py <step> ...``).
 
 Steps: ``run`` (ingest new files, silver, gold, calendar), ``ingest``, ``silver``, ``gold``,
 ``calendar``, ``compact <table>``, ``vacuum <table>``.
