@@ -47,19 +47,23 @@ def get_spark(app: str = "listingflow", master: str | None = None,
     return spark
 
 
+_LOCAL_ROOT: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a path every executor can reach). Only when
-    it is unset, as in a local test session, a private temporary folder is created and set.
+    it is unset, as in a local test session, a private temporary folder is created once and set
+    as the context's checkpoint folder (``spark.checkpoint.dir`` itself cannot be changed at
+    runtime).
     """
     sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="listingflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _LOCAL_ROOT.setdefault("root", tempfile.mkdtemp(prefix="listingflow-ckpt-"))
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -16,8 +15,8 @@ def spark():
     from listingflow.session import get_spark
     session = get_spark("listingflow-tests", master="local[*]", shuffle_partitions=8,
                         conf={"spark.ui.showConsoleProgress": "false"})
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lf-tests-"))
+    from listingflow.session import checkpoint_root
+    checkpoint_root(session)      # a temporary folder only if the deployment names none
     yield session
 
 
