@@ -1,0 +1,63 @@
+"""Plan shapes when nothing may be broadcast (as at full scale, where sides outgrow the
+threshold): still no group-sized windows, no pair-producing joins, partial limits kept."""
+
+import re
+from contextlib import contextmanager
+
+import pytest
+
+from conftest import SF_SMALL
+from listingflow.plans.registry import QUERIES
+
+
+@contextmanager
+def no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["silver_listings", "impute_down_payment", "fact_listings"])
+def test_means_and_dims_join_without_windows(spark, name):
+    with no_broadcast(spark):
+        plan = final_plan(QUERIES[name](spark, SF_SMALL))
+    assert "SortMergeJoin" in plan
+    assert not re.search(r"Window \[avg", plan)
+    # only the fixed-size nation/region hints may still broadcast
+    assert plan.count("BroadcastHashJoin") <= 2
+
+
+def test_as_of_join_is_keyed_by_bucket(spark):
+    with no_broadcast(spark):
+        plan = final_plan(QUERIES["lookup_as_of"](spark, SF_SMALL))
+    joins = re.findall(r"SortMergeJoin \[([^\]]*)\], \[([^\]]*)\], LeftOuter", plan)
+    assert any("__b" in left and "__hb" in right for left, right in joins), joins
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_chat_grouping_is_per_turn(spark):
+    with no_broadcast(spark):
+        plan = final_plan(QUERIES["chat_context"](spark, SF_SMALL))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    # every shuffle is keyed by (conversation, turn), never by the conversation alone
+    assert exchanges and all(len(e.split(",")) == 3 for e in exchanges), exchanges
+
+
+def test_dedup_keeps_partial_limit(spark):
+    with no_broadcast(spark):
+        plan = final_plan(QUERIES["dedup_latest"](spark, SF_SMALL))
+    assert re.search(r"WindowGroupLimit .*Partial", plan)
