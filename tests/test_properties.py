@@ -11,7 +11,8 @@ from listingflow.functions.dates import parse_date_col
 from listingflow.operators.asklog import chat_context
 from listingflow.operators.merge import insert_new, upsert
 
-SETTINGS = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=5, deadline=None, derandomize=True,
+                    suppress_health_check=list(HealthCheck))
 
 
 @SETTINGS
