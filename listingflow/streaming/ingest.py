@@ -72,6 +72,9 @@ def ingest_stream(spark: SparkSession, src: str, dst: str, checkpoint: str, fmt:
 
     With ``schema_path`` the schema is remembered between runs and widened by new columns.
     Returns the finished ``StreamingQuery`` (its ``recentProgress`` holds the row counts).
+
+    Widening reads the footers of the source files (Spark merges parquet schemas as a
+    distributed job); for a folder of millions of files pass ``schema`` and widen it on purpose.
     """
     options = dict(options or {})
     if schema is None:
