@@ -98,20 +98,27 @@ def impute_and_derive(df: DataFrame, as_of, stats_from: DataFrame | None = None)
     return ready_to_move(df, as_of)
 
 
+MEAN_INPUTS = ("City", "Developer_Name", *CITY_MEAN_COLUMNS, "Down_Payment_Pct")
+
+
 def silver_transform(raw: DataFrame, as_of, price_mode: str = "decimal", developer_map=None,
                      key: str = PRIMARY_KEY, order_cols=VERSION_ORDER,
-                     materialize: bool = True) -> DataFrame:
+                     materialize: bool = True, history: DataFrame | None = None) -> DataFrame:
     """Raw versions -> flagged silver rows (``quarantine_reason`` NULL and ``is_valid`` true for
     good rows). Rows later rejected still feed the group means, as in the source design.
 
     The cleaned batch is read three times (two group means and the rows themselves); with
     ``materialize`` it is written once under the checkpoint root, so the raw scan, its joins and
-    the dedup shuffle run once instead of three times.
+    the dedup shuffle run once instead of three times. With ``history`` (the published silver
+    rows) the group means are taken over history plus batch instead of the batch alone.
     """
     df = newest_versions(raw, key, order_cols)
     df = clean_rows(df, price_mode, developer_map)
     if materialize:
         df = stage(df, "silver-batch")
-    df = impute_and_derive(df, as_of)
+    stats = None
+    if history is not None:
+        stats = history.select(*MEAN_INPUTS).unionByName(df.select(*MEAN_INPUTS))
+    df = impute_and_derive(df, as_of, stats_from=stats)
     rules = [(REASON_MISSING_KEY, F.col("__missing_key")), *listing_rules()]
     return flag_invalid(df, rules).drop("__missing_key")

@@ -133,3 +133,31 @@ def test_cli_run_from_files(spark, tmp_root):
     assert store.read("dim_date").count() == 9496
     assert store.read("fact_listings").count() == store.read("silver").count() > 0
     main(["vacuum", "control", "--root", f"{tmp_root}/lake"])
+
+
+def test_history_means_include_published_silver(spark, tmp_root):
+    from listingflow.plans.silver import clean_rows, newest_versions
+    raw = raw_listings(spark, SF_SMALL)
+    year = F.year("bronze_ingested_at")
+    store = TableStore(spark, tmp_root)
+    first = raw.filter(year <= 1996)
+    versions = []
+    for i, bronze in enumerate([first, raw]):
+        silver_step(store, bronze, RunConfig(root=tmp_root, as_of="2021-06-30", buckets=8,
+                                             means_from="history",
+                                             run_ts=dt.datetime(2030, 1, 1 + i)))
+        versions.append(store.version("silver"))
+    # expected city means over run 1's published silver plus run 2's cleaned batch
+    batch2 = clean_rows(newest_versions(raw.filter(year > 1996)))
+    hist = store.read("silver", version=versions[0]).select("City", "Transport_Index_Num") \
+        .unionByName(batch2.select("City", "Transport_Index_Num"))
+    expected = {r.City: r.m for r in hist.groupBy("City").agg(
+        F.avg("Transport_Index_Num").alias("m")).collect()}
+    missing = batch2.filter(F.col("Transport_Index_Num").isNull()).select("Property_ID", "City")
+    second = store.read("silver").filter(
+        F.col("silver_updated_at") == F.lit("2030-01-02").cast("timestamp_ntz"))
+    got = second.join(missing, ["Property_ID", "City"]).select("City", "Transport_Index_Num").collect()
+    assert got
+    for r in got:
+        assert r.Transport_Index_Num is not None
+        assert abs(float(r.Transport_Index_Num) - float(expected[r.City])) < 1e-6
