@@ -29,6 +29,7 @@ def main(argv=None) -> None:
     parser.add_argument("--buckets", type=int, default=64)
     parser.add_argument("--quality-gate", action="store_true")
     parser.add_argument("--max-bad-share", type=float, default=0.05)
+    parser.add_argument("--means-from", choices=["batch", "history"], default="batch")
     args = parser.parse_args(argv)
 
     import datetime as dt
@@ -36,6 +37,7 @@ def main(argv=None) -> None:
     cfg = L.RunConfig(root=args.root, as_of=args.as_of or dt.date.today().isoformat(),
                       raw_dir=args.raw_dir, raw_format=args.raw_format, buckets=args.buckets,
                       quality_gate=args.quality_gate, max_bad_share=args.max_bad_share,
+                      means_from=args.means_from,
                       order_cols=("bronze_ingested_at", "source_file_path"))
     store = TableStore(spark, args.root)
     if args.step == "run":
