@@ -70,3 +70,15 @@ def test_hash_key_null_positions_differ(spark):
 def test_strip_fences(spark):
     got = one_col(spark, ["```json\n{\"a\": 1}\n```", "  ```sql SELECT 1 ```  ", None], strip_fences)
     assert got == ['{"a": 1}', "SELECT 1", None]
+
+
+def test_spread_only_when_scan_is_narrow(spark, tmp_path):
+    from listingflow.session import spread
+    path = str(tmp_path / "one")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    narrow = spark.read.parquet(path)
+    assert narrow.rdd.getNumPartitions() == 1
+    wide = spread(narrow, 4)
+    assert wide.rdd.getNumPartitions() == 4 and wide.count() == 1000
+    many = spark.range(0, 1000, numPartitions=8)
+    assert spread(many, 4) is many
