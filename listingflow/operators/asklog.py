@@ -55,9 +55,13 @@ def parse_routes(df: DataFrame, reply_col: str = "reply") -> DataFrame:
     Unreadable JSON counts as in scope (the question goes on to the SQL step). A readable reply
     without status IN_SCOPE is out of scope and answered with its message, or the default one.
     """
-    parsed = F.from_json(strip_fences(reply_col), ROUTE_SCHEMA,
+    body = strip_fences(reply_col)
+    parsed = F.from_json(body, ROUTE_SCHEMA,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    corrupt = parsed["_corrupt_record"].isNotNull() | parsed.isNull()
+    # The JSON reader accepts a leading object followed by other text; a reply counts as
+    # readable only if the whole (fence-free) text is one object.
+    corrupt = (parsed["_corrupt_record"].isNotNull() | parsed.isNull() |
+               ~F.coalesce(body.rlike(r"^\{[\s\S]*\}$"), F.lit(False)))
     status = parsed["status"]
     in_scope = corrupt | F.coalesce(status == IN_SCOPE, F.lit(False))
     return df.withColumns({

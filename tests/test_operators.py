@@ -139,13 +139,15 @@ def test_audit_queries(spark):
 def test_parse_routes(spark):
     df = spark.createDataFrame([('{"status": "IN_SCOPE", "message": ""}',),
                                 ('```json\n{"status": "OOS_GEO", "message": "geo"}\n```',),
-                                ("not json",), ('{"status": "OOS_GENERAL"}',), ("{}",)], "reply string")
+                                ("not json",), ('{"status": "OOS_GENERAL"}',), ("{}",),
+                                ('{"status": "OOS_GEO"} trailing',), ("[1, 2]",)], "reply string")
     got = rows(parse_routes(df), "route_status", "in_scope", "reply_message")
     assert got[0] == ("IN_SCOPE", True, None)
     assert got[1] == ("OOS_GEO", False, "geo")
     assert got[2] == ("IN_SCOPE", True, None)
     assert got[3][0:2] == ("OOS_GENERAL", False) and got[3][2]
     assert got[4][1] is False
+    assert got[5] == ("IN_SCOPE", True, None) and got[6] == ("IN_SCOPE", True, None)
 
 
 def test_chat_context_matches_list_slicing(spark):
