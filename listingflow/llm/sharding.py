@@ -83,7 +83,7 @@ def _bucket(todo: dict, step: dict) -> F.Column:
     for n, s in todo.items():
         low = F.col(s["dim"]) - F.lit(s["lo"])
         out = F.when(node == n, F.when(low < 0, F.lit(-1)).otherwise(
-            ((low - F.pmod(low, F.lit(step[n]))) / F.lit(step[n])).cast("long"))).otherwise(out)
+            F.call_function("div", low, F.lit(step[n])))).otherwise(out)
     return out
 
 
