@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from listingflow.session import stage
 
 SHARDS = 24
-BUCKETS = 256           # of a node's range, each round
+DIMENSIONS = ("k0", "k1", "k2")
+BUCKETS = 4096          # of a node's range, each round
 TOLERANCE = 0.002       # of a shard's bytes
 SLICES = 64             # of the ids of a shard, to number its rows
 
@@ -42,28 +43,33 @@ def coordinates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         key(crc, F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 31))).alias("k2"))
 
 
-def _cuts(rows: DataFrame, node: F.Column, shards: dict[int, int]) -> dict[int, tuple[str, int]]:
-    """For each node with several shards: its widest dimension and the first key right of the cut."""
-    keys = ("k0", "k1", "k2")
-    live = rows.withColumn("node", node).filter(F.col("node").isin([n for n, m in shards.items() if m > 1]))
-    every = live.groupBy("node").agg(F.sum("size").alias("w"), *[f(k).alias(f"{n}_{k}") for k in keys
-                                                                 for n, f in (("min", F.min), ("max", F.max))]).collect()
-    whole = rows.agg(*[(F.max(k) - F.min(k)).alias(k) for k in keys]).first()
+def _cuts(rows: DataFrame, shards: dict[int, int], whole: list[int]) -> dict[int, tuple[int, int]]:
+    """For each node with several shards: its widest dimension and the first key right of the cut.
+    ``rows`` has ``node``; ``whole`` has the width of the whole table in each dimension."""
+    spark, keys = rows.sparkSession, range(len(DIMENSIONS))
+    live = rows.filter(F.col("node").isin([n for n, m in shards.items() if m > 1]))
+    extent = [f(d).alias(f"{n}_{k}") for k, d in enumerate(DIMENSIONS) for n, f in (("min", F.min), ("max", F.max))]
     state = {}
-    for r in every:
-        wide = max(keys, key=lambda k: ((r[f"max_{k}"] - r[f"min_{k}"]) / max(1, whole[k]), k))
+    for r in live.groupBy("node").agg(F.sum("size").alias("w"), *extent).collect():
+        wide = max(keys, key=lambda k: ((r[f"max_{k}"] - r[f"min_{k}"]) / max(1, whole[k]), -k))
         m = shards[r["node"]]
         state[r["node"]] = {"dim": wide, "lo": r[f"min_{wide}"], "hi": r[f"max_{wide}"] + 1, "before": 0,
                             "goal": r["w"] * (m // 2) / m, "least": r["w"] / m * TOLERANCE, "cut": None}
     while todo := {n: s for n, s in state.items() if s["cut"] is None}:
         step = {n: -(-(s["hi"] - s["lo"]) // BUCKETS) for n, s in todo.items()}
-        inside = (live.filter(F.col("node").isin(list(todo))).withColumn("at", _bucket(todo, step))
+        # At most one row per node; joined rather than written into the plan, so that every round
+        # runs the same compiled code.
+        ranges = spark.createDataFrame([(n, s["dim"], s["lo"], step[n]) for n, s in todo.items()],
+                                       "node int, dim int, lo long, step long")
+        low = F.element_at(F.array(*DIMENSIONS), F.col("dim") + 1) - F.col("lo")
+        at = F.when(low < 0, -1).otherwise(F.call_function("div", low, F.col("step")))
+        inside = (live.join(F.broadcast(ranges), "node").select("node", "size", at.alias("at"))
                   .filter((F.col("at") >= 0) & (F.col("at") < BUCKETS)))
         sums: dict[int, dict[int, int]] = {}
         for r in inside.groupBy("node", "at").agg(F.sum("size").alias("w")).collect():
             sums.setdefault(r["node"], {})[r["at"]] = r["w"]
         for n, s in todo.items():
-            run, each = s["before"], sums.get(n, {})
+            run, each = s["before"], sums[n]
             for b in sorted(each):
                 if run + each[b] > s["goal"]:
                     break
@@ -77,38 +83,23 @@ def _cuts(rows: DataFrame, node: F.Column, shards: dict[int, int]) -> dict[int,
     return {n: (s["dim"], s["cut"]) for n, s in state.items()}
 
 
-def _bucket(todo: dict, step: dict) -> F.Column:
-    """Place of the key in its node's range: whole-number division, below 0 left of the range."""
-    node, out = F.col("node"), F.lit(None).cast("long")
-    for n, s in todo.items():
-        low = F.col(s["dim"]) - F.lit(s["lo"])
-        out = F.when(node == n, F.when(low < 0, F.lit(-1)).otherwise(
-            F.call_function("div", low, F.lit(step[n])))).otherwise(out)
-    return out
-
-
 def shard(docs: DataFrame, *, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every document."""
-    rows = stage(coordinates(docs, id_col=id_col, text_col=text_col), "shard-keys")
-    cuts: dict[tuple[int, int], tuple[str, int]] = {}     # by (first shard, shards) of a node
-
-    def leaf(first: int, many: int) -> F.Column:
-        """The first shard of the lowest node so far that holds a row."""
-        if (first, many) not in cuts:
-            return F.lit(first)
-        dim, cut = cuts[first, many]
-        return (F.when(F.col(dim) >= F.lit(cut), leaf(first + many // 2, many - many // 2))
-                .otherwise(leaf(first, many // 2)))
-
-    nodes = {0: shards}
+    rows = stage(coordinates(docs, id_col=id_col, text_col=text_col).withColumn("node", F.lit(0)), "shard-keys")
+    first = rows.agg(*[(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS]).first()
+    whole = [first[d] or 0 for d in DIMENSIONS]
+    nodes = {0: shards}                 # a node is named by its first shard and has so many of them
     while any(m > 1 for m in nodes.values()):
-        found = _cuts(rows, leaf(0, shards), nodes)
-        cuts |= {(n, nodes[n]): cut for n, cut in found.items()}
+        cuts = _cuts(rows, nodes, whole)
+        node = F.col("node")
+        for n, (dim, cut) in cuts.items():
+            right = (F.col("node") == n) & (F.col(DIMENSIONS[dim]) >= F.lit(cut))
+            node = F.when(right, n + nodes[n] // 2).otherwise(node)
+        rows = stage(rows.withColumn("node", node), "shard-nodes")
         # A node without documents stays one node; its other shards are empty.
         nodes = {k: v for n, m in nodes.items()
-                 for k, v in (((n, m // 2), (n + m // 2, m - m // 2)) if n in found else ((n, 1),))}
-    node = leaf(0, shards)
-    placed = stage(rows.select("doc_id", "size", "text_crc32", node.cast("int").alias("shard"),
+                 for k, v in (((n, m // 2), (n + m // 2, m - m // 2)) if n in cuts else ((n, 1),))}
+    placed = stage(rows.select("doc_id", "size", "text_crc32", F.col("node").alias("shard"),
                                F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int").alias("slice")), "shard-rows")
     counts = placed.groupBy("shard", "slice").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
