@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from listingflow.llm import bpe, langid, mixing, sharding, tokencount
-from listingflow.llm.common import documents
+from listingflow.llm import bpe, embeddedup, langid, mixing, sharding, tokencount, topk
+from listingflow.llm.common import documents, embeddings
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def op1_embedding_near_dedup(spark, sf_dir):
+    return embeddedup.near_duplicates(embeddings(spark, sf_dir))
+
+
 def op2_byte_bpe(spark, sf_dir):
     return bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path(BYTE_VOCABULARY),
                                 public_tokenizers.PATTERN)
@@ -28,6 +32,10 @@ def op5_token_counts(spark, sf_dir):
                                    public_tokenizers.PATTERN)
 
 
+def op6_topk_maxscore(spark, sf_dir):
+    return topk.top_k(embeddings(spark, sf_dir))
+
+
 def op8_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
@@ -36,7 +44,8 @@ def op9_kd_shards(spark, sf_dir):
     return sharding.shard(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_language_id, op5_token_counts, op8_mix_sources,
-                                   op9_kd_shards)}
+QUERIES = {f.__name__: f for f in (
+    op1_embedding_near_dedup, op2_byte_bpe, op3_language_id, op5_token_counts, op6_topk_maxscore,
+    op8_mix_sources, op9_kd_shards)}
 
-ORACLE = {"op8_mix_sources": mixing.ORACLE}
+ORACLE = {"op6_topk_maxscore": topk.ORACLE, "op8_mix_sources": mixing.ORACLE}
