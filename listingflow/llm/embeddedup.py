@@ -51,14 +51,16 @@ def block_edges(width: int) -> list[int]:
 
 
 def _cells(turned: np.ndarray, reach: float, dims: int) -> list[tuple[int, bool]]:
-    """Codes of the cells within reach of a point; the first is its own."""
+    """Codes of the cells within reach of a point, one of them its own (True)."""
     wide = 6 * reach
-    own = [math.floor(x / wide) for x in turned[:dims]]
-    out = [((), True)]
-    for x, c in zip(turned[:dims], own, strict=True):
-        low, high = math.floor((x - reach) / wide), math.floor((x + reach) / wide)
-        out = [((*p, v), home and v == c) for p, home in out for v in range(low, high + 1)]
-    return [(hash(p), home) for p, home in out]
+    half = math.ceil((1 + reach) / wide) + 1        # coordinates of unit vectors are within 1
+    while (2 * half) ** dims >= 1 << 62:
+        dims -= 1
+    out = [(0, True)]
+    for x in turned[:dims]:
+        own, low, high = (math.floor((x + d) / wide) for d in (0, -reach, reach))
+        out = [(code * 2 * half + v + half, home and v == own) for code, home in out for v in range(low, high + 1)]
+    return out
 
 
 def near_links(vectors: DataFrame, *, threshold: float = THRESHOLD, tile: int = TILE, grid_dims: int) -> DataFrame:
