@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from listingflow.llm import bpe, embeddedup, langid, mixing, sharding, tokencount, topk
+from listingflow.llm import bpe, embeddedup, langid, mixing, sharding, substrdedup, suffixdedup, tokencount, topk
 from listingflow.llm.common import documents, embeddings
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -27,6 +27,10 @@ def op3_language_id(spark, sf_dir):
     return langid.identify(documents(spark, sf_dir))
 
 
+def op4_suffix_array_dedup(spark, sf_dir):
+    return suffixdedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark, sf_dir):
     return tokencount.count_tokens(documents(spark, sf_dir), public_tokenizers.path(BYTE_VOCABULARY),
                                    public_tokenizers.PATTERN)
@@ -36,6 +40,10 @@ def op6_topk_maxscore(spark, sf_dir):
     return topk.top_k(embeddings(spark, sf_dir))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    return substrdedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op8_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
@@ -45,7 +53,7 @@ def op9_kd_shards(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_embedding_near_dedup, op2_byte_bpe, op3_language_id, op5_token_counts, op6_topk_maxscore,
-    op8_mix_sources, op9_kd_shards)}
+    op1_embedding_near_dedup, op2_byte_bpe, op3_language_id, op4_suffix_array_dedup,
+    op5_token_counts, op6_topk_maxscore, op7_substring_dedup, op8_mix_sources, op9_kd_shards)}
 
 ORACLE = {"op6_topk_maxscore": topk.ORACLE, "op8_mix_sources": mixing.ORACLE}
