@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listingflow.llm.common import settle
 from listingflow.llm.symbols import U, mix, powers_down, prefix_sums, sliding_min, turns, window_hash
-from listingflow.session import stage
 
 #: An anchor with more occurrences (first level) or distinct segments (later) is anchored again.
 GROUP = 512
@@ -227,7 +227,7 @@ def repeated_windows(texts: DataFrame, w: Windows) -> tuple[DataFrame, DataFrame
     """``texts``: id, k1, k2 (content hashes), text. Returns the texts that hold an anchor that
     occurs again, one per content (k1, k2, copies, text), and ``k1, k2, ranges``: for each of
     them with repeated windows, [from, to) pairs of window starts, as one array per part."""
-    seen = stage(texts.select("id", "text").mapInArrow(_first_level(w), "id long, anchor long"), "anchors")
+    seen = settle(texts.select("id", "text").mapInArrow(_first_level(w), "id long, anchor long"), "anchors")
     counts = seen.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     lists = (seen.join(counts, "anchor").groupBy("id")
              .agg(F.collect_set(F.when(F.col("n") <= GROUP, F.col("anchor"))).alias("cold"),
@@ -235,11 +235,11 @@ def repeated_windows(texts: DataFrame, w: Windows) -> tuple[DataFrame, DataFrame
     one = texts.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     # Only the first text of each content goes on, with the number of its copies.
     wanted = one.join(lists, "id")
-    held = stage(texts.select("id", "k1", "k2", "text").join(wanted, ["id", "k1", "k2"])
+    held = settle(texts.select("id", "k1", "k2", "text").join(wanted, ["id", "k1", "k2"])
                  .select("k1", "k2", "copies", "text", "cold", "hot"), "anchored")
     parts, now = [], held
     for level in range(len(w.grams)):
-        out = stage(now.mapInArrow(_emit(w, level), EMIT), "segments")
+        out = settle(now.mapInArrow(_emit(w, level), EMIT), "segments")
         kind = {n: out.filter(F.col("kind") == n) for n in (SEGMENT, OCCURRENCE, SURE, OPEN)}
         if level == len(w.grams) - 1:
             parts.append(kind[SURE].select("k1", "k2", F.flatten(F.transform(

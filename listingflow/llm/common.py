@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listingflow.session import _context, stage
+
 # Words are maximal runs of anything but the six ASCII white-space bytes (fixed values).
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
@@ -29,6 +31,16 @@ def word_count(col) -> F.Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` a step's result, then let the driver's JVM forget the steps before it, so that
+    Spark's cleaner drops their shuffle files while later steps run."""
+    out = stage(df, name)
+    context = _context(df.sparkSession)
+    if context is not None:
+        context._jvm.System.gc()
+    return out
+
+
 def arrow_rows(df: DataFrame, fn: Callable[[dict], Iterator[dict] | dict], schema: str) -> DataFrame:
     """Run ``fn`` over each Arrow batch given as ``{column: list}``; it returns ``{column: list}``."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -146,6 +146,20 @@ def predict(docs: DataFrame, languages: dict[str, list[float]], *, dimensions: i
     return arrow_rows(docs.select("doc_id", "text"), run, "doc_id long, lang_pred string, score double")
 
 
+def with_language(docs: DataFrame, languages: dict[str, list[float]], *, text_col: str = "text",
+                  dimensions: int = DIMENSIONS) -> DataFrame:
+    """The rows whose language is told, unchanged; rows that would get ``und`` go."""
+    columns = docs.columns
+
+    def run(batches):
+        p = _profiles(dimensions)
+        for batch in batches:
+            texts = batch.column(columns.index(text_col)).to_pylist()
+            yield batch.filter(pa.array([bool(languages) and len(p.ngrams(t)[0]) > 0 for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id) -> F.Column:
     """Rows kept from training: crc32 of the id as text leaves remainder 1 on division by 3."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))

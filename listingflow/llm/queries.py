@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from listingflow.llm import bpe, embeddedup, langid, mixing, sharding, substrdedup, suffixdedup, tokencount, topk
+from listingflow.llm import bpe, embeddedup, jaccard, langid, mixing, sharding, substrdedup, suffixdedup, tokencount, topk
 from listingflow.llm.common import documents, embeddings
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -52,8 +52,12 @@ def op9_kd_shards(spark, sf_dir):
     return sharding.shard(documents(spark, sf_dir))
 
 
+def op10_ngram_jaccard(spark, sf_dir):
+    return jaccard.jaccard_groups(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_byte_bpe, op3_language_id, op4_suffix_array_dedup,
-    op5_token_counts, op6_topk_maxscore, op7_substring_dedup, op8_mix_sources, op9_kd_shards)}
+    op5_token_counts, op6_topk_maxscore, op7_substring_dedup, op8_mix_sources, op9_kd_shards, op10_ngram_jaccard)}
 
 ORACLE = {"op6_topk_maxscore": topk.ORACLE, "op8_mix_sources": mixing.ORACLE}

@@ -24,10 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.llm.anchors import Windows, repeated_windows
-from listingflow.llm.common import word_count
+from listingflow.llm.common import settle, word_count
 from listingflow.llm.suffixdedup import covered, keyed
 from listingflow.llm.symbols import joined_bytes, word_hashes, word_places
-from listingflow.session import stage
 
 LENGTH = 35
 #: Suffixes of one subtree, unless they agree in all words.
@@ -141,7 +140,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     cut = (held.filter("copies = 1").select("k1", "k2", "text").join(per_text, ["k1", "k2"])
            .mapInArrow(_cut(LENGTH), "k1 long, k2 long, n_removed long, kept_sha256 string"))
     copies = texts.groupBy("k1", "k2").agg(F.count("*").alias("copies")).filter("copies > 1").select("k1", "k2")
-    changes = stage(cut.withColumn("all", F.lit(False)).unionByName(copies.withColumn("all", F.lit(True)),
+    changes = settle(cut.withColumn("all", F.lit(False)).unionByName(copies.withColumn("all", F.lit(True)),
                                                                    allowMissingColumns=True), "cuts")
     text = F.col("text")
     spaced = F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.llm.anchors import Windows, repeated_windows
+from listingflow.llm.common import settle
 from listingflow.llm.symbols import BYTE_VALUES, joined_bytes
-from listingflow.session import stage
 
 LENGTH = 400
 PACKED = 7              # symbols of nine bits in one integer
@@ -189,27 +189,43 @@ def _cut(length: int, with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document; ``with_text`` adds
-    ``kept_text`` for changed documents (null: unchanged), without the characters cut apart."""
-    texts = keyed(docs, id_col, text_col)
+def _changes(texts: DataFrame, with_text: bool) -> DataFrame:
+    """``k1, k2`` of the texts that lose bytes: what is left of them, or ``all`` for texts that
+    occur as a whole again."""
     held, ranges = repeated_windows(texts, BYTES)
     per_text = ranges.groupBy("k1", "k2").agg(F.collect_list("ranges").alias("ranges"))
     cut = (held.filter("copies = 1").select("k1", "k2", "text").join(per_text, ["k1", "k2"]).mapInArrow(
         _cut(LENGTH, with_text), "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept string"))
     copies = texts.groupBy("k1", "k2").agg(F.count("*").alias("copies")).filter("copies > 1").select("k1", "k2")
-    changes = stage(cut.withColumn("all", F.lit(False)).unionByName(copies.withColumn("all", F.lit(True)),
-                                                                   allowMissingColumns=True), "cuts")
+    return settle(cut.withColumn("all", F.lit(False)).unionByName(copies.withColumn("all", F.lit(True)),
+                                                                  allowMissingColumns=True), "cuts")
+
+
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document."""
+    changes = _changes(keyed(docs, id_col, text_col), False)
     size = F.octet_length(F.col("text")).cast("long")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
         "doc_id", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"), size.alias("n_bytes"),
         F.sha2("text", 256).alias("sha"))
     # A text that occurs as a whole again goes whole, if it has any window at all.
     whole = F.coalesce(F.col("all"), F.lit(False)) & (F.col("n_bytes") >= LENGTH)
-    out = rows.join(changes, ["k1", "k2"], "left").select(
+    return rows.join(changes, ["k1", "k2"], "left").select(
         "doc_id", "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        F.when(whole, "").otherwise(F.col("kept")).alias("kept_text"))
-    return out if with_text else out.drop("kept_text")
+        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"))
+
+
+def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The same rows and columns with repeats taken out of the text (null stays null). Of a
+    character that loses a byte the others go too."""
+    changes = _changes(keyed(docs, id_col, text_col), True)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    change = changes.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("all").alias("__all"),
+                            F.col("kept").alias("__kept"))
+    whole = F.coalesce(F.col("__all"), F.lit(False)) & (F.octet_length(text) >= LENGTH)
+    kept = F.when(whole, F.lit("")).otherwise(F.coalesce("__kept", F.col(text_col)))
+    return (docs.withColumns({"__a": F.xxhash64(text), "__b": F.xxhash64(F.lit(1), text)})
+            .join(change, (F.col("__a") == F.col("__k1")) & (F.col("__b") == F.col("__k2")), "left")
+            .withColumn(text_col, kept).select(*docs.columns))
