@@ -59,8 +59,9 @@ def _cuts(rows: DataFrame, shards: dict[int, int], whole: list[int]) -> dict[int
         step = {n: -(-(s["hi"] - s["lo"]) // BUCKETS) for n, s in todo.items()}
         # At most one row per node; joined rather than written into the plan, so that every round
         # runs the same compiled code.
-        ranges = spark.createDataFrame([(n, s["dim"], s["lo"], step[n]) for n, s in todo.items()],
-                                       "node int, dim int, lo long, step long")
+        ranges = spark.range(1).select(F.inline(F.array(*[
+            F.struct(F.lit(n).alias("node"), F.lit(s["dim"]).alias("dim"), F.lit(s["lo"]).cast("long").alias("lo"),
+                     F.lit(step[n]).cast("long").alias("step")) for n, s in todo.items()])))
         low = F.element_at(F.array(*DIMENSIONS), F.col("dim") + 1) - F.col("lo")
         at = F.when(low < 0, -1).otherwise(F.call_function("div", low, F.col("step")))
         inside = (live.join(F.broadcast(ranges), "node").select("node", "size", at.alias("at"))
