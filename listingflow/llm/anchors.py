@@ -110,7 +110,15 @@ def _first_level(w: Windows):
             for i, j in turns(texts):
                 values, starts, _ = w.symbols(texts[i:j])
                 r = runs(prefix_sums(values), starts, w.length, w.grams[0])
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j][r.text]), _signed(r.anchor)], names=["id", "anchor"])
+                # One row per text and anchor: periodic texts meet the same anchor all along.
+                order = np.lexsort((r.anchor, r.text))
+                text, anchor = r.text[order], r.anchor[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+                head = np.flatnonzero(new)
+                n = np.diff(np.append(head, len(order))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j][text[head]]), _signed(anchor[head]), pa.array(n)],
+                                                 names=["id", "anchor", "own"])
 
     return run
 
@@ -227,9 +235,9 @@ def repeated_windows(texts: DataFrame, w: Windows) -> tuple[DataFrame, DataFrame
     """``texts``: id, k1, k2 (content hashes), text. Returns the texts that hold an anchor that
     occurs again, one per content (k1, k2, copies, text), and ``k1, k2, ranges``: for each of
     them with repeated windows, [from, to) pairs of window starts, as one array per part."""
-    seen = settle(texts.select("id", "text").mapInArrow(_first_level(w), "id long, anchor long"), "anchors")
-    counts = seen.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    lists = (seen.join(counts, "anchor").groupBy("id")
+    seen = settle(texts.select("id", "text").mapInArrow(_first_level(w), "id long, anchor long, own int"), "anchors")
+    counts = seen.groupBy("anchor").agg(F.sum("own").alias("n")).filter("n > 1")
+    lists = (seen.drop("own").join(counts, "anchor").groupBy("id")
              .agg(F.collect_set(F.when(F.col("n") <= GROUP, F.col("anchor"))).alias("cold"),
                   F.collect_set(F.when(F.col("n") > GROUP, F.col("anchor"))).alias("hot")))
     one = texts.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
