@@ -29,7 +29,8 @@ from listingflow.llm.components import components
 from listingflow.llm.symbols import U, joined_bytes, mix, prefix_sums, turns, window_hash, word_hashes, word_places
 
 GRAM, PERCENT = 4, 85
-BITS = 1024             # of a set's bitmap
+BITS = 4096             # of a set's bitmap
+TREE_BITS = 1024        # of a bitmap in a tree
 TILE = 4096             # sets of a group that are joined in one task
 LEAF, FAN = 16, 8       # sets of a leaf, children of an inner node
 
@@ -85,6 +86,17 @@ def bitmap(s: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def folded(bits: bytes) -> bytes:
+    """The bitmap of the same set with TREE_BITS places."""
+    return np.bitwise_or.reduce(np.frombuffer(bits, np.uint8).reshape(-1, TREE_BITS // 8), axis=0).tobytes()
+
+
+def _fold(batches):
+    for batch in batches:
+        bits = pa.array([folded(b) for b in batch.column("bits").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), bits], names=["rep", "bits"])
+
+
 def _first_of_group(batches):
     """Sorted (token, rep, n) rows: those whose token has several sets, with the token's first set."""
     held = None
@@ -148,11 +160,32 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
 
-def linked_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
+def _may_link(batches):
+    """Pairs whose bitmaps allow the overlap that they need."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+                for c in ("bits_a", "bits_b"))
+        na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+        hidden = np.minimum(na - np.bitwise_count(a).sum(axis=1, dtype=np.int64),
+                            nb - np.bitwise_count(b).sum(axis=1, dtype=np.int64))
+        most = np.bitwise_count(a & b).sum(axis=1, dtype=np.int64) + hidden
+        yield batch.select(["a", "b"]).filter(pa.array(most >= least_overlap(na, nb)))
+
+
+def linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold. ``reps``: rep, n, bits; ``texts``: id, text.
+    Bitmaps come first, so that whole sets are made and moved for few pairs that do not link."""
+    left = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
+    right = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    close = settle(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "bits_a", "bits_b")
+                   .mapInArrow(_may_link, "a long, b long"), "set-close")
+    ids = settle(close.select(F.col("a").alias("rep")).union(close.select("b")).distinct(), "set-ids")
+    sets = settle(texts.withColumnRenamed("id", "rep").join(ids, "rep").select("rep", "text")
+                  .mapInArrow(_sets, "rep long, elements binary"), "set-elements")
     left = sets.select(F.col("rep").alias("a"), F.col("elements").alias("ea"))
     right = sets.select(F.col("rep").alias("b"), F.col("elements").alias("eb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ea", "eb").mapInArrow(_linked, "a long, b long")
+    return (close.join(right, "b").join(left, "a").select("a", "b", "ea", "eb")
+            .mapInArrow(_linked, "a long, b long").distinct())
 
 
 class SignatureTree:
@@ -256,18 +289,15 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     scanned = settle(rows.mapInArrow(_scan, "id long, n long, f1 long, f2 long, prefix array<long>, bits binary"), "sets")
     key = ["n", "f1", "f2"]
     reps = settle(scanned.filter("n > 0").groupBy(*key).agg(F.min("id").alias("rep")), "set-reps")
-    one = scanned.join(reps.withColumnRenamed("rep", "id"), [*key, "id"]).select(
-        F.col("id").alias("rep"), "n", "prefix")
+    one = settle(scanned.join(reps.withColumnRenamed("rep", "id"), [*key, "id"])
+                 .select(F.col("id").alias("rep"), "n", "prefix", "bits"), "set-firsts")
     tokens = one.select(F.explode("prefix").alias("token"), "rep", "n")
     met = settle(tokens.repartition("token").sortWithinPartitions("token", "rep").mapInArrow(
         _first_of_group, "token long, rep long, n long, lead long, lead_n long"), "set-groups")
     near = F.expr(f"100 * least(n, lead_n) >= {PERCENT} * greatest(n, lead_n)")
     star = settle(met.filter((F.col("rep") != F.col("lead")) & near)
                   .select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "set-stars")
-    in_groups = met.select("rep").distinct()
-    sets = settle(rows.withColumnRenamed("id", "rep").join(in_groups, "rep").select("rep", "text")
-                  .mapInArrow(_sets, "rep long, elements binary").dropDuplicates(["rep"]), "set-elements")
-    links = settle(linked_pairs(star, sets), "set-links")
+    links = settle(linked_pairs(star, one, rows), "set-links")
     parts = components(links)
     parts = settle(parts, "set-parts")
     placed = (met.select("token", "rep", "n").join(parts, F.col("rep") == F.col("id"), "left")
@@ -276,7 +306,7 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     mixed = (placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
                                          F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
              .filter("c1 != c2").select("token", "tiles"))
-    bits = scanned.join(reps.withColumnRenamed("rep", "id"), [*key, "id"]).select(F.col("id").alias("rep"), "bits")
+    bits = one.select("rep", "bits").mapInArrow(_fold, "rep long, bits binary")
     members = placed.join(mixed, "token").join(bits, "rep")
     tile = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
     members = (members.withColumn("t", tile).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -285,7 +315,7 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                        (F.col("t") <= F.col("o")).alias("left"), (F.col("t") >= F.col("o")).alias("right")))
     pairs = (members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
              .mapInArrow(_tree_pairs, "a long, b long").distinct())
-    more = linked_pairs(settle(pairs, "set-pairs"), sets)
+    more = linked_pairs(settle(pairs, "set-pairs"), one, rows)
     whole = settle(components(links.unionByName(more)), "set-components")
     of_rep = reps.join(whole, F.col("rep") == F.col("id"), "left").select(*key, F.coalesce("component", "rep").alias("component"))
     ids = scanned.select("id", *key)

@@ -62,9 +62,9 @@ def test_without_the_first_comparison_trees_find_all(spark, monkeypatch):
     """Every link through the trees: the comparison with a group's first member is left out."""
     real, calls = jaccard.linked_pairs, []
 
-    def second_only(pairs, sets):
+    def second_only(pairs, *rest):
         calls.append(1)
-        return real(pairs.filter("false") if len(calls) == 1 else pairs, sets)
+        return real(pairs.filter("false") if len(calls) == 1 else pairs, *rest)
 
     monkeypatch.setattr(jaccard, "linked_pairs", second_only)
     data = near_copies(3)
@@ -89,7 +89,7 @@ def test_trees_drop_no_pair():
             s[rng.integers(0, len(s), k)] = rng.integers(0, 2 ** 63, k)
             sets.append(np.unique(s))
     sets.sort(key=len)
-    bits = np.frombuffer(b"".join(map(jaccard.bitmap, sets)), np.uint64).reshape(len(sets), -1)
+    bits = np.frombuffer(b"".join(jaccard.folded(jaccard.bitmap(s)) for s in sets), np.uint64).reshape(len(sets), -1)
     tree = jaccard.SignatureTree(np.array([len(s) for s in sets]), bits)
     found = {(int(x), int(y)) for p, q in jaccard.join_trees(tree, tree) for x, y in zip(p, q, strict=True)}
     for i, a in enumerate(sets):
