@@ -14,8 +14,6 @@ from listingflow.plans import lakehouse as L
 from listingflow.session import get_spark
 from listingflow.sources.tables import TableStore, read_table
 
-KEYS = {"silver": ["Property_ID"], "fact_listings": ["Property_ID"]}
-
 
 def main(argv=None) -> None:
     parser = argparse.ArgumentParser(prog="listingflow")
@@ -26,7 +24,8 @@ def main(argv=None) -> None:
     parser.add_argument("--raw-dir", help="folder or glob of arriving raw files")
     parser.add_argument("--raw-format", default="parquet")
     parser.add_argument("--as-of", default=None, help="ready-to-move reference date (default today)")
-    parser.add_argument("--buckets", type=int, default=64)
+    parser.add_argument("--buckets", type=int, default=None,
+                        help="bucket count of new tables (64), or the new one for compact")
     parser.add_argument("--quality-gate", action="store_true")
     parser.add_argument("--max-bad-share", type=float, default=0.05)
     parser.add_argument("--means-from", choices=["batch", "history"], default="batch")
@@ -35,7 +34,7 @@ def main(argv=None) -> None:
     import datetime as dt
     spark = get_spark("listingflow")
     cfg = L.RunConfig(root=args.root, as_of=args.as_of or dt.date.today().isoformat(),
-                      raw_dir=args.raw_dir, raw_format=args.raw_format, buckets=args.buckets,
+                      raw_dir=args.raw_dir, raw_format=args.raw_format, buckets=args.buckets or 64,
                       quality_gate=args.quality_gate, max_bad_share=args.max_bad_share,
                       means_from=args.means_from,
                       order_cols=("bronze_ingested_at", "source_file_path"))
@@ -51,7 +50,7 @@ def main(argv=None) -> None:
     elif args.step == "calendar":
         out = L.calendar_step(store)
     elif args.step == "compact":
-        out = {"version": store.compact(args.table, KEYS[args.table], args.buckets)}
+        out = {"version": store.compact(args.table, buckets=args.buckets)}
     else:
         out = {"deleted_versions": store.vacuum(args.table)}
     print(json.dumps(out, default=str))

@@ -50,11 +50,15 @@ def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def new_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
+    """The ``source`` rows whose key ``target`` does not have."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return source.join(_key_side(target, keys), _null_safe_on(keys), "left_anti")
+
+
 def insert_new(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """Insert-only merge: target plus the ``source`` rows whose key is not yet present."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    fresh = source.join(_key_side(target, keys), _null_safe_on(keys), "left_anti")
-    return target.unionByName(fresh, allowMissingColumns=True)
+    return target.unionByName(new_rows(target, source, keys), allowMissingColumns=True)
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:

@@ -79,13 +79,16 @@ def stamp_run(df: DataFrame, run_id: str | None = None, ts=None, id_col: str = "
 
 def observe_counts(df: DataFrame, name: str, mark_col: str | None = None):
     """Attach run metrics to ``df`` that are filled in by the action that runs it (no extra
-    job): ``rows`` and, with ``mark_col``, its maximum ``max_mark``.
+    job): ``rows`` and, with ``mark_col``, its maximum ``max_mark`` as a stored
+    mark (see ``mark_value``).
 
     Returns ``(df, observation)``; read ``observation.get`` after the action.
     """
     from pyspark.sql import Observation
+
+    from listingflow.sources.tables import mark_value
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows")]
     if mark_col:
-        metrics.append(F.max(mark_col).alias("max_mark"))
+        metrics.append(mark_value(df, mark_col).alias("max_mark"))
     return df.observe(obs, *metrics), obs

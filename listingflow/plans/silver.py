@@ -14,7 +14,7 @@ from listingflow.operators import cleaning as C
 from listingflow.operators.features import (CASH_DOWN_PAYMENT, PAYMENT_CASH, fill_from_means,
                                             flexibility_score, group_means, payment_type,
                                             ready_to_move)
-from listingflow.operators.merge import dedup_latest
+from listingflow.operators.merge import dedup_latest, new_rows
 from listingflow.operators.quality import (REASON_MISSING_KEY, flag_invalid, listing_rules,
                                            missing_key)
 from listingflow.session import stage
@@ -38,14 +38,12 @@ def newest_versions(raw: DataFrame, key: str = PRIMARY_KEY, order_cols=VERSION_O
     """Newest version of every keyed listing, plus every row without a usable key (each kept
     as it is, to be quarantined). ``__missing_key`` marks the latter.
 
-    Rows without a key are given a group of their own (a unique id) instead of being split off
-    into a second branch, so the raw input is scanned and joined once, and NULL keys do not pile
-    up in one partition.
+    Rows without a key are split off with a filter: a group made up for them (a running id) would
+    differ when a lost executor's task runs again.
     """
     flagged = raw.withColumn("__missing_key", missing_key(key))
-    group = F.when(~F.col("__missing_key"), F.col(key).cast("string")).otherwise(
-        F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string")))
-    return dedup_latest(flagged.withColumn("__group", group), "__group", order_cols).drop("__group")
+    newest = dedup_latest(flagged.filter(~F.col("__missing_key")), key, order_cols)
+    return newest.unionByName(flagged.filter(F.col("__missing_key")))
 
 
 def clean_rows(df: DataFrame, price_mode: str = "decimal", developer_map=None) -> DataFrame:
@@ -101,24 +99,40 @@ def impute_and_derive(df: DataFrame, as_of, stats_from: DataFrame | None = None)
 MEAN_INPUTS = ("City", "Developer_Name", *CITY_MEAN_COLUMNS, "Down_Payment_Pct")
 
 
-def silver_transform(raw: DataFrame, as_of, price_mode: str = "decimal", developer_map=None,
+def cleaned_batch(raw: DataFrame, price_mode: str = "decimal", developer_map=None,
+                  key: str = PRIMARY_KEY, order_cols=VERSION_ORDER) -> DataFrame:
+    """Newest versions, cleaned, before any mean is filled in or value overridden."""
+    return clean_rows(newest_versions(raw, key, order_cols), price_mode, developer_map)
+
+
+def mean_inputs(cleaned: DataFrame, key: str = PRIMARY_KEY) -> DataFrame:
+    """What a later run's group means need of a cleaned batch: its keyed rows' own values."""
+    return cleaned.filter(~F.col("__missing_key")).select(key, *MEAN_INPUTS)
+
+
+def silver_transform(raw: DataFrame | None, as_of, price_mode: str = "decimal", developer_map=None,
                      key: str = PRIMARY_KEY, order_cols=VERSION_ORDER,
-                     materialize: bool = True, history: DataFrame | None = None) -> DataFrame:
+                     materialize: bool = True, history: DataFrame | None = None,
+                     cleaned: DataFrame | None = None) -> DataFrame:
     """Raw versions -> flagged silver rows (``quarantine_reason`` NULL and ``is_valid`` true for
     good rows). Rows later rejected still feed the group means, as in the source design.
 
     The cleaned batch is read three times (two group means and the rows themselves); with
     ``materialize`` it is written once under the checkpoint root, so the raw scan, its joins and
-    the dedup shuffle run once instead of three times. With ``history`` (the published silver
-    rows) the group means are taken over history plus batch instead of the batch alone.
+    the dedup shuffle run once instead of three times. With ``history`` (``mean_inputs`` of
+    earlier batches, one row per key) the group means are taken over the batch and the history of
+    the keys that the batch does not replace; values filled in or overridden never count.
+    ``cleaned``: a ``cleaned_batch`` that the caller already has, instead of ``raw``.
     """
-    df = newest_versions(raw, key, order_cols)
-    df = clean_rows(df, price_mode, developer_map)
-    if materialize:
-        df = stage(df, "silver-batch")
+    df = cleaned
+    if df is None:
+        df = cleaned_batch(raw, price_mode, developer_map, key, order_cols)
+        if materialize:
+            df = stage(df, "silver-batch")
     stats = None
     if history is not None:
-        stats = history.select(*MEAN_INPUTS).unionByName(df.select(*MEAN_INPUTS))
+        own = df.select(*MEAN_INPUTS)
+        stats = new_rows(mean_inputs(df, key), history, [key]).select(*MEAN_INPUTS).unionByName(own)
     df = impute_and_derive(df, as_of, stats_from=stats)
     rules = [(REASON_MISSING_KEY, F.col("__missing_key")), *listing_rules()]
     return flag_invalid(df, rules).drop("__missing_key")

@@ -33,7 +33,7 @@ def test_marks(spark):
     row = control_row(spark, "silver", "listings", dt.datetime(2020, 1, 2), 5, "SUCCESS", "r",
                       dt.datetime(2020, 1, 3))
     mark = last_mark(row, "silver", "listings")
-    assert mark == dt.datetime(2020, 1, 2)
+    assert mark == "2020-01-02 00:00:00"
     assert last_mark(row, "gold", "listings") is None
     df = spark.createDataFrame([(dt.datetime(2020, 1, d),) for d in (1, 2, 3)], "t timestamp")
     assert newer_than(df, "t", mark).count() == 1
@@ -75,24 +75,72 @@ def test_stream_csv_and_json(spark, tmp_root):
     assert spark.read.parquet(dst2).filter(F.col("p.k") == 2).count() == 1
 
 
-def test_bucketed_upsert_rewrites_touched_buckets_only(spark, tmp_root):
+def test_upsert_writes_its_batch_only(spark, tmp_root):
     store = TableStore(spark, tmp_root)
     base = spark.range(0, 1000).selectExpr("id AS k", "'v0' AS v")
     store.upsert_bucketed("t", base, ["k"], buckets=16)
-    first = store._bucket_dirs("t")
-    assert len(first) == 16 and store.read("t").count() == 1000
     change = spark.createDataFrame([(5, "v1"), (5000, "new")], "k long, v string")
-    store.upsert_bucketed("t", change, ["k"], buckets=16)
-    second = store._bucket_dirs("t")
-    rewritten = {b for b in second if second[b] != first[b]}
-    assert 1 <= len(rewritten) <= 2
+    version = store.upsert_bucketed("t", change, ["k"], buckets=16)
+    assert spark.read.parquet(store.location("t", version)).count() == 2
     rows = {r.k: r.v for r in store.read("t").collect()}
     assert len(rows) == 1001 and rows[5] == "v1" and rows[5000] == "new" and rows[6] == "v0"
-    # a complete rewrite hides every older bucket version
+    assert {r.k for r in store.read_changes("t", version - 1).collect()} == {5, 5000}
+    # a complete rewrite hides every older version
     store.publish_bucketed("t", spark.range(0, 3).selectExpr("id AS k", "'c' AS v"), ["k"], 16)
     assert store.read("t").count() == 3
 
 
+def test_bucket_counts_of_callers_do_not_matter(spark, tmp_root):
+    store = TableStore(spark, tmp_root)
+    want = {}
+
+    def merge(pairs, buckets):
+        want.update(pairs)
+        store.upsert_bucketed("t", spark.createDataFrame(list(pairs.items()), "k long, v string"), ["k"], buckets)
+        rows = store.read("t").collect()
+        assert len(rows) == len(want) and {r.k: r.v for r in rows} == want
+
+    merge({k: "a" for k in range(1000)}, 4)
+    merge({k: "b" for k in range(900, 1003)}, 8)
+    merge({k: "c" for k in (3, 1001, 2000)}, 4)
+    store.compact("t", buckets=8)
+    merge({k: "d" for k in (4, 1002, 2001)}, 64)
+    store.compact("t")
+    assert {r.k: r.v for r in store.read("t").collect()} == want
+    changed = store.read_changes("t", 3)
+    assert {r.k for r in changed.collect()} == {4, 1002, 2001}
+
+
+def test_empty_and_widened_tables_read_back(spark, tmp_root):
+    import pytest
+    store = TableStore(spark, tmp_root)
+    empty = spark.createDataFrame([], "k long, v string")
+    store.insert_new_bucketed("t", empty, ["k"], 4)
+    assert store.read("t").count() == 0 and store.read("t").columns == ["k", "v"]
+    store.insert_new_bucketed("t", empty, ["k"], 4)
+    store.upsert_bucketed("t", spark.createDataFrame([(1, "a", 2.5)], "k long, v string, w double"), ["k"], 4)
+    store.upsert_bucketed("t", spark.createDataFrame([(2, "b")], "k long, v string"), ["k"], 4)
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "a", 2.5), (2, "b", None)]
+    with pytest.raises(ValueError):
+        store.upsert_bucketed("t", spark.createDataFrame([("x", "b")], "k string, v string"), ["k"], 4)
+    with pytest.raises(ValueError):
+        store.upsert_bucketed("t", spark.createDataFrame([(1, "b")], "k long, v string"), ["v"], 4)
+
+
+def test_marks_do_not_depend_on_the_driver_zone(spark, tmp_root, monkeypatch):
+    import time
+    from listingflow.sources.tables import max_mark
+    df = spark.sql("SELECT timestamp_micros(1577872800000001L + id * 3600000000L) AS t, id FROM range(3)")
+    for zone in ("Africa/Cairo", "America/Lima", "UTC"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        mark = max_mark(df.filter("id < 1"), "t")
+        row = control_row(spark, "silver", "x", mark, 1, "SUCCESS", "r", dt.datetime(2020, 1, 1))
+        assert newer_than(df, "t", last_mark(row, "silver", "x")).count() == 2
+    monkeypatch.undo()
+    time.tzset()
+
+
 def test_mark_filter_prunes_ingest_days(spark, tmp_root):
     src = os.path.join(tmp_root, "in")
     spark.range(5).write.parquet(os.path.join(src, "f1"))

@@ -135,29 +135,49 @@ def test_cli_run_from_files(spark, tmp_root):
     main(["vacuum", "control", "--root", f"{tmp_root}/lake"])
 
 
-def test_history_means_include_published_silver(spark, tmp_root):
-    from listingflow.plans.silver import clean_rows, newest_versions
+def test_history_means_use_the_values_as_cleaned(spark, tmp_root):
+    """Second run's fills: means over its own cleaned rows and the first run's cleaned rows whose
+    keys it does not replace, for the city means and the down payment alike."""
+    from listingflow.operators.features import PAYMENT_CASH
+    from listingflow.plans.silver import cleaned_batch, mean_inputs
     raw = raw_listings(spark, SF_SMALL)
     year = F.year("bronze_ingested_at")
     store = TableStore(spark, tmp_root)
-    first = raw.filter(year <= 1996)
-    versions = []
-    for i, bronze in enumerate([first, raw]):
+    for i, bronze in enumerate([raw.filter(year <= 1996), raw]):
         silver_step(store, bronze, RunConfig(root=tmp_root, as_of="2021-06-30", buckets=8,
                                              means_from="history",
                                              run_ts=dt.datetime(2030, 1, 1 + i)))
-        versions.append(store.version("silver"))
-    # expected city means over run 1's published silver plus run 2's cleaned batch
-    batch2 = clean_rows(newest_versions(raw.filter(year > 1996)))
-    hist = store.read("silver", version=versions[0]).select("City", "Transport_Index_Num") \
-        .unionByName(batch2.select("City", "Transport_Index_Num"))
-    expected = {r.City: r.m for r in hist.groupBy("City").agg(
-        F.avg("Transport_Index_Num").alias("m")).collect()}
-    missing = batch2.filter(F.col("Transport_Index_Num").isNull()).select("Property_ID", "City")
-    second = store.read("silver").filter(
-        F.col("silver_updated_at") == F.lit("2030-01-02").cast("timestamp_ntz"))
-    got = second.join(missing, ["Property_ID", "City"]).select("City", "Transport_Index_Num").collect()
-    assert got
-    for r in got:
-        assert r.Transport_Index_Num is not None
-        assert abs(float(r.Transport_Index_Num) - float(expected[r.City])) < 1e-6
+    batch1, batch2 = cleaned_batch(raw.filter(year <= 1996)), cleaned_batch(raw.filter(year > 1996))
+    own = mean_inputs(batch2)
+    hist = mean_inputs(batch1).join(own.select("Property_ID"), "Property_ID", "left_anti")
+    rows = hist.drop("Property_ID").unionByName(batch2.select(*[c for c in own.columns if c != "Property_ID"])).toPandas()
+    city = rows.assign(v=rows["Transport_Index_Num"].astype(float)).groupby("City")["v"].mean()
+    developer = rows.groupby("Developer_Name")["Down_Payment_Pct"].mean()
+    silver = {r["Property_ID"]: r for r in store.read("silver").filter(
+        F.col("silver_updated_at") == F.lit("2030-01-02").cast("timestamp_ntz")).collect()}
+    checked = [0, 0]
+    for r in own.collect():
+        got = silver.get(r["Property_ID"])
+        if got is None:
+            continue
+        if r["Transport_Index_Num"] is None:
+            checked[0] += 1
+            assert abs(float(got["Transport_Index_Num"]) - city[r["City"]]) < 1e-4
+        if r["Down_Payment_Pct"] is None and got["Payment_Type"] != PAYMENT_CASH:
+            checked[1] += 1
+            assert abs(got["Down_Payment_Pct"] - developer[r["Developer_Name"]]) < 1e-6
+    assert all(checked)
+
+
+def test_late_runs_and_runs_of_one_second_reach_gold(spark, tmp_root):
+    raw = raw_listings(spark, SF_SMALL)
+    year = F.year("bronze_ingested_at")
+    store = TableStore(spark, tmp_root)
+    parts = (raw.filter(year <= 1995), raw.filter(year <= 1998), raw)
+    for bronze, ts in zip(parts, (dt.datetime(2030, 1, 2), dt.datetime(2030, 1, 1), dt.datetime(2030, 1, 1))):
+        cfg = RunConfig(root=tmp_root, as_of="2021-06-30", run_ts=ts, buckets=8)
+        assert silver_step(store, bronze, cfg)["new_rows"] > 0
+        gold_step(store, cfg)
+    ids = store.read("silver").select("Property_ID")
+    fact = store.read("fact_listings")
+    assert fact.count() == ids.count() and ids.join(fact, "Property_ID", "left_anti").count() == 0
