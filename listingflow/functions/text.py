@@ -30,11 +30,8 @@ def clean_text_col(c, default: str | None = "Unknown") -> Column:
 
 
 def clean_name_col(c, default: str | None = "Unknown Developer") -> Column:
-    """Drop double quotes and commas, newlines to spaces, collapse spaces, trim."""
-    name = F.regexp_replace(_col(c), '"', "")
-    name = F.regexp_replace(name, r"\n", " ")
-    name = F.regexp_replace(name, ",", "")
-    name = F.trim(F.regexp_replace(name, r"\s+", " "))
+    """Without double quotes and commas, each run of white space as one space, trimmed."""
+    name = F.trim(F.regexp_replace(F.translate(_col(c), '",', ""), r"\s+", " "))
     name = _empty_to_null(name)
     return name if default is None else F.coalesce(name, F.lit(default))
 

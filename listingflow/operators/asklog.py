@@ -3,16 +3,17 @@ context, computed over whole logs with built-in expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingflow.functions.text import strip_fences
 
 # Statement words that block a generated query (the first eight are the original
-# list; MERGE, CREATE and REPLACE close gaps in it), and the aggregates that make a row limit
+# list; MERGE, CREATE and TRANSFORM close gaps in it; REPLACE writes behind CREATE only, alone it
+# is a harmless function), and the aggregates that make a row limit
 # unnecessary.
 FORBIDDEN_WORDS = ("DROP", "DELETE", "UPDATE", "INSERT", "ALTER", "TRUNCATE", "GRANT", "REVOKE",
-                   "MERGE", "CREATE", "REPLACE")
+                   "MERGE", "CREATE", "TRANSFORM")
 AGGREGATE_WORDS = ("COUNT", "AVG", "SUM", "MIN", "MAX")
 DEFAULT_ROW_LIMIT = 20
 
@@ -28,24 +29,35 @@ def _col(c) -> Column:
 
 
 def without_literals(c) -> Column:
-    """SQL text with every '...' literal emptied, so words inside strings are not matched."""
-    return F.regexp_replace(_col(c), r"'([^']|'')*'", "''")
+    """SQL text with every '...' literal emptied and every comment made a space. Literals and
+    comments are taken in one pass, whichever starts first, so a quote inside a comment opens no
+    literal and dashes inside a literal open no comment."""
+    both = r"('(?:[^']|'')*')|(?:--[^\n]*|/\*[\s\S]*?\*/)"
+    marked = F.regexp_replace(_col(c), both, " $1")
+    return F.regexp_replace(marked, r"'([^']|'')*'", "''")
+
+
+def outer_level(c) -> Column:
+    """The text with every parenthesis, inside out, made the sign ¤: what is left is outside."""
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(c, F.lit(r"\("))))
+    return F.aggregate(steps, c, lambda x, _: F.regexp_replace(x, r"\([^()]*\)", "¤"))
 
 
 def audit_queries(df: DataFrame, sql_col: str = "sql_text", words=FORBIDDEN_WORDS) -> DataFrame:
-    """Add ``clean_sql`` (fences removed), ``blocked_words`` (whole words outside literals, in
-    order, comma-joined), ``blocked`` (any such word, or not a SELECT/WITH statement) and
-    ``needs_limit`` (no LIMIT and no aggregate call)."""
+    """Add ``clean_sql`` (fences removed), ``blocked_words`` (whole words outside literals and
+    comments, in order, comma-joined), ``blocked`` (any such word, or not a SELECT/WITH
+    statement) and ``needs_limit`` (no LIMIT and no aggregate call outside parentheses)."""
     clean = strip_fences(sql_col)
     upper = F.upper(without_literals(clean))
     pattern = r"\b(" + "|".join(words) + r")\b"
     found = F.regexp_extract_all(upper, F.lit(pattern), 1)
-    aggregate = r"\b(" + "|".join(AGGREGATE_WORDS) + r")\s*\("
+    outer = outer_level(upper)
+    aggregate = r"\b(" + "|".join(AGGREGATE_WORDS) + r")\s*¤"
     return df.withColumns({
         "clean_sql": clean,
         "blocked_words": F.array_join(found, ","),
         "blocked": (F.size(found) > 0) | ~upper.rlike(r"^\s*(SELECT|WITH)\b"),
-        "needs_limit": ~upper.rlike(r"\bLIMIT\b") & ~upper.rlike(aggregate),
+        "needs_limit": ~outer.rlike(r"\bLIMIT\b") & ~outer.rlike(aggregate),
     })
 
 
@@ -77,25 +89,14 @@ def chat_context(df: DataFrame, n: int = 4, conv: str = "conv_id", turn: str = "
     """Add ``context``: the ``n - 1`` messages before each message as
     ``Conversation Context:`` + one ``User: ...`` / ``Assistant: ...`` line each, or ``''``.
 
-    ``turn`` is the message's position in its conversation (0, 1, 2, ...). Instead of a window
-    over a whole conversation (one task per conversation, however long), each message is copied
-    to the ``n - 1`` turns after it and grouped by (conversation, turn): every group holds at
-    most ``n - 1`` lines, whatever the length of the conversation.
+    Messages follow by ``turn``, whatever gaps it has. ``lag`` over (conversation, turn) is one
+    shuffle and streams through a partition with a buffer of ``n - 1`` rows, however long a
+    conversation is.
     """
     line = F.concat(F.when(F.col(role) == "user", F.lit("User")).otherwise(F.lit("Assistant")),
                     F.lit(": "), F.coalesce(F.col(text), F.lit("")), F.lit("\n"))
-    copies = F.explode(F.array(*[F.struct(F.lit(k).alias("back"),
-                                          (F.col(turn) + k).alias("target"))
-                                 for k in range(1, n)]))
-    spread = df.select(F.col(conv).alias("__conv"), line.alias("__line"), copies.alias("__c"))
-    grouped = (spread.groupBy("__conv", F.col("__c.target").alias("__target"))
-               .agg(F.array_sort(F.collect_list(F.struct(
-                   (-F.col("__c.back")).alias("pos"), F.col("__line").alias("line"))))
-                   .alias("__lines")))
-    context = F.concat(F.lit("Conversation Context:\n"),
-                       F.array_join(F.transform("__lines", lambda x: x["line"]), ""))
-    grouped = grouped.select("__conv", "__target", context.alias("__context"))
-    joined = df.join(grouped, (F.col(conv) == F.col("__conv")) &
-                     (F.col(turn) == F.col("__target")), "left")
-    return (joined.withColumn("context", F.coalesce("__context", F.lit("")))
-            .drop("__conv", "__target", "__context"))
+    w = Window.partitionBy(conv).orderBy(turn)
+    before = [F.coalesce(F.lag(line, k).over(w), F.lit("")) for k in range(n - 1, 0, -1)]
+    first = F.lag(line, 1).over(w).isNull()
+    return df.withColumn("context", F.when(first, F.lit("")).otherwise(
+        F.concat(F.lit("Conversation Context:\n"), *before)))

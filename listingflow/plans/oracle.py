@@ -40,6 +40,11 @@ SELECT
   l_shipdate + INTERVAL 24 YEARS AS ingestion_time,
   CASE WHEN l_partkey%29=0 THEN ''
        WHEN l_partkey%13=0 THEN concat(cast(cast(floor(l_extendedprice) AS bigint) AS varchar),'.50')
+       WHEN l_partkey%17=0 THEN concat(cast(1+l_partkey%9 AS varchar),' 250 000')
+       WHEN l_partkey%19=0 THEN concat(cast(1+l_partkey%9 AS varchar),'.250.000,5')
+       WHEN l_partkey%23=0 THEN concat(cast(1+l_partkey%9 AS varchar),',250,000.75 EGP')
+       WHEN l_partkey%43=0 THEN concat(cast(1+l_partkey%9 AS varchar),',5')
+       WHEN l_partkey%47=0 THEN concat(cast(1+l_partkey%9 AS varchar),'.250')
        WHEN l_partkey%7=0 THEN concat('EGP ',cast(cast(floor(l_extendedprice) AS bigint) AS varchar))
        ELSE cast(cast(floor(l_extendedprice) AS bigint) AS varchar) END AS Total_Price,
   CASE WHEN l_partkey%31=0 THEN '0' WHEN l_partkey%37=0 THEN 'nan' WHEN l_partkey%41=0 THEN '-5'
@@ -106,11 +111,20 @@ def within_years(d: str, lo: int, hi: int) -> str:
     return f"CASE WHEN year({d}) BETWEEN {lo} AND {hi} THEN {d} END"
 
 
-NUMBER_RE = r"[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?"
-
-
 def parse_amount(x: str) -> str:
-    v = f"try_cast(nullif(regexp_extract(replace({x}, ',', ''), '{NUMBER_RE}', 0), '') AS decimal(18,2))"
+    """Price text read style by style: the currency word is cut off, then each style has its own
+    full pattern and its own way to a plain number."""
+    word = r"[\p{L}\p{Sc}]+[.]?"
+    t = (f"trim(regexp_replace(regexp_replace(trim({x}), '^{word}\\s*', ''), "
+         f"'([0-9.])\\s*{word}$', '\\1'))")
+    three = r"\d\d\d"
+    v = f"""try_cast(CASE
+      WHEN regexp_full_match({t}, '[-+]?[1-9]\\d?\\d?[.]{three}') THEN NULL
+      WHEN regexp_full_match({t}, '[-+]?(\\d+|\\d+[.]\\d*|[.]\\d+)([eE][-+]?\\d+)?') THEN {t}
+      WHEN regexp_full_match({t}, '[-+]?\\d\\d?\\d?(,{three})+([.]\\d*)?') THEN replace({t}, ',', '')
+      WHEN regexp_full_match({t}, '[-+]?\\d\\d?\\d?( {three})+([.,]\\d\\d?)?') THEN replace(replace({t}, ' ', ''), ',', '.')
+      WHEN regexp_full_match({t}, '[-+]?\\d\\d?\\d?[.]{three}([.]{three})+(,\\d\\d?)?') THEN replace(replace({t}, '.', ''), ',', '.')
+      END AS decimal(18,2))"""
     return f"CASE WHEN {v} > 0 THEN {v} END"
 
 

@@ -30,11 +30,12 @@ def q_chat_context(spark, sf_dir):
 
 
 def generated_sql(events: DataFrame) -> DataFrame:
-    """A generated-query log derived from ``events`` (one text per event, eight shapes: plain,
-    fenced, aggregate, limited, literal containing a blocked word, and write statements)."""
+    """A generated-query log derived from ``events`` (one text per event, twelve shapes: plain,
+    fenced, aggregate, limited, literal containing a blocked word, write statements, a write behind
+    a comment, a harmless function, inner limits, a script)."""
     uid = F.col("user_id").cast("string")
     cents = F.floor(F.col("value") * 100).cast("bigint").cast("string")
-    k = F.col("event_id") % 8
+    k = F.col("event_id") % 12
     text = (F.when(k == 0, F.concat(F.lit("SELECT City, Total_Price FROM fact_listings WHERE Rooms_Count = "), uid))
             .when(k == 1, F.concat(F.lit("```sql\nSELECT * FROM dim_location WHERE District = 'Drop "),
                                    F.col("event_type"), F.lit("'\n```")))
@@ -45,6 +46,11 @@ def generated_sql(events: DataFrame) -> DataFrame:
             .when(k == 4, F.concat(F.lit("select count(*) from fact_listings where Total_Price > "), cents))
             .when(k == 5, F.lit("WITH t AS (SELECT * FROM fact_listings) SELECT * FROM t; DROP TABLE t"))
             .when(k == 6, F.concat(F.lit("MERGE INTO dim_location USING x ON 1=1 -- "), F.col("props")))
+            .when(k == 7, F.concat(F.lit("WITH x AS (SELECT 1) -- '\nINSERT INTO tgt SELECT "), uid, F.lit(" -- '")))
+            .when(k == 8, F.concat(F.lit("SELECT replace(City, 'a', 'b') FROM dim_location /* don't drop */ WHERE 1 = "), uid))
+            .when(k == 9, F.concat(F.lit("SELECT * FROM (SELECT * FROM fact_listings LIMIT "), uid,
+                                   F.lit(") t WHERE (1 = (SELECT max(2)))")))
+            .when(k == 10, F.concat(F.lit("SELECT TRANSFORM (City) USING 'cat' FROM dim_location WHERE 1 = "), uid))
             .otherwise(F.concat(F.lit("  SELECT max (Size_SqM) FROM fact_listings WHERE Rooms_Count = "), uid)))
     return events.select("event_id", text.alias("sql_text"))
 
@@ -65,7 +71,7 @@ def router_replies(events: DataFrame) -> DataFrame:
 
 _NL = "chr(10)"
 _CENTS = "cast(cast(floor(value * 100) AS bigint) AS varchar)"
-_SQL_LOG = f"""q AS (SELECT event_id, CASE event_id % 8
+_SQL_LOG = f"""q AS (SELECT event_id, CASE event_id % 12
   WHEN 0 THEN 'SELECT City, Total_Price FROM fact_listings WHERE Rooms_Count = ' || cast(user_id AS varchar)
   WHEN 1 THEN '```sql' || {_NL} || 'SELECT * FROM dim_location WHERE District = ''Drop ' || event_type || '''' || {_NL} || '```'
   WHEN 2 THEN 'SELECT Property_ID, last_updated_ts FROM fact_listings ORDER BY last_updated_ts DESC LIMIT ' || cast(user_id AS varchar)
@@ -73,6 +79,10 @@ _SQL_LOG = f"""q AS (SELECT event_id, CASE event_id % 8
   WHEN 4 THEN 'select count(*) from fact_listings where Total_Price > ' || {_CENTS}
   WHEN 5 THEN 'WITH t AS (SELECT * FROM fact_listings) SELECT * FROM t; DROP TABLE t'
   WHEN 6 THEN 'MERGE INTO dim_location USING x ON 1=1 -- ' || props
+  WHEN 7 THEN 'WITH x AS (SELECT 1) -- ''' || {_NL} || 'INSERT INTO tgt SELECT ' || cast(user_id AS varchar) || ' -- '''
+  WHEN 8 THEN 'SELECT replace(City, ''a'', ''b'') FROM dim_location /* don''t drop */ WHERE 1 = ' || cast(user_id AS varchar)
+  WHEN 9 THEN 'SELECT * FROM (SELECT * FROM fact_listings LIMIT ' || cast(user_id AS varchar) || ') t WHERE (1 = (SELECT max(2)))'
+  WHEN 10 THEN 'SELECT TRANSFORM (City) USING ''cat'' FROM dim_location WHERE 1 = ' || cast(user_id AS varchar)
   ELSE '  SELECT max (Size_SqM) FROM fact_listings WHERE Rooms_Count = ' || cast(user_id AS varchar) END AS sql_text
 FROM events)"""
 
@@ -82,16 +92,23 @@ def _strip_fences_sql(x: str) -> str:
             f"'^\\s+|\\s+$', '', 'g')")
 
 
-_WORDS = r"\b(DROP|DELETE|UPDATE|INSERT|ALTER|TRUNCATE|GRANT|REVOKE|MERGE|CREATE|REPLACE)\b"
+_WORDS = r"\b(DROP|DELETE|UPDATE|INSERT|ALTER|TRUNCATE|GRANT|REVOKE|MERGE|CREATE|TRANSFORM)\b"
 
 
-@register("audit_queries", O.with_ctes(_SQL_LOG, f"""a AS (SELECT event_id, sql_text, {_strip_fences_sql('sql_text')} AS clean_sql FROM q)""",
-                                       """b AS (SELECT *, upper(regexp_replace(clean_sql, '''([^'']|'''')*''', '''''', 'g')) AS up FROM a)""") + f"""
+_BARE = (r"regexp_replace(regexp_replace(clean_sql, '(''([^'']|'''')*'')|--[^\n]*|/[*](.|\n)*?[*]/', ' \1', 'g'), "
+         r"'''([^'']|'''')*''', '''''', 'g')")
+_PAREN = "regexp_replace({}, '[(][^()]*[)]', '¤', 'g')"
+_OUTSIDE = _PAREN.format(_PAREN.format(_PAREN.format(_PAREN.format("up"))))
+
+
+@register("audit_queries", O.with_ctes(
+    _SQL_LOG, f"a AS (SELECT event_id, sql_text, {_strip_fences_sql('sql_text')} AS clean_sql FROM q)",
+    f"b AS (SELECT *, upper({_BARE}) AS up FROM a)", f"o AS (SELECT *, {_OUTSIDE} AS outside FROM b)") + rf"""
 SELECT event_id, sql_text, clean_sql,
   array_to_string(regexp_extract_all(up, '{_WORDS}', 1), ',') AS blocked_words,
-  len(regexp_extract_all(up, '{_WORDS}', 1)) > 0 OR NOT regexp_matches(up, '^\\s*(SELECT|WITH)\\b') AS blocked,
-  NOT regexp_matches(up, '\\bLIMIT\\b') AND NOT regexp_matches(up, '\\b(COUNT|AVG|SUM|MIN|MAX)\\s*\\(') AS needs_limit
-FROM b""")
+  len(regexp_extract_all(up, '{_WORDS}', 1)) > 0 OR NOT regexp_matches(up, '^\s*(SELECT|WITH)\b') AS blocked,
+  NOT regexp_matches(outside, '\bLIMIT\b') AND NOT regexp_matches(outside, '\b(COUNT|AVG|SUM|MIN|MAX)\s*¤') AS needs_limit
+FROM o""")
 def q_audit_queries(spark, sf_dir):
     from listingflow.operators.asklog import audit_queries
     return audit_queries(generated_sql(read_driver_table(spark, sf_dir, "events")))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listingflow.operators.dims import PROFILE_COLUMNS
 from listingflow.operators.merge import dedup_latest
 from listingflow.operators.quality import quality_summary, split_valid
 from listingflow.plans import oracle as O
 from listingflow.plans.queries.base import AS_OF, _round, register, silver_flagged, silver_good
 from listingflow.plans.silver import silver_transform
+from listingflow.session import stage
 from listingflow.sources.fixtures import VERSION_ORDER, raw_listings
 
 
@@ -142,29 +144,28 @@ def q_upsert_listings(spark, sf_dir):
 
 
 @register("impute_history_mean", O.with_ctes(O.RAW, *O.silver_ctes("1", _FIRST), *O.silver_ctes("2", _SECOND), """
-hist AS (SELECT City, Transport_Index_Num AS ti FROM silver1 WHERE quarantine_reason IS NULL
-         UNION ALL SELECT City, Transport_Index_Num FROM c2),
-m AS (SELECT City, avg(ti) AS ti_mean FROM hist GROUP BY City)""") + f"""
-SELECT c2.Property_ID, c2.City,
-  {O.spark_round('round(coalesce(c2.Transport_Index_Num, m.ti_mean), 10)', 4)} AS Transport_Index_Num
-FROM c2 LEFT JOIN m ON c2.City = m.City""")
+hist AS (SELECT City, Developer_Name, Transport_Index_Num AS ti, Down_Payment_Pct AS dp FROM c1
+         WHERE Property_ID NOT IN (SELECT Property_ID FROM c2)
+         UNION ALL SELECT City, Developer_Name, Transport_Index_Num, Down_Payment_Pct FROM c2),
+m AS (SELECT City, avg(ti) AS ti_mean FROM hist GROUP BY City),
+d AS (SELECT Developer_Name, avg(dp) AS dp_mean FROM hist GROUP BY Developer_Name)""") + f"""
+SELECT s.Property_ID, s.City,
+  {O.spark_round('round(coalesce(s.Transport_Index_Num, m.ti_mean), 10)', 4)} AS Transport_Index_Num,
+  {O.spark_round("CASE WHEN NOT coalesce(s.Installment_Years > 0, false) THEN 100.0 ELSE coalesce(s.Down_Payment_Pct, d.dp_mean) END", 6)} AS Down_Payment_Pct
+FROM c2 s LEFT JOIN m ON s.City = m.City LEFT JOIN d ON s.Developer_Name = d.Developer_Name""")
 def q_impute_history_mean(spark, sf_dir):
-    """Means from history: the second batch's missing transport index is filled with the city
-    mean over the published silver rows of the first batch plus the new batch itself."""
-    from listingflow.operators.features import impute_mean
-    from listingflow.plans.silver import clean_rows, newest_versions
+    """Means from history: gaps of the second batch are filled with means over its own cleaned
+    values and those of the first batch's listings that it does not replace."""
+    from listingflow.plans.silver import cleaned_batch, mean_inputs
     raw = raw_listings(spark, sf_dir)
     cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    first, _ = split_valid(silver_transform(raw.filter(F.col("bronze_ingested_at") < cut), AS_OF))
-    batch = clean_rows(newest_versions(raw.filter(F.col("bronze_ingested_at") >= cut)))
-    history = first.select("City", "Transport_Index_Num").unionByName(
-        batch.select("City", "Transport_Index_Num"))
-    out = impute_mean(batch, "Transport_Index_Num", "City", stats_from=history)
-    return out.select("Property_ID", "City", _round("Transport_Index_Num", 4))
+    first = cleaned_batch(raw.filter(F.col("bronze_ingested_at") < cut))
+    batch = stage(cleaned_batch(raw.filter(F.col("bronze_ingested_at") >= cut)), "history-batch")
+    out = silver_transform(None, AS_OF, cleaned=batch, history=mean_inputs(first))
+    return out.select("Property_ID", "City", _round("Transport_Index_Num", 4), _round("Down_Payment_Pct", 6))
 
 
-_PROFILE = ("Unit_Type", "View_Type", "Kitchen_Type", "Has_Elevator", "Smart_Home_Ready",
-            "has_pool", "gym", "security", "parking_spots")
+_PROFILE = tuple(PROFILE_COLUMNS)
 _PROFILE_SQL = ", ".join(_PROFILE)
 
 

@@ -39,12 +39,23 @@ _AGGREGATES = {"count": F.count, "avg": F.avg, "sum": F.sum, "min": F.min, "max"
 
 
 def star_measures(fact: DataFrame, locations: DataFrame, by=("City", "Payment_Type"),
-                  measures=DEFAULT_MEASURES, where=None) -> DataFrame:
-    """Aggregates of fact measures (count, avg, sum, min, max) by fact or location attributes,
-    optionally filtered first (``where``: a Column or SQL text). Partial aggregation happens
-    before the shuffle, so a hot group costs one row per task."""
-    loc = locations.select("location_sk", "City", "District")
-    rows = fact.join(loc, "location_sk", "left")
+                  measures=DEFAULT_MEASURES, where=None, developers: DataFrame | None = None,
+                  profiles: DataFrame | None = None, calendar: DataFrame | None = None) -> DataFrame:
+    """Aggregates of fact measures (count, avg, sum, min, max) by attributes of the fact or of the
+    dimensions given, optionally filtered first (``where``: a Column or SQL text). The calendar is
+    joined on the listing date; facts without a match keep NULL attributes. Partial aggregation
+    happens before the shuffle, so a hot group costs one row per task."""
+    rows = fact.join(locations.select("location_sk", "City", "District"), "location_sk", "left")
+    own = set(rows.columns)
+    for dim, key in ((developers, "developer_sk"), (profiles, "profile_sk")):
+        if dim is not None:
+            more = [c for c in dim.columns if c not in own]
+            rows = rows.join(dim.select(key, *more), key, "left")
+            own |= set(more)
+    if calendar is not None:        # a fixed number of days
+        more = [c for c in calendar.columns if c not in own]
+        day = calendar.select(F.col("Date").alias("__day"), *more)
+        rows = rows.join(F.broadcast(day), rows["Date"] == F.col("__day"), "left").drop("__day")
     if where is not None:
         rows = rows.filter(where)
     aggs = []
@@ -57,16 +68,73 @@ def star_measures(fact: DataFrame, locations: DataFrame, by=("City", "Payment_Ty
     return rows.groupBy(*by).agg(*aggs)
 
 
-def guarded_sql(spark: SparkSession, sql_text: str, limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
-    """Run one read-only generated query against the registered views.
+# The kinds of plan nodes that a read-only query may have, as Spark's parser names them.
+READ_NODES = frozenset(
+    "Project Filter Aggregate Join Sort GlobalLimit LocalLimit Offset SubqueryAlias Distinct Union "
+    "Except Intersect OneRowRelation UnresolvedRelation UnresolvedWith UnresolvedHaving "
+    "UnresolvedInlineTable UnresolvedSubqueryColumnAliases WithWindowDefinition Window Generate "
+    "LateralJoin Pivot Unpivot Tail Sample ResolvedInlineTable LocalRelation".split())
 
-    The text is checked with the same rule as ``audit_queries`` (evaluated by Spark on a
-    one-row frame, so there is a single definition of the rule); blocked text raises. Without a
-    LIMIT or an aggregate, ``limit`` rows are returned (applied to the DataFrame, not glued to
+
+def _parsed(spark: SparkSession, sql_text: str):
+    """(node kinds, relations outside the query's own WITH names, whether the outer query has a
+    LIMIT) of a text, by Spark's parser. Nothing is analyzed or run."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql_text)
+    kinds, relations, own = set(), set(), set()
+
+    def each(seq):
+        it = seq.iterator()
+        while it.hasNext():
+            yield it.next()
+
+    def expression(e):
+        if e.getClass().getSimpleName() in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery",
+                                            "FunctionTableSubqueryArgumentExpression"):
+            node(e.plan())
+        for child in each(e.children()):
+            expression(child)
+
+    def node(p):
+        kind = p.getClass().getSimpleName()
+        kinds.add(kind)
+        if kind == "UnresolvedRelation":
+            relations.add(".".join(each(p.multipartIdentifier())).lower())
+        if kind == "UnresolvedWith":
+            for pair in each(p.cteRelations()):
+                own.add(pair.productElement(0).lower())
+                node(pair.productElement(1))
+        for e in each(p.expressions()):
+            expression(e)
+        for child in each(p.children()):
+            node(child)
+
+    node(plan)
+    top = plan
+    while top.getClass().getSimpleName() in ("UnresolvedWith", "Offset"):
+        top = top.children().head()
+    return kinds, relations - own, top.getClass().getSimpleName() in ("GlobalLimit", "LocalLimit")
+
+
+def guarded_sql(spark: SparkSession, sql_text: str, limit: int = DEFAULT_ROW_LIMIT,
+                tables=None) -> DataFrame:
+    """Run one read-only generated query against allowed tables.
+
+    The text must pass the rule of ``audit_queries``, and Spark's parser must see nothing but
+    query nodes (no command, insert or script) over ``tables`` (default: the temp views of the
+    session; never a path). Blocked text raises before analysis. Without a LIMIT of the outer
+    query or an aggregate, ``limit`` rows are returned (applied to the DataFrame, not glued to
     the text).
     """
     verdict = audit_queries(spark.createDataFrame([(sql_text,)], "sql_text string")).first()
     if verdict["blocked"]:
         raise PermissionError(f"blocked query ({verdict['blocked_words'] or 'not a SELECT'})")
-    result = spark.sql(verdict["clean_sql"].rstrip().rstrip(";"))
-    return result.limit(limit) if verdict["needs_limit"] else result
+    text = verdict["clean_sql"].rstrip().rstrip(";")
+    kinds, relations, limited = _parsed(spark, text)
+    if kinds - READ_NODES:
+        raise PermissionError(f"blocked query (plan nodes {sorted(kinds - READ_NODES)})")
+    if tables is None:
+        tables = [t.name for t in spark.catalog.listTables() if t.isTemporary]
+    if unknown := relations - {t.lower() for t in tables}:
+        raise PermissionError(f"blocked query (tables {sorted(unknown)} are not allowed)")
+    result = spark.sql(text)
+    return result.limit(limit) if verdict["needs_limit"] and not limited else result

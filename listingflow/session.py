@@ -8,6 +8,7 @@ shared place for checkpoints and written intermediates.
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -62,6 +63,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
+    if not root and sc is not None and not re.match(r"local($|\[)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: a machine-local "
+                           "one would lose what other executors write")
     if not root:
         root = _LOCAL_ROOT.setdefault("root", tempfile.mkdtemp(prefix="listingflow-ckpt-"))
     if sc is not None and sc.getCheckpointDir() is None:

@@ -38,6 +38,11 @@ RAW_LISTING_COLUMNS = [
     ("ingestion_time", "l_shipdate + interval 24 years"),
     ("Total_Price", "case when l_partkey%29=0 then '' "
                     "when l_partkey%13=0 then concat(cast(cast(floor(l_extendedprice) as bigint) as string),'.50') "
+                    "when l_partkey%17=0 then concat(cast(1+l_partkey%9 as string),' 250 000') "
+                    "when l_partkey%19=0 then concat(cast(1+l_partkey%9 as string),'.250.000,5') "
+                    "when l_partkey%23=0 then concat(cast(1+l_partkey%9 as string),',250,000.75 EGP') "
+                    "when l_partkey%43=0 then concat(cast(1+l_partkey%9 as string),',5') "
+                    "when l_partkey%47=0 then concat(cast(1+l_partkey%9 as string),'.250') "
                     "when l_partkey%7=0 then concat('EGP ',cast(cast(floor(l_extendedprice) as bigint) as string)) "
                     "else cast(cast(floor(l_extendedprice) as bigint) as string) end"),
     ("Size_SqM", "case when l_partkey%31=0 then '0' when l_partkey%37=0 then 'nan' "
