@@ -9,7 +9,9 @@ signature trees: leaves of sets of like size, inner nodes with the OR of their t
 their size range. Two trees are walked together; a pair of nodes is dropped when the sizes are too
 far apart or the common bits allow too small an overlap. Pairs that are left are compared exactly.
 
-Large groups are cut into tiles, tile pairs are separate tasks. Nothing is capped.
+The groups of this second round take each set's first elements in order of rarity among the sets
+that are left, which keeps families of copies that are not near enough out of them. Large groups
+are cut into tiles, tile pairs are separate tasks. Nothing is capped.
 
 Defined results: texts that are null, empty or without words have an empty set and link with
 nothing; texts with fewer words than n have one n-gram, the whole sequence; repeated ids are
@@ -30,7 +32,6 @@ from listingflow.llm.symbols import U, joined_bytes, mix, prefix_sums, turns, wi
 
 GRAM, PERCENT = 4, 85
 BITS = 4096             # of a set's bitmap
-TREE_BITS = 1024        # of a bitmap in a tree
 TILE = 4096             # sets of a group that are joined in one task
 LEAF, FAN = 16, 8       # sets of a leaf, children of an inner node
 
@@ -86,17 +87,6 @@ def bitmap(s: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def folded(bits: bytes) -> bytes:
-    """The bitmap of the same set with TREE_BITS places."""
-    return np.bitwise_or.reduce(np.frombuffer(bits, np.uint8).reshape(-1, TREE_BITS // 8), axis=0).tobytes()
-
-
-def _fold(batches):
-    for batch in batches:
-        bits = pa.array([folded(b) for b in batch.column("bits").to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), bits], names=["rep", "bits"])
-
-
 def _first_of_group(batches):
     """Sorted (token, rep, n) rows: those whose token has several sets, with the token's first set."""
     held = None
@@ -123,6 +113,33 @@ def _first_of_group(batches):
         held = {"token": token[-1], "lead": lead[-1], "lead_n": lead_n[-1], "out": bool(several[-1])}
 
 
+def _elements(batches):
+    schema = pa.schema([("rep", pa.int64()), ("elements", pa.list_(pa.int64()))])
+    for batch in batches:
+        sets = shingle_sets(batch.column("text").to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([x.view(np.int64) for x in sets], schema[1].type)],
+                                         schema=schema)
+
+
+def rare_prefixes(reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """``token, rep``: of each set its first elements again, now in order of how few of these sets
+    have them, without those that one set has alone. ``reps``: rep, n.
+
+    Near copies that are not near enough differ in elements of their own, which come first in this
+    order and meet nobody; what is left of their prefixes is short, or nothing.
+    """
+    sets = settle(texts.withColumnRenamed("id", "rep").join(reps, "rep").select("rep", "text")
+                  .mapInArrow(_elements, "rep long, elements array<long>"), "set-elements")
+    each = sets.select(F.explode("elements").alias("token"), "rep")
+    common = settle(each.groupBy("token").agg(F.count("*").alias("of")).filter("of > 1"), "set-common")
+    ranked = (each.join(common, "token").groupBy("rep")
+              .agg(F.sort_array(F.collect_list(F.struct("of", "token"))).alias("shared")))
+    first = F.col("n") - F.expr(f"(n * {PERCENT} + 99) div 100") + 1
+    left = F.greatest(first - (F.col("n") - F.size("shared")), F.lit(0)).cast("int")
+    return (ranked.join(reps, "rep")
+            .select(F.explode(F.slice(F.transform("shared", lambda x: x["token"]), F.lit(1), left)).alias("token"), "rep"))
+
+
 def _sets(batches):
     schema = pa.schema([("rep", pa.int64()), ("elements", pa.binary())])
     for batch in batches:
@@ -300,14 +317,18 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     links = settle(linked_pairs(star, one, rows), "set-links")
     parts = components(links)
     parts = settle(parts, "set-parts")
-    placed = (met.select("token", "rep", "n").join(parts, F.col("rep") == F.col("id"), "left")
+    comps = parts.select(F.col("id").alias("rep"), "component")
+    placed = (met.select("token", "rep", "n").join(comps, "rep", "left")
               .select("token", "rep", "n", F.coalesce("component", "rep").alias("component")))
     placed = settle(placed, "set-placed")
-    mixed = (placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
-                                         F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    # Groups of one component are done; the sets of the others go on, by their rarest elements.
+    several = placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2")
+    waiting = settle(placed.join(several, "token").select("rep", "n", "component").distinct(), "set-waiting")
+    rare = settle(rare_prefixes(waiting.select("rep", "n"), rows).join(waiting, "rep"), "set-rare")
+    mixed = (rare.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
+                                       F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
              .filter("c1 != c2").select("token", "tiles"))
-    bits = one.select("rep", "bits").mapInArrow(_fold, "rep long, bits binary")
-    members = placed.join(mixed, "token").join(bits, "rep")
+    members = rare.join(mixed, "token").join(one.select("rep", "bits"), "rep")
     tile = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
     members = (members.withColumn("t", tile).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
                .select("token", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "rep", "component",
