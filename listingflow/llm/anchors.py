@@ -27,7 +27,7 @@ from listingflow.llm.symbols import U, mix, powers_down, prefix_sums, sliding_mi
 #: An anchor with more occurrences (first level) or distinct segments (later) is anchored again.
 GROUP = 512
 #: Symbols that a solver gets at once, unless one group has more.
-BATCH = 1 << 21
+BATCH = 1 << 19
 PLACE = U((1 << 20) - 1)
 
 
