@@ -9,8 +9,8 @@ signature trees: leaves of sets of like size, inner nodes with the OR of their t
 their size range. Two trees are walked together; a pair of nodes is dropped when the sizes are too
 far apart or the common bits allow too small an overlap. Pairs that are left are compared exactly.
 
-The groups of this second round take each set's first elements in order of rarity among the sets
-that are left, which keeps families of copies that are not near enough out of them. Large groups
+In this second round the sets of large groups meet by their first elements in order of rarity
+among those sets, which keeps families of copies that are not near enough apart. Large groups
 are cut into tiles, tile pairs are separate tasks. Nothing is capped.
 
 Defined results: texts that are null, empty or without words have an empty set and link with
@@ -33,6 +33,7 @@ from listingflow.llm.symbols import U, joined_bytes, mix, prefix_sums, turns, wi
 GRAM, PERCENT = 4, 85
 BITS = 4096             # of a set's bitmap
 TILE = 4096             # sets of a group that are joined in one task
+LARGE = 256             # sets from which on a group goes by rarity in the second round
 LEAF, FAN = 16, 8       # sets of a leaf, children of an inner node
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -321,10 +322,17 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     placed = (met.select("token", "rep", "n").join(comps, "rep", "left")
               .select("token", "rep", "n", F.coalesce("component", "rep").alias("component")))
     placed = settle(placed, "set-placed")
-    # Groups of one component are done; the sets of the others go on, by their rarest elements.
-    several = placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2")
-    waiting = settle(placed.join(several, "token").select("rep", "n", "component").distinct(), "set-waiting")
-    rare = settle(rare_prefixes(waiting.select("rep", "n"), rows).join(waiting, "rep"), "set-rare")
+    # Groups of one component are done. Small groups are joined as they are; the sets of large
+    # ones meet again by their rarest elements (under other group names: the elements' bits turned).
+    several = settle(placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
+                                                 F.count("*").alias("of")).filter("c1 != c2").select("token", "of"),
+                     "set-several")
+    small = placed.join(several.filter(F.col("of") <= LARGE).select("token"), "token")
+    waiting = settle(placed.join(several.filter(F.col("of") > LARGE).select("token"), "token")
+                     .select("rep", "n", "component").distinct(), "set-waiting")
+    rare = rare_prefixes(waiting.select("rep", "n"), rows).join(waiting, "rep")
+    rare = settle(rare.select(F.bitwise_not("token").alias("token"), "rep", "n", "component")
+                  .unionByName(small.select("token", "rep", "n", "component")), "set-rare")
     mixed = (rare.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
                                        F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
              .filter("c1 != c2").select("token", "tiles"))

@@ -51,9 +51,10 @@ def near_copies(seed, groups=6, each=10):
     return [(i * 3 + 1, t, None, None, 0) for i, t in enumerate(out)]
 
 
-@pytest.mark.parametrize("tile", [4096, 3])
-def test_against_brute_force(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile, large", [(4096, 256), (3, 4)])
+def test_against_brute_force(spark, monkeypatch, tile, large):
     monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "LARGE", large)
     for data in (rows(), near_copies(1), near_copies(2, 3, 25)):
         assert table(jaccard.jaccard_groups(frame(spark, data, clash=True)), "doc_id") == expected(data)
 
@@ -67,6 +68,7 @@ def test_without_the_first_comparison_trees_find_all(spark, monkeypatch):
         return real(pairs.filter("false") if len(calls) == 1 else pairs, *rest)
 
     monkeypatch.setattr(jaccard, "linked_pairs", second_only)
+    monkeypatch.setattr(jaccard, "LARGE", 3)
     data = near_copies(3)
     assert table(jaccard.jaccard_groups(frame(spark, data)), "doc_id") == expected(data)
 
