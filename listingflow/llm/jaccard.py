@@ -19,6 +19,8 @@ hold 64-bit hashes; the last comparison uses their 40 leading bits.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +30,7 @@ from listingflow.llm.common import settle
 from listingflow.llm.components import components
 from listingflow.llm.symbols import U, joined_bytes, mix, prefix_sums, turns, window_hash, word_hashes, word_places
 
-GRAM, PERCENT = 4, 85
+GRAM, PERCENT = 4, 85   # of op10
 BITS = 4096             # of a set's bitmap
 TREE_BITS = 1024        # of a bitmap in a tree
 TILE = 4096             # sets of a group that are joined in one task
@@ -58,16 +60,16 @@ def shingle_sets(texts: list[str | None], gram: int = GRAM) -> list[np.ndarray]:
     return out
 
 
-def least_overlap(a, b):
-    """Common elements that sets of sizes a and b need (whole numbers: 100 * i >= PERCENT * union)."""
-    return -(-PERCENT * (a + b) // (100 + PERCENT))
+def least_overlap(a, b, percent: int = PERCENT):
+    """Common elements that sets of sizes a and b need (whole numbers: 100 * i >= percent * union)."""
+    return -(-percent * (a + b) // (100 + percent))
 
 
-def _scan(batches):
+def _scan(batches, gram, percent):
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
                         ("prefix", pa.list_(pa.int64())), ("bits", pa.binary())])
     for batch in batches:
-        sets = shingle_sets(batch.column("text").to_pylist())
+        sets = shingle_sets(batch.column("text").to_pylist(), gram)
         out = {n: [] for n in schema.names}
         out["id"] = batch.column("id")
         for s in sets:
@@ -75,7 +77,7 @@ def _scan(batches):
             out["n"].append(n)
             for name, salt in (("f1", 1), ("f2", 2)):
                 out[name].append(int(np.add.reduce(mix(s + U(salt)), dtype=U).view(np.int64)) if n else 0)
-            out["prefix"].append(s[:n - (-(-PERCENT * n // 100)) + 1].view(np.int64) if n else [])
+            out["prefix"].append(s[:n - (-(-percent * n // 100)) + 1].view(np.int64) if n else [])
             out["bits"].append(bitmap(s))
         yield pa.RecordBatch.from_pydict(out, schema=schema)
 
@@ -123,10 +125,10 @@ def _first_of_group(batches):
         held = {"token": token[-1], "lead": lead[-1], "lead_n": lead_n[-1], "out": bool(several[-1])}
 
 
-def _sets(batches):
+def _sets(batches, gram):
     schema = pa.schema([("rep", pa.int64()), ("elements", pa.binary())])
     for batch in batches:
-        sets = shingle_sets(batch.column("text").to_pylist())
+        sets = shingle_sets(batch.column("text").to_pylist(), gram)
         yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([packed(s) for s in sets], pa.binary())], schema=schema)
 
 
@@ -142,7 +144,7 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view(">u8").ravel().astype(np.int64)
 
 
-def _linked(batches):
+def _linked(batches, percent):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     for batch in batches:
         a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
@@ -154,13 +156,13 @@ def _linked(batches):
             both = np.concatenate([kept[1], other])
             both.sort(kind="stable")
             common = int((both[1:] == both[:-1]).sum())
-            if 100 * common >= PERCENT * (len(both) - common):
+            if 100 * common >= percent * (len(both) - common):
                 fine.append((x, y))
         columns = list(zip(*fine, strict=True)) or [[], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
 
-def _may_link(batches):
+def _may_link(batches, percent):
     """Pairs whose bitmaps allow the overlap that they need."""
     for batch in batches:
         a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
@@ -169,23 +171,23 @@ def _may_link(batches):
         hidden = np.minimum(na - np.bitwise_count(a).sum(axis=1, dtype=np.int64),
                             nb - np.bitwise_count(b).sum(axis=1, dtype=np.int64))
         most = np.bitwise_count(a & b).sum(axis=1, dtype=np.int64) + hidden
-        yield batch.select(["a", "b"]).filter(pa.array(most >= least_overlap(na, nb)))
+        yield batch.select(["a", "b"]).filter(pa.array(most >= least_overlap(na, nb, percent)))
 
 
-def linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+def linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold. ``reps``: rep, n, bits; ``texts``: id, text.
     Bitmaps come first, so that whole sets are made and moved for few pairs that do not link."""
     left = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
     right = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
     close = settle(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "bits_a", "bits_b")
-                   .mapInArrow(_may_link, "a long, b long"), "set-close")
+                   .mapInArrow(partial(_may_link, percent=percent), "a long, b long"), "set-close")
     ids = settle(close.select(F.col("a").alias("rep")).union(close.select("b")).distinct(), "set-ids")
     sets = settle(texts.withColumnRenamed("id", "rep").join(ids, "rep").select("rep", "text")
-                  .mapInArrow(_sets, "rep long, elements binary"), "set-elements")
+                  .mapInArrow(partial(_sets, gram=gram), "rep long, elements binary"), "set-elements")
     left = sets.select(F.col("rep").alias("a"), F.col("elements").alias("ea"))
     right = sets.select(F.col("rep").alias("b"), F.col("elements").alias("eb"))
     return (close.join(right, "b").join(left, "a").select("a", "b", "ea", "eb")
-            .mapInArrow(_linked, "a long, b long").distinct())
+            .mapInArrow(partial(_linked, percent=percent), "a long, b long").distinct())
 
 
 class SignatureTree:
@@ -208,7 +210,7 @@ class SignatureTree:
         return LEAF if level == 1 else FAN
 
 
-def join_trees(one: SignatureTree, two: SignatureTree):
+def join_trees(one: SignatureTree, two: SignatureTree, percent: int = PERCENT):
     """Index pairs of sets that may reach the threshold, in parts."""
     level = max(len(one.levels), len(two.levels)) - 1
     stack = [(level, np.zeros(1, np.int64), np.zeros(1, np.int64))]
@@ -217,14 +219,14 @@ def join_trees(one: SignatureTree, two: SignatureTree):
         a = one.levels[min(level, len(one.levels) - 1)]
         b = two.levels[min(level, len(two.levels) - 1)]
         # Sizes first, then bits.
-        fits = (100 * b[2][q] >= PERCENT * a[1][p]) & (100 * a[2][p] >= PERCENT * b[1][q])
+        fits = (100 * b[2][q] >= percent * a[1][p]) & (100 * a[2][p] >= percent * b[1][q])
         p, q = p[fits], q[fits]
         parts = []
         for k in range(0, len(p), 1 << 14):
             x, y = p[k:k + (1 << 14)], q[k:k + (1 << 14)]
             common = np.bitwise_count(a[0][x] & b[0][y]).sum(axis=1, dtype=np.int64)
             most = common + np.minimum(a[3][x], b[3][y])
-            fits = most >= least_overlap(a[1][x], b[1][y])
+            fits = most >= least_overlap(a[1][x], b[1][y], percent)
             parts.append((x[fits], y[fits]))
         p, q = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (p, q)
         if not len(p):
@@ -248,7 +250,7 @@ def _children(tree: SignatureTree, level: int, nodes: np.ndarray, others: np.nda
     return np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + first[which], others[which]
 
 
-def _tree_pairs(batches):
+def _tree_pairs(batches, percent):
     """Rows sorted by (token, i, j): candidate pairs of sets in different components."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -264,7 +266,7 @@ def _tree_pairs(batches):
             made.append((SignatureTree(np.array([r[5] for r in part]), bits),
                          np.array([r[3] for r in part]), np.array([r[4] for r in part])))
         (t1, rep1, comp1), (t2, rep2, comp2) = made[0], made[-1]
-        for p, q in join_trees(t1, t2):
+        for p, q in join_trees(t1, t2, percent):
             fine = (comp1[p] != comp2[q]) & ((rep1[p] < rep2[q]) if whole else (rep1[p] != rep2[q]))
             a, b = rep1[p[fine]], rep2[q[fine]]
             if len(a):
@@ -282,11 +284,13 @@ def _tree_pairs(batches):
         yield from pairs(held)
 
 
-def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
+def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document. Sets of ``gram`` words link from a
+    similarity of ``percent`` hundredths on."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("id"),
                        F.col(text_col).alias("text"))
-    scanned = settle(rows.mapInArrow(_scan, "id long, n long, f1 long, f2 long, prefix array<long>, bits binary"), "sets")
+    scanned = settle(rows.mapInArrow(partial(_scan, gram=gram, percent=percent), "id long, n long, f1 long, f2 long, prefix array<long>, bits binary"), "sets")
     key = ["n", "f1", "f2"]
     reps = settle(scanned.filter("n > 0").groupBy(*key).agg(F.min("id").alias("rep")), "set-reps")
     one = settle(scanned.join(reps.withColumnRenamed("rep", "id"), [*key, "id"])
@@ -294,10 +298,10 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     tokens = one.select(F.explode("prefix").alias("token"), "rep", "n")
     met = settle(tokens.repartition("token").sortWithinPartitions("token", "rep").mapInArrow(
         _first_of_group, "token long, rep long, n long, lead long, lead_n long"), "set-groups")
-    near = F.expr(f"100 * least(n, lead_n) >= {PERCENT} * greatest(n, lead_n)")
+    near = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
     star = settle(met.filter((F.col("rep") != F.col("lead")) & near)
                   .select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "set-stars")
-    links = settle(linked_pairs(star, one, rows), "set-links")
+    links = settle(linked_pairs(star, one, rows, gram, percent), "set-links")
     parts = components(links)
     parts = settle(parts, "set-parts")
     placed = (met.select("token", "rep", "n").join(parts, F.col("rep") == F.col("id"), "left")
@@ -314,8 +318,8 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                        F.col("n").cast("long").alias("n"), "bits",
                        (F.col("t") <= F.col("o")).alias("left"), (F.col("t") >= F.col("o")).alias("right")))
     pairs = (members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-             .mapInArrow(_tree_pairs, "a long, b long").distinct())
-    more = linked_pairs(settle(pairs, "set-pairs"), one, rows)
+             .mapInArrow(partial(_tree_pairs, percent=percent), "a long, b long").distinct())
+    more = linked_pairs(settle(pairs, "set-pairs"), one, rows, gram, percent)
     whole = settle(components(links.unionByName(more)), "set-components")
     of_rep = reps.join(whole, F.col("rep") == F.col("id"), "left").select(*key, F.coalesce("component", "rep").alias("component"))
     ids = scanned.select("id", *key)

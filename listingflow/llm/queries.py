@@ -53,7 +53,7 @@ def op9_kd_shards(spark, sf_dir):
 
 
 def op10_ngram_jaccard(spark, sf_dir):
-    return jaccard.jaccard_groups(documents(spark, sf_dir))
+    return jaccard.jaccard_groups(documents(spark, sf_dir), gram=4, percent=85)
 
 
 QUERIES = {f.__name__: f for f in (

@@ -1,0 +1,63 @@
+"""The near-duplicate stage of the pipeline against brute force with five words and 0.8."""
+
+import random
+import re
+
+import corpus_pipeline as pipeline
+from llm_rows import frame, rows
+
+LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
+
+
+def similar(a, b, gram):
+    """Common and all shingles of two texts."""
+    one, two = (frozenset(tuple(w[i:i + gram]) for i in range(len(w) - gram + 1)) if len(w) >= gram else frozenset([tuple(w)] if w else [])
+                for w in (re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)) for t in (a, b)))
+    return len(one & two), len(one | two)
+
+
+def groups(data, gram, percent):
+    """Least id reachable by links, per id."""
+    least = {r[0]: r[0] for r in data}
+    links = [(a[0], b[0]) for k, a in enumerate(data) for b in data[k + 1:]
+             for common, every in [similar(a[1], b[1], gram)] if common and 100 * common >= percent * every]
+    moved = True
+    while moved:
+        moved = False
+        for a, b in links:
+            if least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                moved = True
+    return least
+
+
+def between():
+    """Pairs (original, copy) that reach 0.8 on five words and not 0.85 on four."""
+    pairs = []
+    for k, (n, at) in enumerate([(100, (30, 70)), (50, (25,)), (150, (30, 75, 120))]):
+        words = [f"v{k}x{i}" for i in range(n)]
+        pairs.append((" ".join(words), " ".join("other" + w if i in at else w for i, w in enumerate(words))))
+    for k, share in enumerate((0.18, 0.21, 0.24)):
+        words = [f"t{k}x{i}" for i in range(204)]
+        pairs.append((" ".join(words), " ".join(words + [f"tail{k}x{i}" for i in range(round(200 * share))])))
+    for a, b in pairs:
+        five, four = similar(a, b, 5), similar(a, b, 4)
+        assert 100 * five[0] >= 80 * five[1] and 100 * four[0] < 85 * four[1]
+    return pairs
+
+
+def test_copies_between_the_settings_go(spark):
+    texts = [t for pair in between() for t in pair]
+    data = [(i + 1, t, None, None, 0) for i, t in enumerate(texts)]
+    out = pipeline.near_duplicates(spark, frame(spark, data), None)
+    assert sorted(r["doc_id"] for r in out.collect()) == list(range(1, len(texts), 2))
+
+
+def test_stage_against_brute_force(spark):
+    data = rows()
+    data += [(1000 + i, t, None, None, 0) for i, pair in enumerate(between()) for t in pair[:1]]
+    data += [(2000 + i, t, None, None, 0) for i, pair in enumerate(between()) for t in pair[1:]]
+    least = groups(data, 5, 80)
+    assert least != groups(data, 4, 85)
+    out = pipeline.near_duplicates(spark, frame(spark, data), None)
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(i for i, x in least.items() if i == x)
