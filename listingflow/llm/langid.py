@@ -122,26 +122,32 @@ def train(labelled: DataFrame, *, dimensions: int = DIMENSIONS) -> dict[str, lis
     return {r["lang"]: [x["part"] for x in r["v"]] for r in learned}
 
 
-def predict(docs: DataFrame, languages: dict[str, list[float]], *, dimensions: int = DIMENSIONS) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every whole text. A narrow map; only the text is used."""
+def _told(languages: dict[str, list[float]], dimensions: int):
+    """Function of a text: its language and score."""
     names = sorted(languages)
     vectors = np.array([languages[n] for n in names]).reshape(len(names), dimensions)
     vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
 
-    def run(rows):
+    def told(text):
         p = _profiles(dimensions)
-        out = {"doc_id": rows["doc_id"], "lang_pred": [], "score": []}
-        for text in rows["text"]:
-            name, score = UNKNOWN, 0.0
-            grams, counts = p.ngrams(text)
-            if len(grams) and names:
-                own = p.bundle(grams, counts)
-                cosines = vectors @ own / max(float(np.linalg.norm(own)), 1e-300)
-                best = int(np.argmax(cosines))
-                name, score = names[best], min(1.0, max(0.0, float(cosines[best])))
-            out["lang_pred"].append(name)
-            out["score"].append(score)
-        return out
+        grams, counts = p.ngrams(text)
+        if not len(grams) or not names:
+            return UNKNOWN, 0.0
+        own = p.bundle(grams, counts)
+        cosines = vectors @ own / max(float(np.linalg.norm(own)), 1e-300)
+        best = int(np.argmax(cosines))
+        return names[best], min(1.0, max(0.0, float(cosines[best])))
+
+    return told
+
+
+def predict(docs: DataFrame, languages: dict[str, list[float]], *, dimensions: int = DIMENSIONS) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every whole text. A narrow map; only the text is used."""
+    told = _told(languages, dimensions)
+
+    def run(rows):
+        found = [told(text) for text in rows["text"]]
+        return {"doc_id": rows["doc_id"], "lang_pred": [x for x, _ in found], "score": [x for _, x in found]}
 
     return arrow_rows(docs.select("doc_id", "text"), run, "doc_id long, lang_pred string, score double")
 
@@ -150,12 +156,12 @@ def with_language(docs: DataFrame, languages: dict[str, list[float]], *, text_co
                   dimensions: int = DIMENSIONS) -> DataFrame:
     """The rows whose language is told, unchanged; rows that would get ``und`` go."""
     columns = docs.columns
+    told = _told(languages, dimensions)
 
     def run(batches):
-        p = _profiles(dimensions)
         for batch in batches:
             texts = batch.column(columns.index(text_col)).to_pylist()
-            yield batch.filter(pa.array([bool(languages) and len(p.ngrams(t)[0]) > 0 for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([told(t)[0] != UNKNOWN for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

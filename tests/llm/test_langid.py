@@ -66,3 +66,13 @@ def test_prediction_uses_the_text_alone(spark):
     other = [(i + 7, t, "zz", "q", 0) for i, t, *_ in data]
     two = table(langid.predict(frame(spark, other), languages), "doc_id")
     assert all(one[i] == two[i + 7] for i in one)
+
+
+def test_rows_kept_are_those_with_a_predicted_language(spark):
+    data = [(i, t, lang and lang.replace("aa", "und"), s, n) for i, t, lang, s, n in rows()]
+    docs = frame(spark, data)
+    languages = langid.train(docs)
+    told = {i for i, (lang, _) in table(langid.predict(docs, languages), "doc_id").items() if lang != "und"}
+    kept = {r["doc_id"] for r in langid.with_language(docs, languages).collect()}
+    assert kept == told
+    assert 0 < len(kept) < sum(any(c.isalpha() for c in t or "") for _, t, *_ in data)
