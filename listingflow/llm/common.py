@@ -26,6 +26,10 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def word_count(col) -> F.Column:
     """Words of a text column as a long (null: 0), without building the words."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD_RE)), F.lit(0)).cast("long")

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from listingflow.llm import bpe, embeddedup, jaccard, langid, mixing, sharding, substrdedup, suffixdedup, tokencount, topk
-from listingflow.llm.common import documents, embeddings
+from listingflow.llm import (align, bpe, embeddedup, hardneg, jaccard, langid, mixing, sharding, substrdedup, suffixdedup,
+                             tokencount, topk, toxicity)
+from listingflow.llm.common import documents, embeddings, labels
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
+SIDES = ("byte_bpe_50k.json", "piece_bpe_32k.model")        # of the alignment
 
 
 def op1_embedding_near_dedup(spark, sf_dir):
@@ -56,8 +58,23 @@ def op10_ngram_jaccard(spark, sf_dir):
     return jaccard.jaccard_groups(documents(spark, sf_dir), gram=4, percent=85)
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return hardneg.hard_negatives(embeddings(spark, sf_dir))
+
+
+def op12_toxicity(spark, sf_dir):
+    return toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    a, b = map(public_tokenizers.path, SIDES)
+    return align.align_documents(documents(spark, sf_dir), a, b, public_tokenizers.PATTERN)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_byte_bpe, op3_language_id, op4_suffix_array_dedup,
-    op5_token_counts, op6_topk_maxscore, op7_substring_dedup, op8_mix_sources, op9_kd_shards, op10_ngram_jaccard)}
+    op5_token_counts, op6_topk_maxscore, op7_substring_dedup, op8_mix_sources, op9_kd_shards, op10_ngram_jaccard,
+    op11_hard_negatives, op12_toxicity, op13_tokenizer_alignment)}
 
-ORACLE = {"op6_topk_maxscore": topk.ORACLE, "op8_mix_sources": mixing.ORACLE}
+ORACLE = {"op6_topk_maxscore": topk.ORACLE, "op8_mix_sources": mixing.ORACLE,
+          "op11_hard_negatives": hardneg.ORACLE}

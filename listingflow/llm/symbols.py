@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 U = np.uint64
@@ -10,6 +12,9 @@ ODD_INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2 ** 63, 256, dtype=U) * U(2) + U(1)
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: For the last eight bytes of a word: the bytes that are there (little-endian).
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
+LONG_WORD = 512         # bytes from which on a word is hashed by itself
 #: Bytes of text that are worked on together.
 TURN = 1 << 18
 
@@ -83,10 +88,25 @@ def prefix_sums(values: np.ndarray) -> np.ndarray:
     return sums
 
 
-def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
-    """A 64-bit hash of each byte range."""
-    sums, down = prefix_sums(values[data]), _power_tables(len(data) + 1)[1]
-    return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(U))
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte range: eight bytes at a time go through ``mix``, so no periodic
+    pattern of bytes cancels out (as it could in sums of powers); long ranges by a library hash."""
+    size = end - begin
+    out = mix(size.astype(U) * ODD + U(1))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(padded, (len(data) + 1, 8), (1, 1), writeable=False)
+    for i in np.flatnonzero(size > LONG_WORD):
+        whole = hashlib.blake2b(data[begin[i]:end[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(whole, "little")
+    left = np.flatnonzero(size <= LONG_WORD)
+    at = begin[left]
+    while len(left):
+        rest = end[left] - at
+        block = eight[at].view(U).ravel() & MASKS[np.minimum(rest, 8)]
+        out[left] = mix(out[left] ^ block)
+        more = rest > 8
+        left, at = left[more], at[more] + 8
+    return out
 
 
 def window_hash(sums: np.ndarray, k: int) -> np.ndarray:

@@ -1,0 +1,118 @@
+"""Tokenizer alignment against brute force over byte ranges."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+from llm_rows import frame, rows
+from tokenizers import Tokenizer
+
+from listingflow.llm import align
+
+PATHS = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+ODD = ["▁x", "a▁", "x▁y", "<|endoftext|> hi <s>", "\x00a", "é" * 50, "日本語テキスト 🙂" * 5, " " * 300, "ab" * 300, "x\n\n\n\ny\t\t z",
+       "naïve façade — “quoted” … 1,234.5", "  two  spaces ", "\r\n", "𝔘𝔫𝔦", "á b"]
+
+
+def sides():
+    return align.sides(*PATHS, public_tokenizers.PATTERN)
+
+
+def brute(texts):
+    """Per text: n_a, n_b, groups, links; with the library of A's file."""
+    s = sides()
+    library = Tokenizer.from_file(PATHS[0])
+    library.encode_special_tokens = True
+    out = []
+    for text in texts:
+        whole = (" " + (text or "")).encode()
+        a = library.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = s.b.encode(text) if text else []
+        if not text or b"".join(s.bytes_a[i] for i in a) != whole or b"".join(s.bytes_b[i] for i in b) != whole:
+            out.append((0, 0, [], []))
+            continue
+        ranges = []
+        for ids, table in ((a, s.bytes_a), (b, s.bytes_b)):
+            ends = np.cumsum([len(table[i]) for i in ids]).tolist()
+            ranges.append(list(zip([0, *ends], ends, ids)))
+        ra, rb = ranges
+        groups, low = [], 0
+        for cut in sorted({x[1] for x in ra} & {x[1] for x in rb}):
+            groups.append("|".join(",".join(str(x[2]) for x in r if low < x[1] <= cut) for r in ranges))
+            low = cut
+        links = [(x[2], y[2]) for x in ra for y in rb if x[0] < y[1] and y[0] < x[1]]
+        out.append((len(a), len(b), groups, links))
+    return out
+
+
+def expected(data):
+    found = brute([r[1] for r in data])
+    total = Counter(p for *_, links in found for p in links)
+    best = {}
+    for (_, b), n in total.items():
+        best[b] = max(best.get(b, 0), n)
+    return [(r[0], na, nb, len(g), len(ln), sum(total[p] == best[p[1]] for p in ln), sum(total[p] for p in ln),
+             hashlib.sha256(";".join(g).encode()).hexdigest() if g else "") for r, (na, nb, g, ln) in zip(data, found, strict=True)]
+
+
+def sample():
+    data = [r for r in rows() if len(r[1] or "") < 3000]
+    rng = random.Random(2)
+    letters = " \n\tab.é日▁  🙂<0x>"
+    texts = ODD + ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 80))) for _ in range(200)]
+    data += [(5000 + i, t, None, None, 0) for i, t in enumerate(texts)]
+    return data + [data[12], (None, data[12][1], None, None, 0), (None, None, None, None, 0)]
+
+
+def test_equal_brute_force_both_ways(spark):
+    data = sample()
+    want = sorted(expected(data), key=repr)
+    docs = frame(spark, data, clash=True)
+    for most in (align.MOST_PAIRS, 0):
+        out = align.align_documents(docs, *PATHS, public_tokenizers.PATTERN, most_pairs=most)
+        assert sorted(map(tuple, out.collect()), key=repr) == want
+    assert sum(not r[1] for r in want) > 5 and sum(r[5] < r[4] for r in want) > 20
+
+
+def test_groups_as_text(spark):
+    data = [(1, "Hello wörld", None, None, 0), (2, None, None, None, 0)]
+    out = align.aligned(frame(spark, data), *PATHS, public_tokenizers.PATTERN, with_groups=True).collect()
+    groups = {r["doc_id"]: r["groups"] for r in out}
+    assert groups == {1: ";".join(brute(["Hello wörld"])[0][2]), 2: ""}
+
+
+def test_divide_finds_every_shared_cut():
+    """Random ends, with and without long intervals that share none."""
+    rng = np.random.default_rng(4)
+    for trial in range(300):
+        first, ends, base = [[0], [0]], [[], []], 0
+        for _ in range(rng.integers(0, 5)):
+            n = int(rng.integers(1, 400))
+            for k in (0, 1):
+                inner = rng.choice(np.arange(1, n), size=int(rng.integers(0, n)), replace=False) if n > 1 else []
+                if trial % 3 == 0:          # A ends at even places, B at odd ones
+                    inner = np.arange(1 + k, n, 2)
+                ends[k] += [base + x for x in sorted(inner)] + [base + n]
+                first[k].append(len(ends[k]))
+            base += n
+        a, b = (np.array(e, np.int64) for e in ends)
+        got = align.divide(a, b, *(np.array(f, np.int64) for f in first))
+        shared = np.intersect1d(a, b)
+        assert got[0].tolist() == (np.searchsorted(a, shared) + 1).tolist() and got[1].tolist() == (np.searchsorted(b, shared) + 1).tolist()
+
+
+def test_long_texts_and_empty_table(spark):
+    """A text of two million characters, and one whose two sides share almost no cut."""
+    rng = random.Random(3)
+    long = " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 12))) for _ in range(300_000))
+    data = [(1, long, None, None, 0), (2, "a" * 300_000, None, None, 0), (3, "x", None, None, 0)]
+    out = {r["doc_id"]: r for r in align.align_documents(frame(spark, data), *PATHS, public_tokenizers.PATTERN).collect()}
+    s = sides()
+    for i, text, *_ in data:
+        a, b, *_ = s.encode([text])
+        ends = np.cumsum(s.long_a[a]), np.cumsum(s.long_b[b])
+        shared = len(np.intersect1d(*ends))
+        assert (out[i]["n_a"], out[i]["n_b"], out[i]["n_groups"], out[i]["n_links"]) == (len(a), len(b), shared, len(a) + len(b) - shared)
+    assert align.align_documents(frame(spark, []), *PATHS, public_tokenizers.PATTERN).count() == 0

@@ -5,7 +5,7 @@ from collections import Counter
 
 import corpus_pipeline as pipeline
 from llm_rows import frame, rows
-from test_jaccard import expected as components
+from test_pipeline_near import groups
 from test_repeats import brute
 from listingflow.llm import mixing, suffixdedup
 from listingflow.session import stage
@@ -29,8 +29,8 @@ def test_stages_in_turn(spark):
     docs, before = out, after
     out = stage(step["near_duplicates"](spark, docs, None))
     after = collected(out)
-    group = components(before)
-    assert sorted(after) == sorted(r for r in before if group[r[0]][1] == r[0])
+    least = groups(before, pipeline.GRAM, pipeline.PERCENT)
+    assert sorted(after) == sorted(r for r in before if least[r[0]] == r[0])
 
     docs, before = out, after
     out = stage(step["repeated_strings"](spark, docs, None))

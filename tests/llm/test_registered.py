@@ -9,11 +9,11 @@ from listingflow.llm import queries
 def test_one_query_per_operator_and_the_pipeline():
     names = entry.queries()
     numbers = sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == list(range(1, 11)) and "pipeline" in names
+    assert numbers == list(range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
 
-def test_search_query_equals_sql(spark):
+def test_queries_equal_sql(spark):
     import duckdb
     path = "/root/testdata/sf0.001"
     con = duckdb.connect()
