@@ -38,27 +38,48 @@ def without_literals(c) -> Column:
 
 
 def outer_level(c) -> Column:
-    """The text with every parenthesis, inside out, made the sign ¤: what is left is outside."""
-    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(c, F.lit(r"\("))))
-    return F.aggregate(steps, c, lambda x, _: F.regexp_replace(x, r"\([^()]*\)", "¤"))
+    """What stands outside all parentheses of an upper-case text, as a struct: ``limited`` (the word
+    LIMIT) and ``aggregated`` (a call of an aggregate that is not a window function, which keeps its
+    rows). One pass over the text's words and signs; the state is a depth and a few flags, so the
+    work grows with the text's length, however many parentheses it has."""
+    # after: 0 plain, 1 an aggregate's name was just read, 2 inside its arguments, 3 its arguments
+    # are closed and what follows decides, 4 FILTER was read behind them, 5 inside the filter.
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("after"), F.lit(False).alias("limited"),
+                     F.lit(False).alias("aggregated"))
+    tokens = F.regexp_extract_all(c, F.lit(r"[()]|\w+|[^\s\w()]"), F.lit(0))
+
+    def step(s, token):
+        outside, opens, closes = s["depth"] == 0, token == "(", token == ")"
+        after = s["after"]
+        word = (F.when((after == 3) & (token == "FILTER"), 4)
+                .when(token.isin(*AGGREGATE_WORDS), 1).otherwise(0))
+        return F.struct(
+            F.when(opens, s["depth"] + 1).when(closes, F.greatest(s["depth"] - 1, F.lit(0))).otherwise(s["depth"]).alias("depth"),
+            F.when(outside & opens, F.when(after == 1, 2).when(after == 4, 5).otherwise(0))
+             .when(closes & (s["depth"] == 1), F.when(after.isin(2, 5), 3).otherwise(0))
+             .when(outside & ~closes, word).otherwise(after).alias("after"),
+            (s["limited"] | (outside & (token == "LIMIT"))).alias("limited"),
+            (s["aggregated"] | (outside & (after == 3) & ~token.isin("OVER", "FILTER"))).alias("aggregated"))
+
+    return F.aggregate(tokens, start, step, lambda s: F.struct(
+        s["limited"].alias("limited"), (s["aggregated"] | (s["after"] == 3)).alias("aggregated")))
 
 
 def audit_queries(df: DataFrame, sql_col: str = "sql_text", words=FORBIDDEN_WORDS) -> DataFrame:
     """Add ``clean_sql`` (fences removed), ``blocked_words`` (whole words outside literals and
     comments, in order, comma-joined), ``blocked`` (any such word, or not a SELECT/WITH
-    statement) and ``needs_limit`` (no LIMIT and no aggregate call outside parentheses)."""
+    statement) and ``needs_limit`` (no LIMIT and no aggregate call outside parentheses; an
+    aggregate with OVER keeps all rows and does not count)."""
     clean = strip_fences(sql_col)
     upper = F.upper(without_literals(clean))
     pattern = r"\b(" + "|".join(words) + r")\b"
     found = F.regexp_extract_all(upper, F.lit(pattern), 1)
-    outer = outer_level(upper)
-    aggregate = r"\b(" + "|".join(AGGREGATE_WORDS) + r")\s*¤"
     return df.withColumns({
         "clean_sql": clean,
         "blocked_words": F.array_join(found, ","),
         "blocked": (F.size(found) > 0) | ~upper.rlike(r"^\s*(SELECT|WITH)\b"),
-        "needs_limit": ~outer.rlike(r"\bLIMIT\b") & ~outer.rlike(aggregate),
-    })
+        "__outer": outer_level(upper),
+    }).withColumn("needs_limit", ~F.col("__outer.limited") & ~F.col("__outer.aggregated")).drop("__outer")
 
 
 def parse_routes(df: DataFrame, reply_col: str = "reply") -> DataFrame:

@@ -1,11 +1,14 @@
-"""Star queries over the gold tables, and the guarded runner for generated SQL."""
+"""Star queries over the gold tables. The guarded runner for generated SQL over them is in
+``plans.guard``; its ``guarded_sql`` can be imported from here too."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.operators.asklog import DEFAULT_ROW_LIMIT, audit_queries
+from listingflow.plans.guard import guarded_sql
+
+__all__ = ["DEFAULT_MEASURES", "guarded_sql", "star_measures", "top_developers"]
 
 
 def top_developers(fact: DataFrame, developers: DataFrame, locations: DataFrame, city: str,
@@ -66,75 +69,3 @@ def star_measures(fact: DataFrame, locations: DataFrame, by=("City", "Payment_Ty
         agg = _AGGREGATES[func](value)
         aggs.append((F.round(agg, places) if places is not None else agg).alias(name))
     return rows.groupBy(*by).agg(*aggs)
-
-
-# The kinds of plan nodes that a read-only query may have, as Spark's parser names them.
-READ_NODES = frozenset(
-    "Project Filter Aggregate Join Sort GlobalLimit LocalLimit Offset SubqueryAlias Distinct Union "
-    "Except Intersect OneRowRelation UnresolvedRelation UnresolvedWith UnresolvedHaving "
-    "UnresolvedInlineTable UnresolvedSubqueryColumnAliases WithWindowDefinition Window Generate "
-    "LateralJoin Pivot Unpivot Tail Sample ResolvedInlineTable LocalRelation".split())
-
-
-def _parsed(spark: SparkSession, sql_text: str):
-    """(node kinds, relations outside the query's own WITH names, whether the outer query has a
-    LIMIT) of a text, by Spark's parser. Nothing is analyzed or run."""
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql_text)
-    kinds, relations, own = set(), set(), set()
-
-    def each(seq):
-        it = seq.iterator()
-        while it.hasNext():
-            yield it.next()
-
-    def expression(e):
-        if e.getClass().getSimpleName() in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery",
-                                            "FunctionTableSubqueryArgumentExpression"):
-            node(e.plan())
-        for child in each(e.children()):
-            expression(child)
-
-    def node(p):
-        kind = p.getClass().getSimpleName()
-        kinds.add(kind)
-        if kind == "UnresolvedRelation":
-            relations.add(".".join(each(p.multipartIdentifier())).lower())
-        if kind == "UnresolvedWith":
-            for pair in each(p.cteRelations()):
-                own.add(pair.productElement(0).lower())
-                node(pair.productElement(1))
-        for e in each(p.expressions()):
-            expression(e)
-        for child in each(p.children()):
-            node(child)
-
-    node(plan)
-    top = plan
-    while top.getClass().getSimpleName() in ("UnresolvedWith", "Offset"):
-        top = top.children().head()
-    return kinds, relations - own, top.getClass().getSimpleName() in ("GlobalLimit", "LocalLimit")
-
-
-def guarded_sql(spark: SparkSession, sql_text: str, limit: int = DEFAULT_ROW_LIMIT,
-                tables=None) -> DataFrame:
-    """Run one read-only generated query against allowed tables.
-
-    The text must pass the rule of ``audit_queries``, and Spark's parser must see nothing but
-    query nodes (no command, insert or script) over ``tables`` (default: the temp views of the
-    session; never a path). Blocked text raises before analysis. Without a LIMIT of the outer
-    query or an aggregate, ``limit`` rows are returned (applied to the DataFrame, not glued to
-    the text).
-    """
-    verdict = audit_queries(spark.createDataFrame([(sql_text,)], "sql_text string")).first()
-    if verdict["blocked"]:
-        raise PermissionError(f"blocked query ({verdict['blocked_words'] or 'not a SELECT'})")
-    text = verdict["clean_sql"].rstrip().rstrip(";")
-    kinds, relations, limited = _parsed(spark, text)
-    if kinds - READ_NODES:
-        raise PermissionError(f"blocked query (plan nodes {sorted(kinds - READ_NODES)})")
-    if tables is None:
-        tables = [t.name for t in spark.catalog.listTables() if t.isTemporary]
-    if unknown := relations - {t.lower() for t in tables}:
-        raise PermissionError(f"blocked query (tables {sorted(unknown)} are not allowed)")
-    result = spark.sql(text)
-    return result.limit(limit) if verdict["needs_limit"] and not limited else result
