@@ -1,7 +1,7 @@
 """Keyed set operations: latest version per key, upsert and insert-only merge.
 
-Open Spark has no MERGE for plain parquet tables, so a merge is written as relational algebra
-and its result is published as a new snapshot (``sources.tables.TableStore``).
+Open Spark has no MERGE for plain parquet tables, so a merge is written as relational algebra;
+``sources.tables.TableStore`` applies it to the buckets of a table that a batch touches.
 """
 
 from __future__ import annotations

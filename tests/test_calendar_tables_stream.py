@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from listingflow.sources.calendar import dim_date
-from listingflow.sources.tables import TableStore, control_row, last_mark, newer_than
+from listingflow.sources.tables import control_row, last_mark, newer_than
 from listingflow.streaming.ingest import ingest_stream
 
 
@@ -17,18 +17,6 @@ def test_dim_date(spark):
     assert first.Day_Of_Week == 6 and first.Is_Weekend and first.Month_Name == "January"
 
 
-def test_table_store_snapshots(spark, tmp_root):
-    store = TableStore(spark, tmp_root)
-    assert store.read("t") is None
-    v1 = store.publish("t", spark.range(3))
-    v2 = store.publish("t", store.read("t").union(spark.range(3, 5)))
-    assert (v1, v2) == (1, 2) and store.read("t").count() == 5
-    assert store.read("t", version=1).count() == 3
-    os.makedirs(os.path.join(tmp_root, "t", "v=00000003"))  # crashed write: no _SUCCESS
-    assert store.version("t") == 2
-    assert store.publish("t", spark.range(1)) == 4
-
-
 def test_marks(spark):
     row = control_row(spark, "silver", "listings", dt.datetime(2020, 1, 2), 5, "SUCCESS", "r",
                       dt.datetime(2020, 1, 3))
@@ -75,58 +63,6 @@ def test_stream_csv_and_json(spark, tmp_root):
     assert spark.read.parquet(dst2).filter(F.col("p.k") == 2).count() == 1
 
 
-def test_upsert_writes_its_batch_only(spark, tmp_root):
-    store = TableStore(spark, tmp_root)
-    base = spark.range(0, 1000).selectExpr("id AS k", "'v0' AS v")
-    store.upsert_bucketed("t", base, ["k"], buckets=16)
-    change = spark.createDataFrame([(5, "v1"), (5000, "new")], "k long, v string")
-    version = store.upsert_bucketed("t", change, ["k"], buckets=16)
-    assert spark.read.parquet(store.location("t", version)).count() == 2
-    rows = {r.k: r.v for r in store.read("t").collect()}
-    assert len(rows) == 1001 and rows[5] == "v1" and rows[5000] == "new" and rows[6] == "v0"
-    assert {r.k for r in store.read_changes("t", version - 1).collect()} == {5, 5000}
-    # a complete rewrite hides every older version
-    store.publish_bucketed("t", spark.range(0, 3).selectExpr("id AS k", "'c' AS v"), ["k"], 16)
-    assert store.read("t").count() == 3
-
-
-def test_bucket_counts_of_callers_do_not_matter(spark, tmp_root):
-    store = TableStore(spark, tmp_root)
-    want = {}
-
-    def merge(pairs, buckets):
-        want.update(pairs)
-        store.upsert_bucketed("t", spark.createDataFrame(list(pairs.items()), "k long, v string"), ["k"], buckets)
-        rows = store.read("t").collect()
-        assert len(rows) == len(want) and {r.k: r.v for r in rows} == want
-
-    merge({k: "a" for k in range(1000)}, 4)
-    merge({k: "b" for k in range(900, 1003)}, 8)
-    merge({k: "c" for k in (3, 1001, 2000)}, 4)
-    store.compact("t", buckets=8)
-    merge({k: "d" for k in (4, 1002, 2001)}, 64)
-    store.compact("t")
-    assert {r.k: r.v for r in store.read("t").collect()} == want
-    changed = store.read_changes("t", 3)
-    assert {r.k for r in changed.collect()} == {4, 1002, 2001}
-
-
-def test_empty_and_widened_tables_read_back(spark, tmp_root):
-    import pytest
-    store = TableStore(spark, tmp_root)
-    empty = spark.createDataFrame([], "k long, v string")
-    store.insert_new_bucketed("t", empty, ["k"], 4)
-    assert store.read("t").count() == 0 and store.read("t").columns == ["k", "v"]
-    store.insert_new_bucketed("t", empty, ["k"], 4)
-    store.upsert_bucketed("t", spark.createDataFrame([(1, "a", 2.5)], "k long, v string, w double"), ["k"], 4)
-    store.upsert_bucketed("t", spark.createDataFrame([(2, "b")], "k long, v string"), ["k"], 4)
-    assert sorted(map(tuple, store.read("t").collect())) == [(1, "a", 2.5), (2, "b", None)]
-    with pytest.raises(ValueError):
-        store.upsert_bucketed("t", spark.createDataFrame([("x", "b")], "k string, v string"), ["k"], 4)
-    with pytest.raises(ValueError):
-        store.upsert_bucketed("t", spark.createDataFrame([(1, "b")], "k long, v string"), ["v"], 4)
-
-
 def test_marks_do_not_depend_on_the_driver_zone(spark, tmp_root, monkeypatch):
     import time
     from listingflow.sources.tables import max_mark
@@ -151,32 +87,3 @@ def test_mark_filter_prunes_ingest_days(spark, tmp_root):
     newer = newer_than(bronze, "bronze_ingested_at", dt.datetime(2000, 1, 1), "ingest_date")
     plan = newer._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan and newer.count() == 5
-
-
-def test_compact_and_vacuum(spark, tmp_root):
-    store = TableStore(spark, tmp_root)
-    store.upsert_bucketed("t", spark.range(0, 50).selectExpr("id AS k", "'a' AS v"), ["k"], 4)
-    for i in range(3):
-        store.upsert_bucketed("t", spark.createDataFrame([(i, f"b{i}")], "k long, v string"), ["k"], 4)
-    assert store.versions_since_complete("t") == 3
-    before = sorted(map(tuple, store.read("t").collect()))
-    store.compact("t", ["k"], 4)
-    assert store.versions_since_complete("t") == 0
-    assert store.vacuum("t") == [1, 2, 3, 4]
-    assert sorted(map(tuple, store.read("t").collect())) == before
-    store.publish("plain", spark.range(2))
-    store.publish("plain", spark.range(3))
-    assert store.vacuum("plain") == [1] and store.read("plain").count() == 3
-
-
-def test_bucketed_time_travel_and_plain_conversion(spark, tmp_root):
-    store = TableStore(spark, tmp_root)
-    v1 = store.upsert_bucketed("t", spark.range(0, 20).selectExpr("id AS k", "'a' AS v"), ["k"], 4)
-    store.upsert_bucketed("t", spark.createDataFrame([(1, "b")], "k long, v string"), ["k"], 4)
-    old = {r.k: r.v for r in store.read("t", version=v1).collect()}
-    new = {r.k: r.v for r in store.read("t").collect()}
-    assert len(old) == len(new) == 20 and old[1] == "a" and new[1] == "b"
-    store.publish("p", spark.range(0, 10).selectExpr("id AS k", "'a' AS v"))
-    store.upsert_bucketed("p", spark.createDataFrame([(3, "z"), (30, "n")], "k long, v string"), ["k"], 4)
-    rows = {r.k: r.v for r in store.read("p").collect()}
-    assert len(rows) == 11 and rows[3] == "z" and rows[0] == "a"

@@ -1,8 +1,11 @@
 """Batch runner: incremental silver/gold over bronze batches, reruns and crash reruns."""
 
 import datetime as dt
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from conftest import SF_SMALL
 from listingflow.plans.lakehouse import RunConfig, gold_step, silver_step
@@ -32,11 +35,12 @@ def test_batches_reruns_and_invariants(spark, tmp_root):
         gold_step(store, cfg)
 
     # a rerun with no new bronze rows publishes nothing
-    versions = {n: store.version(n) for n in ("silver", "fact_listings", "dim_developer")}
+    names = ("silver", "silver_changes", "fact_listings", "dim_developer", "control")
+    files = {n: set(store.read(n).inputFiles()) for n in names}
     cfg = RunConfig(root=tmp_root, as_of="2021-06-30", run_ts=dt.datetime(2030, 2, 1))
     assert silver_step(store, bronze, cfg)["new_rows"] == 0
     assert gold_step(store, cfg)["new_rows"] == 0
-    assert {n: store.version(n) for n in versions} == versions
+    assert {n: set(store.read(n).inputFiles()) for n in names} == files
 
     silver, fact = store.read("silver"), store.read("fact_listings")
     assert silver.count() == silver.select("Property_ID").distinct().count()
@@ -91,7 +95,6 @@ def test_files_to_gold_with_ingest(spark, tmp_root):
 
 
 def test_quality_gate_holds_back_silver(spark, tmp_root):
-    import pytest
     from listingflow.plans.lakehouse import QualityGateError
     raw = raw_listings(spark, SF_SMALL)
     store = TableStore(spark, tmp_root)
@@ -132,7 +135,8 @@ def test_cli_run_from_files(spark, tmp_root):
     store = TableStore(spark, f"{tmp_root}/lake")
     assert store.read("dim_date").count() == 9496
     assert store.read("fact_listings").count() == store.read("silver").count() > 0
-    main(["vacuum", "control", "--root", f"{tmp_root}/lake"])
+    main(["trim", "--root", f"{tmp_root}/lake"])
+    assert store.read("silver_changes").count() == 0 < store.read("silver").count()
 
 
 def test_history_means_use_the_values_as_cleaned(spark, tmp_root):
@@ -181,3 +185,56 @@ def test_late_runs_and_runs_of_one_second_reach_gold(spark, tmp_root):
     ids = store.read("silver").select("Property_ID")
     fact = store.read("fact_listings")
     assert fact.count() == ids.count() and ids.join(fact, "Property_ID", "left_anti").count() == 0
+
+
+class Crash(Exception):
+    pass
+
+
+def second_run(store, bronze, day):
+    cfg = RunConfig(root=store.root, as_of="2021-06-30", run_ts=dt.datetime(2030, 1, day), buckets=4)
+    silver_step(store, bronze, cfg)
+    gold_step(store, cfg)
+
+
+CRASH_TABLES = ("silver", "quarantine", "dim_developer", "dim_location", "dim_profile", "fact_listings")
+
+
+@pytest.fixture(scope="module")
+def two_runs(spark, tmp_path_factory):
+    """Folder of the tables after a first run, and the rows after a second run that went well."""
+    raw = raw_listings(spark, SF_SMALL)
+    root = str(tmp_path_factory.mktemp("runs"))
+    second_run(TableStore(spark, f"{root}/first"), raw.filter(F.year("bronze_ingested_at") <= 1996), 1)
+    shutil.copytree(f"{root}/first", f"{root}/whole")
+    whole = TableStore(spark, f"{root}/whole")
+    second_run(whole, raw, 2)
+    return f"{root}/first", {n: snapshot(whole, n) for n in CRASH_TABLES}
+
+
+@pytest.mark.parametrize("at", [4, 13])
+def test_crash_at_a_write_of_the_second_run(spark, tmp_root, monkeypatch, two_runs, at):
+    """The second run dies at its n-th write to the tables, before it (odd) or right after it; a
+    rerun gives the rows of a run that did not."""
+    first, want = two_runs
+    raw = raw_listings(spark, SF_SMALL)
+    shutil.copytree(first, f"{tmp_root}/broken")
+    broken = TableStore(spark, f"{tmp_root}/broken")
+    writes = []
+
+    def parquet(writer, path, *args, **kwargs):
+        if path.startswith(broken.root):
+            writes.append(path)
+            if len(writes) == at and at % 2:
+                raise Crash
+        original(writer, path, *args, **kwargs)
+        if path.startswith(broken.root) and len(writes) == at:
+            raise Crash
+
+    original = DataFrameWriter.parquet
+    with monkeypatch.context() as m:
+        m.setattr(DataFrameWriter, "parquet", parquet)
+        with pytest.raises(Crash):
+            second_run(broken, raw, 2)
+    second_run(broken, raw, 2)
+    assert {n: snapshot(broken, n) for n in CRASH_TABLES} == want
