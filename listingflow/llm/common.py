@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.session import _context, stage
+from listingflow.session import _context, scratch_path, stage
 
 # Words are maximal runs of anything but the six ASCII white-space bytes (fixed values).
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -45,6 +45,26 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+class Stages:
+    """Written tables of one operator by name; a table goes as soon as nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths[name] = path
+        return self.spark.read.parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables, and let Spark's cleaner drop the shuffle files behind them."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.spark.sparkContext._jvm.System.gc()
+
+
 def arrow_rows(df: DataFrame, fn: Callable[[dict], Iterator[dict] | dict], schema: str) -> DataFrame:
     """Run ``fn`` over each Arrow batch given as ``{column: list}``; it returns ``{column: list}``."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -7,14 +7,17 @@ by comparing each member of a group with the group's first; what is linked that
 component and is not compared again. Groups that still hold several components are joined by
 signature trees: leaves of sets of like size, inner nodes with the OR of their token bitmaps and
 their size range. Two trees are walked together; a pair of nodes is dropped when the sizes are too
-far apart or the common bits allow too small an overlap. Pairs that are left are compared exactly.
+far apart or the common bits allow too small an overlap.
 
-Large groups are cut into tiles, tile pairs are separate tasks. Nothing is capped.
+Pairs that are left are compared exactly, on whole sets: pairs that hang together are one family,
+families are cut into tiles of bounded size, and each set is sent once per tile, however many of
+its pairs are there; a tile's pairs stream past its sets. Only links are written. Nothing is capped.
 
 Defined results: texts that are null, empty or without words have an empty set and link with
-nothing; texts with fewer words than n have one n-gram, the whole sequence; repeated ids are
-separate rows of one document id; ties need no rule; an empty table gives an empty table. Sets
-hold 64-bit hashes; the last comparison uses their 40 leading bits.
+nothing; texts with fewer words than n have one n-gram, the whole sequence; rows that repeat an id
+are documents of their own, linked by their text alone; a row with a null id takes the smallest id
+that it is linked with, or none; ties need no rule; an empty table gives an empty table. Sets hold
+64-bit hashes, equal sets are told by 128 bits.
 """
 
 from __future__ import annotations
@@ -26,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.llm.common import settle
+from listingflow.llm.common import Stages
 from listingflow.llm.components import components
 from listingflow.llm.symbols import U, joined_bytes, mix, prefix_sums, turns, window_hash, word_hashes, word_places
+from listingflow.session import stage
 
 GRAM, PERCENT = 4, 85   # of op10
-BITS = 4096             # of a set's bitmap
-TREE_BITS = 1024        # of a bitmap in a tree
+BITS = 2048             # of a set's bitmap
 TILE = 4096             # sets of a group that are joined in one task
+ELEMENTS = 2_000_000    # of the sets on one side of a tile in which pairs are compared
 LEAF, FAN = 16, 8       # sets of a leaf, children of an inner node
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -66,12 +70,12 @@ def least_overlap(a, b, percent: int = PERCENT):
 
 
 def _scan(batches, gram, percent):
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
+    same = [(n, pa.int64()) for n in ("row", "id", "k1", "k2")]
+    schema = pa.schema([*same, ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
                         ("prefix", pa.list_(pa.int64())), ("bits", pa.binary())])
     for batch in batches:
         sets = shingle_sets(batch.column("text").to_pylist(), gram)
-        out = {n: [] for n in schema.names}
-        out["id"] = batch.column("id")
+        out = {n: [] for n in schema.names} | {n: batch.column(n) for n, _ in same}
         for s in sets:
             n = len(s)
             out["n"].append(n)
@@ -88,106 +92,55 @@ def bitmap(s: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def folded(bits: bytes) -> bytes:
-    """The bitmap of the same set with TREE_BITS places."""
-    return np.bitwise_or.reduce(np.frombuffer(bits, np.uint8).reshape(-1, TREE_BITS // 8), axis=0).tobytes()
-
-
-def _fold(batches):
-    for batch in batches:
-        bits = pa.array([folded(b) for b in batch.column("bits").to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), bits], names=["rep", "bits"])
-
-
-def _first_of_group(batches):
-    """Sorted (token, rep, n) rows: those whose token has several sets, with the token's first set."""
-    held = None
-    schema = pa.schema([("token", pa.int64()), ("rep", pa.int64()), ("n", pa.int64()), ("lead", pa.int64()), ("lead_n", pa.int64())])
-    for batch in batches:
-        token, rep, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "rep", "n"))
-        if not len(token):
-            continue
-        head = np.append(True, token[1:] != token[:-1])
-        at = np.maximum.accumulate(np.where(head, np.arange(len(token)), 0))
-        lead, lead_n = rep[at], n[at]
-        several = ~head
-        several[:-1] |= ~head[1:]
-        if held is not None and held["token"] == token[0]:      # the group goes on from the batch before
-            own = token == token[0]
-            lead, lead_n = np.where(own, held["lead"], lead), np.where(own, held["lead_n"], lead_n)
-            several |= own
-            if not held["out"]:
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (
-                    held["token"], held["lead"], held["lead_n"], held["lead"], held["lead_n"])], schema=schema)
-        keep = np.flatnonzero(several)
-        if len(keep):
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep], pa.int64()) for x in (token, rep, n, lead, lead_n)], schema=schema)
-        held = {"token": token[-1], "lead": lead[-1], "lead_n": lead_n[-1], "out": bool(several[-1])}
-
-
 def _sets(batches, gram):
-    schema = pa.schema([("rep", pa.int64()), ("elements", pa.binary())])
+    """Elements in place of the text of rows ``component, i, j, kind, a, b, text`` (kind 0)."""
     for batch in batches:
         sets = shingle_sets(batch.column("text").to_pylist(), gram)
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([packed(s) for s in sets], pa.binary())], schema=schema)
-
-
-def packed(s: np.ndarray) -> bytes:
-    """The 40 leading bits of each element, five bytes each."""
-    return np.ascontiguousarray(s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
+        elements = pa.array([s.astype(U).tobytes() for s in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], elements], names=[*batch.schema.names[:-1], "elements"])
 
-def unpacked(data: bytes) -> np.ndarray:
-    five = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    out = np.zeros((len(five), 8), np.uint8)
-    out[:, 3:] = five
-    return out.view(">u8").ravel().astype(np.int64)
 
-
-def _linked(batches, percent):
+def _compare(batches, percent):
+    """Rows sorted by (component, i, j, kind): a tile's sets, then its pairs, which stream past."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    tile, sets = None, {}
     for batch in batches:
-        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-        fine, kept = [], (None, None)
-        for x, y, sx, sy in zip(a, b, batch.column("ea").to_pylist(), batch.column("eb").to_pylist(), strict=True):
-            if kept[0] != x:
-                kept = (x, unpacked(sx))
-            other = unpacked(sy)
-            both = np.concatenate([kept[1], other])
+        fine = []
+        columns = (batch.column(c).to_pylist() for c in ("component", "i", "j", "kind", "a", "b", "elements"))
+        for component, i, j, kind, a, b, elements in zip(*columns, strict=True):
+            if (component, i, j) != tile:
+                tile, sets = (component, i, j), {}
+            if kind == 0:
+                sets[a] = np.frombuffer(elements, U)
+                continue
+            both = np.concatenate([sets[a], sets[b]])
             both.sort(kind="stable")
             common = int((both[1:] == both[:-1]).sum())
             if 100 * common >= percent * (len(both) - common):
-                fine.append((x, y))
+                fine.append((a, b))
         columns = list(zip(*fine, strict=True)) or [[], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
 
-def _may_link(batches, percent):
-    """Pairs whose bitmaps allow the overlap that they need."""
-    for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-                for c in ("bits_a", "bits_b"))
-        na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
-        hidden = np.minimum(na - np.bitwise_count(a).sum(axis=1, dtype=np.int64),
-                            nb - np.bitwise_count(b).sum(axis=1, dtype=np.int64))
-        most = np.bitwise_count(a & b).sum(axis=1, dtype=np.int64) + hidden
-        yield batch.select(["a", "b"]).filter(pa.array(most >= least_overlap(na, nb, percent)))
-
-
 def linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold. ``reps``: rep, n, bits; ``texts``: id, text.
-    Bitmaps come first, so that whole sets are made and moved for few pairs that do not link."""
-    left = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    right = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-    close = settle(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "bits_a", "bits_b")
-                   .mapInArrow(partial(_may_link, percent=percent), "a long, b long"), "set-close")
-    ids = settle(close.select(F.col("a").alias("rep")).union(close.select("b")).distinct(), "set-ids")
-    sets = settle(texts.withColumnRenamed("id", "rep").join(ids, "rep").select("rep", "text")
-                  .mapInArrow(partial(_sets, gram=gram), "rep long, elements binary"), "set-elements")
-    left = sets.select(F.col("rep").alias("a"), F.col("elements").alias("ea"))
-    right = sets.select(F.col("rep").alias("b"), F.col("elements").alias("eb"))
-    return (close.join(right, "b").join(left, "a").select("a", "b", "ea", "eb")
-            .mapInArrow(partial(_linked, percent=percent), "a long, b long").distinct())
+    """The pairs (a, b) whose sets reach the threshold. ``reps``: rep, n, id, k1, k2; ``texts``: text
+    with the id and the content hashes by which a rep's text is found."""
+    families = components(pairs).withColumnRenamed("id", "rep").join(reps, "rep")
+    tiles = families.groupBy("component").agg(F.ceil(F.sum("n") / ELEMENTS).cast("int").alias("tiles"))
+    placed = stage(families.join(tiles, "component").select(
+        "rep", "id", "k1", "k2", "component", "tiles", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int").alias("t")), "set-families")
+    one, two = (placed.select(F.col("rep").alias(c), F.col("t").alias(f"t{c}"), *more) for c, more in (("a", ["component"]), ("b", [])))
+    key = ["component", "i", "j"]
+    met = pairs.join(one, "a").join(two, "b").select(
+        "component", F.least("ta", "tb").alias("i"), F.greatest("ta", "tb").alias("j"), F.lit(1).alias("kind"), "a", "b",
+        F.lit(None).cast("binary").alias("elements"))
+    held = (texts.join(placed.withColumnRenamed("id", "__id"), ["k1", "k2"]).filter(F.col("id").eqNullSafe(F.col("__id")))
+            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+            .select("component", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), F.lit(0).alias("kind"),
+                    F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), "text")
+            .mapInArrow(partial(_sets, gram=gram), "component long, i int, j int, kind int, a long, b long, elements binary"))
+    return (held.unionByName(met).repartition(*key).sortWithinPartitions(*key, "kind")
+            .mapInArrow(partial(_compare, percent=percent), "a long, b long"))
 
 
 class SignatureTree:
@@ -288,42 +241,55 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
                    text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document. Sets of ``gram`` words link from a
     similarity of ``percent`` hundredths on."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("id"),
-                       F.col(text_col).alias("text"))
-    scanned = settle(rows.mapInArrow(partial(_scan, gram=gram, percent=percent), "id long, n long, f1 long, f2 long, prefix array<long>, bits binary"), "sets")
+    stages = Stages(docs.sparkSession)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).select(
+        "id", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"), "text")
+    scanned = stages.write(texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        partial(_scan, gram=gram, percent=percent),
+        "row long, id long, k1 long, k2 long, n long, f1 long, f2 long, prefix array<long>, bits binary"), "sets")
     key = ["n", "f1", "f2"]
-    reps = settle(scanned.filter("n > 0").groupBy(*key).agg(F.min("id").alias("rep")), "set-reps")
-    one = settle(scanned.join(reps.withColumnRenamed("rep", "id"), [*key, "id"])
-                 .select(F.col("id").alias("rep"), "n", "prefix", "bits"), "set-firsts")
+    some = scanned.filter("n > 0").select("row", "id", *key)
+    reps = stages.write(some.groupBy(*key).agg(F.min("row").alias("rep"), F.min("id").alias("least")), "set-reps")
+    others = some.join(reps, F.col("row") == F.col("rep"), "left_anti").select(F.col("row").alias("rep"))
+    one = stages.write(scanned.filter("n > 0").withColumnRenamed("row", "rep").join(others, "rep", "left_anti")
+                       .select("rep", "id", "k1", "k2", "n", "prefix", "bits"), "set-firsts")
+    ids = stages.write(scanned.select("id", *key), "set-ids")
+    stages.drop("sets")
+    texts, known = texts.filter("text is not null"), one.select("rep", "n", "id", "k1", "k2")
+    # The first set of each element that several sets have, then its members: partial sums and a
+    # join that Spark can split, so an element that a third of all sets have is not one task.
     tokens = one.select(F.explode("prefix").alias("token"), "rep", "n")
-    met = settle(tokens.repartition("token").sortWithinPartitions("token", "rep").mapInArrow(
-        _first_of_group, "token long, rep long, n long, lead long, lead_n long"), "set-groups")
+    leads = stages.write(tokens.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("lead"), F.count("*").alias("members"))
+                         .filter("members > 1").select("token", F.col("lead.rep").alias("lead"), F.col("lead.n").alias("lead_n")), "set-leads")
+    met = stages.write(tokens.join(leads, "token"), "set-groups")
     near = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
-    star = settle(met.filter((F.col("rep") != F.col("lead")) & near)
-                  .select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "set-stars")
-    links = settle(linked_pairs(star, one, rows, gram, percent), "set-links")
-    parts = components(links)
-    parts = settle(parts, "set-parts")
-    placed = (met.select("token", "rep", "n").join(parts, F.col("rep") == F.col("id"), "left")
-              .select("token", "rep", "n", F.coalesce("component", "rep").alias("component")))
-    placed = settle(placed, "set-placed")
+    star = stages.write(met.filter((F.col("rep") != F.col("lead")) & near)
+                        .select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "set-stars")
+    links = stages.write(linked_pairs(star, known, texts, gram, percent), "set-links")
+    stages.drop("set-leads", "set-stars")
+    parts = stages.write(components(links), "set-parts")
+    placed = stages.write(met.select("token", "rep", "n").join(parts, F.col("rep") == F.col("id"), "left")
+                          .select("token", "rep", "n", F.coalesce("component", "rep").alias("component")), "set-placed")
+    stages.drop("set-groups", "set-parts")
     mixed = (placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
                                          F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
              .filter("c1 != c2").select("token", "tiles"))
-    bits = one.select("rep", "bits").mapInArrow(_fold, "rep long, bits binary")
-    members = placed.join(mixed, "token").join(bits, "rep")
+    members = placed.join(mixed, "token").join(one.select("rep", "bits"), "rep")
     tile = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
     members = (members.withColumn("t", tile).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
                .select("token", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "rep", "component",
                        F.col("n").cast("long").alias("n"), "bits",
                        (F.col("t") <= F.col("o")).alias("left"), (F.col("t") >= F.col("o")).alias("right")))
-    pairs = (members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-             .mapInArrow(partial(_tree_pairs, percent=percent), "a long, b long").distinct())
-    more = linked_pairs(settle(pairs, "set-pairs"), one, rows, gram, percent)
-    whole = settle(components(links.unionByName(more)), "set-components")
-    of_rep = reps.join(whole, F.col("rep") == F.col("id"), "left").select(*key, F.coalesce("component", "rep").alias("component"))
-    ids = scanned.select("id", *key)
-    null_id = F.when(F.col("id") != F.lit(-(1 << 63)).cast("long"), F.col("id"))
-    return (ids.join(of_rep, key, "left")
-            .select(null_id.alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "id").alias("component_id")))
+    pairs = stages.write(members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+                         .mapInArrow(partial(_tree_pairs, percent=percent), "a long, b long").distinct(), "set-pairs")
+    stages.drop("set-placed")
+    more = stages.write(linked_pairs(pairs, known, texts, gram, percent), "set-more")
+    stages.drop("set-pairs", "set-firsts")
+    whole = components(links.unionByName(more))
+    grouped = stages.write(reps.join(whole, F.col("rep") == F.col("id"), "left")
+                           .select(*key, "least", F.coalesce("component", "rep").alias("part")), "set-components")
+    named = grouped.groupBy("part").agg(F.min("least").alias("component_id"))
+    of_set = grouped.join(named, "part").select(*key, "component_id")
+    return (ids.join(of_set, key, "left")
+            .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))

@@ -71,11 +71,39 @@ def test_without_the_first_comparison_trees_find_all(spark, monkeypatch):
     assert table(jaccard.jaccard_groups(frame(spark, data)), "doc_id") == expected(data)
 
 
-def test_defined_cases(spark):
+def test_repeated_and_null_ids(spark):
+    """Rows are linked by their texts alone; the least id that is there names a component."""
     assert jaccard.jaccard_groups(frame(spark, [])).count() == 0
-    same = "one two three four five"
-    data = [(5, same, None, None, 0), (5, same, None, None, 0), (None, same, None, None, 0), (9, None, None, None, 0)]
-    assert jaccard.jaccard_groups(frame(spark, data)).count() == 4
+    rng = random.Random(12)
+    one, two, three, four = (prose(rng, 60, 3000) for _ in range(4))
+    near = lambda t, k: " ".join([*t.split(" "), *(f"more{k}{i}" for i in range(3))])
+    data = [(21, one), (21, two), (30, near(two, 1)), (5, one), (None, three), (None, four), (17, near(three, 2)), (20, near(four, 3)),
+            (None, "lonely text of seven words for itself"), (None, None), (None, None), (9, ""), (21, "other words that nobody else has"), (8, near(two, 4))]
+    got = sorted((tuple(r) for r in jaccard.jaccard_groups(frame(spark, [(*r, None, None, 0) for r in data])).collect()), key=repr)
+    n = lambda t: len(shingles(t))
+    want = [5, 8, 8, 5, 17, 20, 17, 20, None, None, None, 9, 21, 8]
+    assert got == sorted(((i, n(t), c) for (i, t), c in zip(data, want, strict=True)), key=repr)
+
+
+def test_families_cut_into_tiles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "ELEMENTS", 150)
+    data = near_copies(2, 3, 25)
+    assert table(jaccard.jaccard_groups(frame(spark, data)), "doc_id") == expected(data)
+
+
+def thue_morse(length, turned):
+    """Letters a and b by the parity of ones in the place: sums of powers cancel out on these."""
+    return "".join("ab"[(bin(i).count("1") + turned) % 2] for i in range(length))
+
+
+@pytest.mark.parametrize("length", [1024, 2048, 4096])
+def test_words_on_which_sums_of_powers_collide(spark, length):
+    data = [(k, " ".join([thue_morse(length, k)] * 6), None, None, 0) for k in (0, 1)]
+    assert table(jaccard.jaccard_groups(frame(spark, data)), "doc_id") == {0: (1, 0), 1: (1, 1)}
+    from listingflow.llm import substrdedup
+    data = [(k, " ".join([thue_morse(length, k)] + [f"w{k}{i}" for i in range(20)] + [thue_morse(length, k)] * 20), None, None, 0) for k in (0, 1)]
+    out = substrdedup.remove_repeats(frame(spark, data)).collect()
+    assert [r["n_removed"] for r in out] == [0, 0]
 
 
 def test_trees_drop_no_pair():
@@ -89,7 +117,7 @@ def test_trees_drop_no_pair():
             s[rng.integers(0, len(s), k)] = rng.integers(0, 2 ** 63, k)
             sets.append(np.unique(s))
     sets.sort(key=len)
-    bits = np.frombuffer(b"".join(jaccard.folded(jaccard.bitmap(s)) for s in sets), np.uint64).reshape(len(sets), -1)
+    bits = np.frombuffer(b"".join(jaccard.bitmap(s) for s in sets), np.uint64).reshape(len(sets), -1)
     tree = jaccard.SignatureTree(np.array([len(s) for s in sets]), bits)
     found = {(int(x), int(y)) for p, q in jaccard.join_trees(tree, tree) for x, y in zip(p, q, strict=True)}
     for i, a in enumerate(sets):
