@@ -29,8 +29,7 @@ def language(spark, docs, sf_dir):
 def near_duplicates(spark, docs, sf_dir):
     """Of each group of linked documents, the one with the smallest id stays."""
     groups = jaccard.jaccard_groups(docs, gram=GRAM, percent=PERCENT)
-    own = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")) == F.col("component_id")
-    stay = groups.filter(own).select(F.col("doc_id").alias("__id")).distinct()
+    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 
 
