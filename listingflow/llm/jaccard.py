@@ -3,8 +3,8 @@
 Documents are sets of word n-grams; two link when their sets' Jaccard similarity reaches the
 threshold. Equal sets are one set here. Any two linked sets share one of each set's first few
 elements in a common (hash) order, so sets meet in groups by such an element. Most links are found
-by comparing each member of a group with the group's first; what is linked that way is one
-component and is not compared again. Groups that still hold several components are joined by
+by comparing each set with the first of a group, the one that it shares the most elements with;
+what is linked that way is not compared again. Groups that still hold several components are joined by
 signature trees: leaves of sets of like size, inner nodes with the OR of their token bitmaps and
 their size range. Two trees are walked together; a pair of nodes is dropped when the sizes are too
 far apart or the common bits allow too small an overlap.
@@ -93,25 +93,27 @@ def bitmap(s: np.ndarray) -> bytes:
 
 
 def _sets(batches, gram):
-    """Elements in place of the text of rows ``component, i, j, kind, a, b, text`` (kind 0)."""
+    """Elements in place of the text of rows ``family, i, j, kind, a, b, text`` (kind 0)."""
     for batch in batches:
-        sets = shingle_sets(batch.column("text").to_pylist(), gram)
-        elements = pa.array([s.astype(U).tobytes() for s in sets], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], elements], names=[*batch.schema.names[:-1], "elements"])
+        texts = batch.column("text").to_pylist()
+        for i, j in turns(texts):
+            elements = pa.array([s.astype(U).tobytes() for s in shingle_sets(texts[i:j], gram)], pa.binary())
+            part = batch.slice(i, j - i)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], elements], names=[*batch.schema.names[:-1], "elements"])
 
 
 def _compare(batches, percent):
-    """Rows sorted by (component, i, j, kind): a tile's sets, then its pairs, which stream past."""
+    """Rows sorted by (family, i, j, kind): a tile's sets, then its pairs, which stream past."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     tile, sets = None, {}
     for batch in batches:
-        fine = []
-        columns = (batch.column(c).to_pylist() for c in ("component", "i", "j", "kind", "a", "b", "elements"))
-        for component, i, j, kind, a, b, elements in zip(*columns, strict=True):
-            if (component, i, j) != tile:
-                tile, sets = (component, i, j), {}
+        fine, elements = [], batch.column("elements")
+        columns = (batch.column(c).to_pylist() for c in ("family", "i", "j", "kind", "a", "b"))
+        for row, (family, i, j, kind, a, b) in enumerate(zip(*columns, strict=True)):
+            if (family, i, j) != tile:
+                tile, sets = (family, i, j), {}
             if kind == 0:
-                sets[a] = np.frombuffer(elements, U)
+                sets[a] = np.frombuffer(elements[row].as_buffer(), U).copy()
                 continue
             both = np.concatenate([sets[a], sets[b]])
             both.sort(kind="stable")
@@ -122,23 +124,23 @@ def _compare(batches, percent):
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
 
-def linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold. ``reps``: rep, n, id, k1, k2; ``texts``: text
-    with the id and the content hashes by which a rep's text is found."""
-    families = components(pairs).withColumnRenamed("id", "rep").join(reps, "rep")
-    tiles = families.groupBy("component").agg(F.ceil(F.sum("n") / ELEMENTS).cast("int").alias("tiles"))
-    placed = stage(families.join(tiles, "component").select(
-        "rep", "id", "k1", "k2", "component", "tiles", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int").alias("t")), "set-families")
-    one, two = (placed.select(F.col("rep").alias(c), F.col("t").alias(f"t{c}"), *more) for c, more in (("a", ["component"]), ("b", [])))
-    key = ["component", "i", "j"]
-    met = pairs.join(one, "a").join(two, "b").select(
-        "component", F.least("ta", "tb").alias("i"), F.greatest("ta", "tb").alias("j"), F.lit(1).alias("kind"), "a", "b",
+def linked_pairs(pairs: DataFrame, families: DataFrame, texts: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold. ``families``: rep, family, n, id, k1, k2, with
+    both sets of every pair in its ``family``; ``texts``: text with the id and the content hashes by
+    which a rep's text is found."""
+    tiles = families.groupBy("family").agg(F.ceil(F.sum("n") / ELEMENTS).cast("int").alias("tiles"))
+    placed = stage(families.join(tiles, "family").select(
+        "rep", "id", "k1", "k2", "family", "tiles", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int").alias("t")), "set-families")
+    one, two = (placed.select("family", F.col("rep").alias(c), F.col("t").alias(f"t{c}")) for c in "ab")
+    key = ["family", "i", "j"]
+    met = pairs.join(one, ["family", "a"]).join(two, ["family", "b"]).select(
+        "family", F.least("ta", "tb").alias("i"), F.greatest("ta", "tb").alias("j"), F.lit(1).alias("kind"), "a", "b",
         F.lit(None).cast("binary").alias("elements"))
     held = (texts.join(placed.withColumnRenamed("id", "__id"), ["k1", "k2"]).filter(F.col("id").eqNullSafe(F.col("__id")))
             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            .select("component", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), F.lit(0).alias("kind"),
+            .select("family", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), F.lit(0).alias("kind"),
                     F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), "text")
-            .mapInArrow(partial(_sets, gram=gram), "component long, i int, j int, kind int, a long, b long, elements binary"))
+            .mapInArrow(partial(_sets, gram=gram), "family long, i int, j int, kind int, a long, b long, elements binary"))
     return (held.unionByName(met).repartition(*key).sortWithinPartitions(*key, "kind")
             .mapInArrow(partial(_compare, percent=percent), "a long, b long"))
 
@@ -262,15 +264,22 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
     leads = stages.write(tokens.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("lead"), F.count("*").alias("members"))
                          .filter("members > 1").select("token", F.col("lead.rep").alias("lead"), F.col("lead.n").alias("lead_n")), "set-leads")
     met = stages.write(tokens.join(leads, "token"), "set-groups")
+    # Each set is first compared with one set: the lead that it shares the most elements with.
     near = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
-    star = stages.write(met.filter((F.col("rep") != F.col("lead")) & near)
-                        .select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "set-stars")
-    links = stages.write(linked_pairs(star, known, texts, gram, percent), "set-links")
+    star = (met.filter((F.col("rep") != F.col("lead")) & near).groupBy("rep", "lead").agg(F.count("*").alias("shared"))
+            .groupBy(F.col("rep").alias("b")).agg(F.max(F.struct("shared", (-F.col("lead")).alias("minus"))).alias("best"))
+            .select((-F.col("best.minus")).alias("a"), "b", (-F.col("best.minus")).alias("family")))
+    star = stages.write(star, "set-stars")
+    in_star = star.select(F.col("b").alias("rep"), "family").union(star.select("a", "family")).distinct()
+    links = stages.write(linked_pairs(star, in_star.join(known, "rep"), texts, gram, percent), "set-links")
     stages.drop("set-leads", "set-stars")
-    parts = stages.write(components(links), "set-parts")
-    placed = stages.write(met.select("token", "rep", "n").join(parts, F.col("rep") == F.col("id"), "left")
-                          .select("token", "rep", "n", F.coalesce("component", "rep").alias("component")), "set-placed")
-    stages.drop("set-groups", "set-parts")
+    # Sets of one label are linked already; two steps along the links join up nearly all that are.
+    first, second = (links.select(F.col("b").alias(f"{c}_from"), F.col("a").alias(f"{c}_to")) for c in ("one", "two"))
+    label = (first.join(second, F.col("one_to") == F.col("two_from"), "left")
+             .select(F.col("one_from").alias("id"), F.coalesce("two_to", "one_to").alias("label")))
+    placed = stages.write(met.select("token", "rep", "n").join(label, F.col("rep") == F.col("id"), "left")
+                          .select("token", "rep", "n", F.coalesce("label", "rep").alias("component")), "set-placed")
+    stages.drop("set-groups")
     mixed = (placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
                                          F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
              .filter("c1 != c2").select("token", "tiles"))
@@ -283,7 +292,10 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
     pairs = stages.write(members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
                          .mapInArrow(partial(_tree_pairs, percent=percent), "a long, b long").distinct(), "set-pairs")
     stages.drop("set-placed")
-    more = stages.write(linked_pairs(pairs, known, texts, gram, percent), "set-more")
+    families = stages.write(components(pairs).select(F.col("id").alias("rep"), F.col("component").alias("family")), "set-parts")
+    pairs = pairs.join(families, F.col("a") == F.col("rep")).select("a", "b", "family")
+    more = stages.write(linked_pairs(pairs, families.join(known, "rep"), texts, gram, percent), "set-more")
+    stages.drop("set-parts")
     stages.drop("set-pairs", "set-firsts")
     whole = components(links.unionByName(more))
     grouped = stages.write(reps.join(whole, F.col("rep") == F.col("id"), "left")
