@@ -9,9 +9,10 @@ signature trees: leaves of sets of like size, inner nodes with the OR of their t
 their size range. Two trees are walked together; a pair of nodes is dropped when the sizes are too
 far apart or the common bits allow too small an overlap.
 
-Pairs that are left are compared exactly, on whole sets: pairs that hang together are one family,
-families are cut into tiles of bounded size, and each set is sent once per tile, however many of
-its pairs are there; a tile's pairs stream past its sets. Only links are written. Nothing is capped.
+Pairs that are left are compared exactly, on whole sets: pairs that hang together are one family.
+A family is cut by ranges of hash values into slices of bounded size, so each element is sent once,
+however many pairs its set is in; the family's pairs stream past each slice's sets, and common
+elements add up over the slices. Nothing is capped.
 
 Defined results: texts that are null, empty or without words have an empty set and link with
 nothing; texts with fewer words than n have one n-gram, the whole sequence; rows that repeat an id
@@ -37,7 +38,7 @@ from listingflow.session import stage
 GRAM, PERCENT = 4, 85   # of op10
 BITS = 2048             # of a set's bitmap
 TILE = 4096             # sets of a group that are joined in one task
-ELEMENTS = 2_000_000    # of the sets on one side of a tile in which pairs are compared
+ELEMENTS = 4_000_000    # that one task holds when it compares pairs of a family
 LEAF, FAN = 16, 8       # sets of a leaf, children of an inner node
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -93,34 +94,41 @@ def bitmap(s: np.ndarray) -> bytes:
 
 
 def _sets(batches, gram):
-    """Elements in place of the text of rows ``family, i, j, kind, a, b, text`` (kind 0)."""
+    """Rows ``family, slices, a, text`` to ``family, slice, kind, a, b, na, nb, elements``: each set's
+    elements, cut at the borders of equal ranges of hash values."""
+    schema = pa.schema([("family", pa.int64()), ("slice", pa.int32()), ("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
+                        ("na", pa.int64()), ("nb", pa.int64()), ("elements", pa.binary())])
     for batch in batches:
-        texts = batch.column("text").to_pylist()
+        families, slices, a, texts = (batch.column(c).to_pylist() for c in ("family", "slices", "a", "text"))
         for i, j in turns(texts):
-            elements = pa.array([s.astype(U).tobytes() for s in shingle_sets(texts[i:j], gram)], pa.binary())
-            part = batch.slice(i, j - i)
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], elements], names=[*batch.schema.names[:-1], "elements"])
-
-
-def _compare(batches, percent):
-    """Rows sorted by (family, i, j, kind): a tile's sets, then its pairs, which stream past."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    tile, sets = None, {}
+            out = []
+            for k, s in enumerate(shingle_sets(texts[i:j], gram), i):
+                borders = np.array([(r << 64) // slices[k] for r in range(1, slices[k])], U)
+                edges = [0, *np.searchsorted(s, borders).tolist(), len(s)]
+                out += [(families[k], r, 0, a[k], None, None, None, s[x:y].astype(U).tobytes())
+                        for r, (x, y) in enumerate(zip(edges, edges[1:], strict=False)) if y > x]
+            columns = list(zip(*out, strict=True)) or [[]] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _compare(batches):
+    """Rows sorted by (family, slice, kind): the slice's sets, then the family's pairs, which stream
+    past. Gives each pair's common elements in the slice, if any."""
+    schema = pa.schema([(n, pa.int64()) for n in ("a", "b", "na", "nb", "common")])
+    held, sets = None, {}
     for batch in batches:
-        fine, elements = [], batch.column("elements")
-        columns = (batch.column(c).to_pylist() for c in ("family", "i", "j", "kind", "a", "b"))
-        for row, (family, i, j, kind, a, b) in enumerate(zip(*columns, strict=True)):
-            if (family, i, j) != tile:
-                tile, sets = (family, i, j), {}
+        out, elements = [], batch.column("elements")
+        columns = (batch.column(c).to_pylist() for c in ("family", "slice", "kind", "a", "b", "na", "nb"))
+        for row, (family, part, kind, a, b, na, nb) in enumerate(zip(*columns, strict=True)):
+            if (family, part) != held:
+                held, sets = (family, part), {}
             if kind == 0:
                 sets[a] = np.frombuffer(elements[row].as_buffer(), U).copy()
-                continue
-            both = np.concatenate([sets[a], sets[b]])
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            if 100 * common >= percent * (len(both) - common):
-                fine.append((a, b))
-        columns = list(zip(*fine, strict=True)) or [[], []]
+            elif a in sets and b in sets:
+                both = np.concatenate([sets[a], sets[b]])
+                both.sort(kind="stable")
+                out.append((a, b, na, nb, int((both[1:] == both[:-1]).sum())))
+        columns = list(zip(*out, strict=True)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
 
@@ -128,21 +136,20 @@ def linked_pairs(pairs: DataFrame, families: DataFrame, texts: DataFrame, gram:
     """The pairs (a, b) whose sets reach the threshold. ``families``: rep, family, n, id, k1, k2, with
     both sets of every pair in its ``family``; ``texts``: text with the id and the content hashes by
     which a rep's text is found."""
-    tiles = families.groupBy("family").agg(F.ceil(F.sum("n") / ELEMENTS).cast("int").alias("tiles"))
-    placed = stage(families.join(tiles, "family").select(
-        "rep", "id", "k1", "k2", "family", "tiles", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int").alias("t")), "set-families")
-    one, two = (placed.select("family", F.col("rep").alias(c), F.col("t").alias(f"t{c}")) for c in "ab")
-    key = ["family", "i", "j"]
-    met = pairs.join(one, ["family", "a"]).join(two, ["family", "b"]).select(
-        "family", F.least("ta", "tb").alias("i"), F.greatest("ta", "tb").alias("j"), F.lit(1).alias("kind"), "a", "b",
-        F.lit(None).cast("binary").alias("elements"))
+    slices = families.groupBy("family").agg(F.ceil(F.sum("n") / ELEMENTS).cast("int").alias("slices"))
+    placed = stage(families.join(slices, "family").select("rep", "id", "k1", "k2", "n", "family", "slices"), "set-families")
+    one = placed.select("family", F.col("rep").alias("a"), F.col("n").alias("na"), "slices")
+    two = placed.select("family", F.col("rep").alias("b"), F.col("n").alias("nb"))
+    met = (pairs.join(one, ["family", "a"]).join(two, ["family", "b"])
+           .select("family", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"), "a", "b",
+                   "na", "nb", F.lit(None).cast("binary").alias("elements")))
     held = (texts.join(placed.withColumnRenamed("id", "__id"), ["k1", "k2"]).filter(F.col("id").eqNullSafe(F.col("__id")))
-            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            .select("family", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), F.lit(0).alias("kind"),
-                    F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), "text")
-            .mapInArrow(partial(_sets, gram=gram), "family long, i int, j int, kind int, a long, b long, elements binary"))
-    return (held.unionByName(met).repartition(*key).sortWithinPartitions(*key, "kind")
-            .mapInArrow(partial(_compare, percent=percent), "a long, b long"))
+            .select("family", "slices", F.col("rep").alias("a"), "text")
+            .mapInArrow(partial(_sets, gram=gram), "family long, slice int, kind int, a long, b long, na long, nb long, elements binary"))
+    common = (held.unionByName(met).repartition("family", "slice").sortWithinPartitions("family", "slice", "kind")
+              .mapInArrow(_compare, "a long, b long, na long, nb long, common long")
+              .groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common")))
+    return common.filter(F.col("common") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
 class SignatureTree:
@@ -264,9 +271,11 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
     leads = stages.write(tokens.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("lead"), F.count("*").alias("members"))
                          .filter("members > 1").select("token", F.col("lead.rep").alias("lead"), F.col("lead.n").alias("lead_n")), "set-leads")
     met = stages.write(tokens.join(leads, "token"), "set-groups")
-    # Each set is first compared with one set: the lead that it shares the most elements with.
+    # Each set is first compared with one set: the lead that it shares the most of its first
+    # elements with, if that is half of them at least (fewer are left to the trees).
     near = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
-    star = (met.filter((F.col("rep") != F.col("lead")) & near).groupBy("rep", "lead").agg(F.count("*").alias("shared"))
+    star = (met.filter((F.col("rep") != F.col("lead")) & near).groupBy("rep", "n", "lead").agg(F.count("*").alias("shared"))
+            .filter(2 * F.col("shared") >= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
             .groupBy(F.col("rep").alias("b")).agg(F.max(F.struct("shared", (-F.col("lead")).alias("minus"))).alias("best"))
             .select((-F.col("best.minus")).alias("a"), "b", (-F.col("best.minus")).alias("family")))
     star = stages.write(star, "set-stars")
@@ -295,8 +304,7 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
     families = stages.write(components(pairs).select(F.col("id").alias("rep"), F.col("component").alias("family")), "set-parts")
     pairs = pairs.join(families, F.col("a") == F.col("rep")).select("a", "b", "family")
     more = stages.write(linked_pairs(pairs, families.join(known, "rep"), texts, gram, percent), "set-more")
-    stages.drop("set-parts")
-    stages.drop("set-pairs", "set-firsts")
+    stages.drop("set-pairs", "set-parts", "set-firsts")
     whole = components(links.unionByName(more))
     grouped = stages.write(reps.join(whole, F.col("rep") == F.col("id"), "left")
                            .select(*key, "least", F.coalesce("component", "rep").alias("part")), "set-components")
