@@ -38,7 +38,7 @@ from listingflow.session import stage
 GRAM, PERCENT = 4, 85   # of op10
 BITS = 2048             # of a set's bitmap
 TILE = 4096             # sets of a group that are joined in one task
-ELEMENTS = 4_000_000    # that one task holds when it compares pairs of a family
+ELEMENTS = 16_000_000   # that one task holds when it compares pairs of a family (8 bytes each)
 LEAF, FAN = 16, 8       # sets of a leaf, children of an inner node
 
 LOWER = np.arange(256, dtype=np.uint8)
