@@ -12,7 +12,8 @@ import json
 
 from listingflow.plans import lakehouse as L
 from listingflow.session import get_spark
-from listingflow.sources.tables import TableStore, read_table
+from listingflow.sources.tables import TableStore
+from listingflow.streaming.ingest import read_ingested
 
 
 def main(argv=None) -> None:
@@ -42,7 +43,7 @@ def main(argv=None) -> None:
     elif args.step == "ingest":
         out = {"bronze_rows": L.ingest_step(spark, cfg).count()}
     elif args.step == "silver":
-        out = L.silver_step(store, read_table(spark, f"{args.root}/bronze/data"), cfg)
+        out = L.silver_step(store, read_ingested(spark, f"{args.root}/bronze/data", f"{args.root}/bronze/_schema"), cfg)
     elif args.step == "gold":
         out = L.gold_step(store, cfg)
     elif args.step == "calendar":

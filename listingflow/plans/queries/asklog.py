@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listingflow.plans import oracle as O
 from listingflow.plans.queries.base import register
@@ -151,6 +152,34 @@ def q_ingest_stream(spark, sf_dir):
                                                    "ingest_date")
 
 
+@register("ingest_bad_lines", """
+SELECT event_id, event_type, value, NULL AS bad_line, true AS stamped FROM events WHERE event_id % 10 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, '{"event_id": ' || event_id || ', "event_type"', true FROM events WHERE event_id % 10 = 0""")
+def q_ingest_bad_lines(spark, sf_dir):
+    """JSON lines made of the events, every tenth cut off, taken in by two runs: rows in the table,
+    cut lines in the quarantine, each exactly once and with its ingest stamps."""
+    from listingflow.session import scratch_path
+    from listingflow.streaming.ingest import ingest_stream, read_ingested
+    base = scratch_path(spark, "bronze-lines")
+    events = read_driver_table(spark, sf_dir, "events")
+    cut = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_type"'))
+    line = F.when(F.col("event_id") % 10 == 0, cut).otherwise(F.to_json(F.struct("event_id", "event_type", "value")))
+    schema = T.StructType.fromDDL("event_id bigint, event_type string, value double")
+    for part in (0, 1):
+        events.filter(F.col("event_id") % 2 == part).select(line.alias("value")).write.text(f"{base}/in/part={part}")
+        ingest_stream(spark, f"{base}/in/*", f"{base}/table", f"{base}/_checkpoint", fmt="json", schema=schema,
+                      schema_path=f"{base}/_schema", quarantine=f"{base}/bad")
+    stamped = (F.col("bronze_ingested_at").isNotNull() & F.col("source_file_path").endswith(".txt")
+               & (F.col("ingest_date") == F.to_date("bronze_ingested_at"))).alias("stamped")
+    good = read_ingested(spark, f"{base}/table", f"{base}/_schema").select(
+        "event_id", "event_type", "value", F.lit(None).cast("string").alias("bad_line"), stamped)
+    bad = spark.read.parquet(f"{base}/bad").select(
+        F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("event_type"),
+        F.lit(None).cast("double").alias("value"), F.col("_corrupt_record").alias("bad_line"), stamped)
+    return good.unionByName(bad)
+
+
 CONTEXT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 _SAMPLES = "\n  UNION ALL\n  ".join(
     f"SELECT '{t}' AS table_name, column_name, v FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM "

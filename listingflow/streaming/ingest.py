@@ -1,9 +1,14 @@
 """Files -> append-only raw table, as a Structured Streaming query run to completion.
 
-``trigger(availableNow=True)`` drains every file not yet recorded in the checkpoint and stops;
-the file sink's own log makes a rerun add nothing (exactly-once per file). The schema is fixed
-for a run: it is the stored schema widened by any new columns found in the files, so old files
-read the new columns as NULL.
+``trigger(availableNow=True)`` drains every file not yet recorded in the checkpoint and stops. With
+a remembered schema or a quarantine, each micro-batch is written by its number, which is a partition
+of the table: a batch that is run again after a crash replaces itself, so a file's rows are there
+exactly once.
+
+A batch whose files have columns that the schema lacks is not written: the schema is widened and
+stored, and the query starts again from the same checkpoint, which gives it the same files. So a
+column is never lost, whenever its file arrives; old files read the new columns as NULL. Lines that
+CSV or JSON cannot read go to the quarantine as they are, with the same stamps.
 """
 
 from __future__ import annotations
@@ -12,21 +17,26 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType, TimestampType
 
 from listingflow.functions.keys import ts_literal
 
+BAD_LINE = "_corrupt_record"        # Spark's name for the text of a line that could not be read
+STAMPS = StructType([StructField("bronze_ingested_at", TimestampType()), StructField("source_file_path", StringType()),
+                     StructField("ingest_date", DateType()), StructField("ingest_batch", IntegerType())])
 
-def evolved_schema(spark: SparkSession, src: str, fmt: str = "parquet",
+
+def evolved_schema(spark: SparkSession, src, fmt: str = "parquet",
                    known: StructType | None = None, options: dict | None = None) -> StructType:
-    """``known`` plus every column the files add (in file order); types of known columns kept."""
+    """``known`` plus every column the files add (in file order); types of known columns kept.
+    ``src`` is a path or a list of files."""
     reader = spark.read.format(fmt).options(**(options or {}))
     if fmt == "parquet":
         reader = reader.option("mergeSchema", "true")
     found = reader.load(src).schema
     if known is None:
         return found
-    names = {f.name for f in known.fields}
+    names = {*known.names, BAD_LINE}
     return StructType(list(known.fields) + [f for f in found.fields if f.name not in names])
 
 
@@ -65,35 +75,95 @@ def stream_path(spark: SparkSession, src: str) -> str:
     return src[:-1] + "[" + src[-1] + "]" if is_file else src
 
 
+class SchemaGrew(RuntimeError):
+    """A micro-batch has columns that the schema lacks; ``schema`` has them too."""
+
+    def __init__(self, schema: StructType):
+        super().__init__("new columns")
+        self.schema = schema
+
+
+def _write_batches(spark: SparkSession, dst: str, fmt: str, schema: StructType, options: dict, grow: bool,
+                   quarantine: str | None, grown: list):
+    """Function that writes one micro-batch under its number, good and bad rows apart."""
+    def write(batch: DataFrame, number: int) -> None:
+        if grow:
+            files = [r[0] for r in batch.select("source_file_path").distinct().collect()]
+            wider = evolved_schema(spark, files, fmt, schema, options) if files else schema
+            if len(wider) > len(schema):
+                grown.append(wider)         # the error itself comes back as text only
+                raise SchemaGrew(wider)
+        batch = batch.withColumn("ingest_batch", F.lit(number).cast("int"))
+        parts = [(batch, dst)]
+        if quarantine:
+            bad = F.col(BAD_LINE).isNotNull()
+            stamps = [f.name for f in STAMPS.fields]
+            parts = [(batch.filter(~bad).drop(BAD_LINE), dst), (batch.filter(bad).select(BAD_LINE, *stamps), quarantine)]
+        for rows, path in parts:
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("ingest_date", "ingest_batch").parquet(path))
+
+    return write
+
+
 def ingest_stream(spark: SparkSession, src: str, dst: str, checkpoint: str, fmt: str = "parquet",
                   schema: StructType | None = None, options: dict | None = None,
-                  schema_path: str | None = None, max_files_per_trigger: int | None = None):
+                  schema_path: str | None = None, max_files_per_trigger: int | None = None,
+                  quarantine: str | None = None):
     """Drain all new files of ``src`` into the parquet table ``dst`` and wait for the end.
 
-    With ``schema_path`` the schema is remembered between runs and widened by new columns.
-    Returns the finished ``StreamingQuery`` (its ``recentProgress`` holds the row counts).
-
-    Widening reads the footers of the source files (Spark merges parquet schemas as a
-    distributed job); for a folder of millions of files pass ``schema`` and widen it on purpose.
+    With ``schema_path`` the schema is remembered between runs and widened by new columns; a stored
+    one is used as it is, so a run opens only the files that it takes in. With ``schema`` alone the
+    schema is fixed. ``quarantine`` (CSV and JSON) is the table for lines that cannot be read; without
+    it they are rows of NULLs. Returns the finished ``StreamingQuery`` (its ``recentProgress`` holds
+    the row counts).
     """
     options = dict(options or {})
-    if schema is None:
-        known = load_schema(spark, schema_path) if schema_path else None
-        schema = evolved_schema(spark, src, fmt, known, options)
-        if schema_path:
+    stored = load_schema(spark, schema_path) if schema_path else None
+    # Columns of CSV files without a header have no names of their own: nothing to widen by.
+    grow = bool(schema_path) and (fmt != "csv" or str(options.get("header", "false")).lower() == "true")
+    if stored is not None:
+        schema = stored if schema is None else StructType([*stored.fields, *[f for f in schema.fields if f.name not in stored.names]])
+    elif schema is None:
+        schema = evolved_schema(spark, src, fmt, None, options)
+    if quarantine and fmt not in ("csv", "json"):
+        raise ValueError(f"{fmt} files have no lines to quarantine")
+    schema = StructType([f for f in schema.fields if f.name != BAD_LINE])
+    while True:
+        if schema_path and schema != stored:
             save_schema(spark, schema, schema_path)
-    reader = spark.readStream.format(fmt).schema(schema).options(**options)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = stamp_ingest(reader.load(stream_path(spark, src)))
-    # Partitioned by ingest day: a later "rows newer than the mark" read prunes whole days by
-    # directory instead of opening every file footer of the table.
-    query = (stream.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", checkpoint)
-             .partitionBy("ingest_date")
-             .trigger(availableNow=True)
-             .start(dst))
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(f"ingest failed: {query.exception()}")
-    return query
+            stored = schema
+        read_as = StructType([*schema.fields, StructField(BAD_LINE, StringType())]) if quarantine else schema
+        reader = spark.readStream.format(fmt).schema(read_as).options(**options)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        # Partitioned by ingest day: a later "rows newer than the mark" read prunes whole days by
+        # directory instead of opening every file footer of the table.
+        writer = (stamp_ingest(reader.load(stream_path(spark, src))).writeStream.outputMode("append")
+                  .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+        if not schema_path and not quarantine:
+            query = writer.format("parquet").partitionBy("ingest_date").start(dst)
+        else:
+            grown: list[StructType] = []
+            query = writer.foreachBatch(_write_batches(spark, dst, fmt, schema, options, grow, quarantine, grown)).start()
+        try:
+            query.awaitTermination()
+        except Exception:
+            if grow and grown:
+                schema = grown[-1]
+                continue
+            raise
+        if query.exception() is not None:
+            raise RuntimeError(f"ingest failed: {query.exception()}")
+        return query
+
+
+def read_ingested(spark: SparkSession, dst: str, schema_path: str) -> DataFrame | None:
+    """The table that ``ingest_stream`` keeps with a remembered schema, read with that schema: no
+    footer is opened to find it. ``None`` before the first run."""
+    schema = load_schema(spark, schema_path)
+    if schema is None:
+        return None
+    names = {f.name for f in STAMPS.fields}
+    whole = StructType([*[f for f in schema.fields if f.name not in names], *STAMPS.fields])
+    return spark.read.schema(whole).parquet(dst).drop("ingest_batch")
