@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from listingflow.session import stage
 
@@ -67,6 +68,61 @@ def group_means(src: DataFrame, spec: dict, stage_stats: bool = True) -> dict:
     return out
 
 
+def group_sums(src: DataFrame, spec: dict, sign: int = 1) -> DataFrame:
+    """Sums and counts behind the means of ``spec``: rows ``(by, group, sum_<col>..., n_<col>...)``
+    with ``by`` the grouping column's name, from one aggregate of ``src``.
+
+    Sums are exact decimals (other numbers at 12 places), so what is added with ``sign`` 1 can be
+    taken away again with ``sign`` -1 and leaves no trace.
+    """
+    bys, cols = list(spec), sorted({c for cs in spec.values() for c in cs})
+    number = {c: F.col(c).try_cast(DecimalType(38, _scale(src, c))) for c in cols}
+    signed = F.negative if sign < 0 else lambda c: c
+    found = src.groupingSets([[b] for b in bys], *bys).agg(
+        *[signed(F.sum(number[c])).cast(DecimalType(38, _scale(src, c))).alias(f"sum_{c}") for c in cols],
+        *[signed(F.count(number[c])).alias(f"n_{c}") for c in cols],
+        F.grouping_id().alias("__gid"))
+    by, group = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, b in enumerate(bys):
+        own = F.col("__gid") == sum(1 << (len(bys) - 1 - j) for j in range(len(bys)) if j != i)
+        by, group = F.when(own, F.lit(b)).otherwise(by), F.when(own, F.col(b).cast("string")).otherwise(group)
+    return found.select(by.alias("by"), group.alias("group"), *[f"sum_{c}" for c in cols], *[f"n_{c}" for c in cols])
+
+
+def _scale(src: DataFrame, col: str) -> int:
+    kind = src.schema[col].dataType
+    return kind.scale if isinstance(kind, DecimalType) else 12
+
+
+def add_sums(*sums: DataFrame) -> DataFrame:
+    """One frame of ``group_sums`` from several; groups that nothing is left of are gone."""
+    rows = reduce(DataFrame.unionByName, sums)
+    cols = [c.removeprefix("sum_") for c in rows.columns if c.startswith("sum_")]
+    total = rows.groupBy("by", "group").agg(
+        *[F.coalesce(F.sum(f"sum_{c}"), F.lit(0)).cast(rows.schema[f"sum_{c}"].dataType).alias(f"sum_{c}") for c in cols],
+        *[F.sum(f"n_{c}").alias(f"n_{c}") for c in cols])
+    return total.filter(reduce(lambda a, b: a | b, [F.col(f"n_{c}") != 0 for c in cols]))
+
+
+def means_of_sums(sums: DataFrame, spec: dict, like: DataFrame, stage_stats: bool = True) -> dict:
+    """The frames of ``group_means`` from ``group_sums``, with the types that a mean over the
+    columns of ``like`` has."""
+    sums = stage(sums, "group-means") if stage_stats else sums
+    out = {}
+    for by, cols in spec.items():
+        means = []
+        for c in cols:
+            kind, n = like.schema[c].dataType, F.nullif(F.col(f"n_{c}"), F.lit(0))
+            if isinstance(kind, DecimalType):
+                total = F.col(f"sum_{c}").cast(DecimalType(min(38, kind.precision + 10), kind.scale))
+                mean = (total / n).cast(DecimalType(min(38, kind.precision + 4), min(38, kind.scale + 4)))
+            else:
+                mean = F.col(f"sum_{c}").cast("double") / n
+            means.append(mean.alias(f"__mean_{c}"))
+        out[by] = sums.filter(F.col("by") == by).select(F.col("group").cast(like.schema[by].dataType).alias(f"__key_{by}"), *means)
+    return out
+
+
 def fill_from_means(df: DataFrame, means: DataFrame, by: str, cols) -> DataFrame:
     """Fill NULLs of ``cols`` from a ``group_means`` frame, joined NULL-safely on ``by``."""
     cols = [cols] if isinstance(cols, str) else list(cols)

@@ -155,13 +155,17 @@ SELECT s.Property_ID, s.City,
 FROM c2 s LEFT JOIN m ON s.City = m.City LEFT JOIN d ON s.Developer_Name = d.Developer_Name""")
 def q_impute_history_mean(spark, sf_dir):
     """Means from history: gaps of the second batch are filled with means over its own cleaned
-    values and those of the first batch's listings that it does not replace."""
-    from listingflow.plans.silver import cleaned_batch, mean_inputs
+    values and those of the first batch's listings that it does not replace, by the first batch's
+    sums per group less what the second one replaces."""
+    from listingflow.operators.features import group_sums
+    from listingflow.plans.history import replaced_rows, running_means
+    from listingflow.plans.silver import MEANS, cleaned_batch, mean_inputs
     raw = raw_listings(spark, sf_dir)
     cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    first = cleaned_batch(raw.filter(F.col("bronze_ingested_at") < cut))
+    first = stage(mean_inputs(cleaned_batch(raw.filter(F.col("bronze_ingested_at") < cut))), "history-inputs")
     batch = stage(cleaned_batch(raw.filter(F.col("bronze_ingested_at") >= cut)), "history-batch")
-    out = silver_transform(None, AS_OF, cleaned=batch, history=mean_inputs(first))
+    replaced = replaced_rows(first, mean_inputs(batch)).filter("known")
+    out = silver_transform(None, AS_OF, cleaned=batch, means=running_means(group_sums(first, MEANS), replaced, batch))
     return out.select("Property_ID", "City", _round("Transport_Index_Num", 4), _round("Down_Payment_Pct", 6))
 
 

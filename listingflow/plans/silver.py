@@ -14,7 +14,7 @@ from listingflow.operators import cleaning as C
 from listingflow.operators.features import (CASH_DOWN_PAYMENT, PAYMENT_CASH, fill_from_means,
                                             flexibility_score, group_means, payment_type,
                                             ready_to_move)
-from listingflow.operators.merge import dedup_latest, new_rows
+from listingflow.operators.merge import dedup_latest
 from listingflow.operators.quality import (REASON_MISSING_KEY, flag_invalid, listing_rules,
                                            missing_key)
 from listingflow.session import stage
@@ -75,15 +75,18 @@ def clean_rows(df: DataFrame, price_mode: str = "decimal", developer_map=None) -
                            for new, src in DECIMAL_COLUMNS})
 
 
-def impute_and_derive(df: DataFrame, as_of, stats_from: DataFrame | None = None) -> DataFrame:
+MEANS = {"City": list(CITY_MEAN_COLUMNS), "Developer_Name": ["Down_Payment_Pct"]}
+
+
+def impute_and_derive(df: DataFrame, as_of, means: dict | None = None) -> DataFrame:
     """Group means, defaults and derived payment features.
 
     The city means (transport, schools) and the developer mean (down payment) come from one
-    grouping-sets aggregate of the batch as given (or of ``stats_from``); the down-payment mean
-    is over the clamped values of all rows, cash rows included, before cash is set to 100.
+    grouping-sets aggregate of the batch as given (or are ``means``, as ``group_means`` gives
+    them); the down-payment mean is over the clamped values of all rows, cash rows included,
+    before cash is set to 100.
     """
-    means = group_means(df if stats_from is None else stats_from,
-                        {"City": list(CITY_MEAN_COLUMNS), "Developer_Name": ["Down_Payment_Pct"]})
+    means = group_means(df, MEANS) if means is None else means
     df = fill_from_means(df, means["City"], "City", CITY_MEAN_COLUMNS)
     df = df.drop(*[src for _, src in DECIMAL_COLUMNS if src in df.columns])
     df = C.fill_defaults(df, C.AMENITY_DEFAULTS)
@@ -112,27 +115,22 @@ def mean_inputs(cleaned: DataFrame, key: str = PRIMARY_KEY) -> DataFrame:
 
 def silver_transform(raw: DataFrame | None, as_of, price_mode: str = "decimal", developer_map=None,
                      key: str = PRIMARY_KEY, order_cols=VERSION_ORDER,
-                     materialize: bool = True, history: DataFrame | None = None,
-                     cleaned: DataFrame | None = None) -> DataFrame:
+                     materialize: bool = True, cleaned: DataFrame | None = None,
+                     means: dict | None = None) -> DataFrame:
     """Raw versions -> flagged silver rows (``quarantine_reason`` NULL and ``is_valid`` true for
     good rows). Rows later rejected still feed the group means, as in the source design.
 
     The cleaned batch is read three times (two group means and the rows themselves); with
     ``materialize`` it is written once under the checkpoint root, so the raw scan, its joins and
-    the dedup shuffle run once instead of three times. With ``history`` (``mean_inputs`` of
-    earlier batches, one row per key) the group means are taken over the batch and the history of
-    the keys that the batch does not replace; values filled in or overridden never count.
-    ``cleaned``: a ``cleaned_batch`` that the caller already has, instead of ``raw``.
+    the dedup shuffle run once instead of three times. ``cleaned``: a ``cleaned_batch`` that the
+    caller already has, instead of ``raw``. ``means``: group means to use in place of the batch's
+    own, such as those of ``plans.history``.
     """
     df = cleaned
     if df is None:
         df = cleaned_batch(raw, price_mode, developer_map, key, order_cols)
         if materialize:
             df = stage(df, "silver-batch")
-    stats = None
-    if history is not None:
-        own = df.select(*MEAN_INPUTS)
-        stats = new_rows(mean_inputs(df, key), history, [key]).select(*MEAN_INPUTS).unionByName(own)
-    df = impute_and_derive(df, as_of, stats_from=stats)
+    df = impute_and_derive(df, as_of, means)
     rules = [(REASON_MISSING_KEY, F.col("__missing_key")), *listing_rules()]
     return flag_invalid(df, rules).drop("__missing_key")

@@ -1,0 +1,144 @@
+"""History means by running sums: equal to counting everything anew, whatever the batches, reruns and
+crashes; a run reads the buckets of its own keys."""
+
+import datetime as dt
+import decimal
+import shutil
+import warnings
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
+
+from conftest import SF_SMALL
+from listingflow.operators.features import add_sums, group_means, group_sums, means_of_sums
+from listingflow.plans.history import INPUTS, REPLACED, SUMS
+from listingflow.plans.lakehouse import BATCHES, RunConfig, _mark, silver_step
+from listingflow.plans.silver import MEANS
+from listingflow.sources.fixtures import raw_listings
+from listingflow.sources.tables import TableStore
+
+SCHEMA = "id int, g string, h string, v decimal(10,2), w double"
+SPEC = {"g": ["v"], "h": ["w"]}
+
+
+def values(df):
+    return {tuple(str(x) if isinstance(x, decimal.Decimal) else x for x in r) for r in df.collect()}
+
+
+row = st.tuples(st.integers(0, 5), st.sampled_from(["a", "b", None]), st.sampled_from(["x", "y"]),
+                st.one_of(st.none(), st.integers(-9999, 9999).map(lambda i: decimal.Decimal(i) / 100)),
+                st.one_of(st.none(), st.integers(-400, 400).map(lambda i: i / 4)))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches=st.lists(st.lists(row, max_size=6, unique_by=lambda r: r[0]), min_size=1, max_size=3))
+def test_sums_with_retraction_equal_means_anew(spark, batches):
+    """Newest row per id over shuffled batches: the sums give the type and values of ``avg``."""
+    now, parts = {}, []
+    for batch in batches:
+        old = [now[r[0]] for r in batch if r[0] in now]
+        parts += [group_sums(spark.createDataFrame(old, SCHEMA), SPEC, -1), group_sums(spark.createDataFrame(batch, SCHEMA), SPEC)]
+        now |= {r[0]: r for r in batch}
+    rows = spark.createDataFrame(list(now.values()), SCHEMA)
+    got, want = means_of_sums(add_sums(*parts), SPEC, rows, stage_stats=False), group_means(rows, SPEC, stage_stats=False)
+    for by in SPEC:
+        mean = want[by].columns[1]
+        assert got[by].schema[mean].dataType == want[by].schema[mean].dataType
+        found = values(got[by].filter(F.col(mean).isNotNull()))
+        assert found == values(want[by].filter(F.col(mean).isNotNull()))
+
+
+def config(root, day):
+    return RunConfig(root=root, as_of="2021-06-30", run_ts=dt.datetime(2030, 1, day), buckets=4, means_from="history")
+
+
+def filled(store):
+    cols = ("Property_ID", "Transport_Index_Num", "Nearby_Schools_Score_Num", "Down_Payment_Pct")
+    return sorted(map(str, store.read("silver").select(*cols).collect()))
+
+
+def kept_sums(store):
+    mark = _mark(store, "silver", BATCHES)      # a crash after the mark leaves older sums to the next run
+    assert store.batches(SUMS)[-1] == mark
+    return values(store.read_batches(SUMS, mark - 1, mark, ["by", "group"]))
+
+
+@pytest.fixture(scope="module")
+def two_runs(spark, tmp_path_factory):
+    raw = raw_listings(spark, SF_SMALL).cache()
+    root = str(tmp_path_factory.mktemp("history"))
+    silver_step(TableStore(spark, f"{root}/first"), raw.filter(F.year("bronze_ingested_at") <= 1996), config(f"{root}/first", 1))
+    shutil.copytree(f"{root}/first", f"{root}/whole")
+    whole = TableStore(spark, f"{root}/whole")
+    silver_step(whole, raw, config(whole.root, 2))
+    return raw, root, filled(whole), kept_sums(whole)
+
+
+def test_sums_equal_all_inputs_counted_anew(spark, two_runs):
+    raw, root, _, sums = two_runs
+    whole = TableStore(spark, f"{root}/whole")
+    assert sums == values(add_sums(group_sums(whole.read(INPUTS), MEANS)))
+    assert whole.batches(REPLACED) == []
+
+
+def test_lost_sums_are_counted_anew(spark, tmp_root, two_runs):
+    """A store that kept ``mean_inputs`` only, as older runs wrote it."""
+    raw, root, want, sums = two_runs
+    shutil.copytree(f"{root}/first", f"{tmp_root}/old")
+    shutil.rmtree(f"{tmp_root}/old/{SUMS}")
+    old = TableStore(spark, f"{tmp_root}/old")
+    silver_step(old, raw, config(old.root, 2))
+    assert filled(old) == want and kept_sums(old) == sums
+
+
+@pytest.mark.parametrize(("table", "first"), [(REPLACED, False), (SUMS, False), (INPUTS, False), ("control", False),
+                                              (SUMS, True), (INPUTS, True)])
+def test_crash_around_each_write_counts_once(spark, tmp_root, monkeypatch, two_runs, table, first):
+    """The run dies right after writing ``table`` (its first write in the run); the rerun gives the
+    rows of a run that did not, in a new store's first batch and in a second one."""
+    raw, root, want, sums = two_runs
+    part = raw.filter(F.year("bronze_ingested_at") <= 1996)
+    if not first:
+        shutil.copytree(f"{root}/first", f"{tmp_root}/broken")
+    broken = TableStore(spark, f"{tmp_root}/broken")
+    original = DataFrameWriter.parquet
+
+    class Crash(Exception):
+        pass
+
+    def parquet(writer, path, *args, **kwargs):
+        original(writer, path, *args, **kwargs)
+        if path.startswith(broken.root) and path.rstrip("/").endswith(f"/{table}") and "_staged" not in path:
+            raise Crash
+
+    with monkeypatch.context() as m:
+        m.setattr(DataFrameWriter, "parquet", parquet)
+        with pytest.raises(Crash):
+            silver_step(broken, part if first else raw, config(broken.root, 1 if first else 2))
+    if first:
+        silver_step(broken, part, config(broken.root, 1))
+    silver_step(broken, raw, config(broken.root, 2))
+    assert filled(broken) == want and kept_sums(broken) == sums
+
+
+def test_a_run_reads_the_buckets_of_its_keys(spark, tmp_root):
+    store = TableStore(spark, tmp_root)
+    rows = spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    store.upsert("t", rows, ["k"], 16)
+    part = store.read_buckets("t", rows.filter("k = '7'"), ["k"])
+    files = {f.rsplit("/", 2)[1] for f in part.inputFiles()}
+    assert len(files) == 1 and part.filter("k = '7'").count() == 1
+
+
+def test_switching_to_history_says_so(spark, tmp_root):
+    raw = raw_listings(spark, SF_SMALL).limit(50)
+    store = TableStore(spark, tmp_root)
+    year = F.year("bronze_ingested_at")
+    silver_step(store, raw.filter(year <= 1995), RunConfig(root=tmp_root, as_of="2021-06-30", buckets=2))
+    with warnings.catch_warnings(record=True) as seen:
+        warnings.simplefilter("always")
+        silver_step(store, raw, config(tmp_root, 3))
+    assert any("starts with this batch" in str(w.message) for w in seen)
