@@ -86,45 +86,96 @@ def test_shards_of_every_case(spark):
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
-def test_shards_equal_a_direct_tree(spark):
-    """The same tree from sorted rows in memory, cutting at the exact weighted point."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    keys = [r.asDict() for r in sharding.coordinates(docs).collect()]
-    whole = {d: max(r[d] for r in keys) - min(r[d] for r in keys) for d in sharding.DIMENSIONS}
-    bytes_ = {}
+def direct_tree(units, shards):
+    """Shard of each unit by the same tree over rows in memory, cut at the exact weighted point."""
+    def width(part, d):
+        return (max(r[d] for r in part) >> 31) - (min(r[d] for r in part) >> 31)
+
+    whole = {d: width(units, d) for d in sharding.DIMENSIONS}
+    shard_of = {}
 
     def cut(part, first, many):
-        if many == 1:
-            bytes_[first] = sum(r["size"] for r in part)
+        if many == 1 or not part:
+            shard_of.update((tuple(r[c] for c in sharding.UNIT), first) for r in part)
             return
-        wide = max(sharding.DIMENSIONS, key=lambda d: ((max(r[d] for r in part) - min(r[d] for r in part)) / whole[d], d < "k1"))
-        part = sorted(part, key=lambda r: r[wide])
-        goal, run, at = sum(r["size"] for r in part) * (many // 2) / many, 0, 0
-        while run + part[at]["size"] <= goal:
-            run += part[at]["size"]
-            at += 1
-        cut(part[:at], first, many // 2)
-        cut(part[at:], first + many // 2, many - many // 2)
-
-    cut(keys, 0, 24)
-    out = sharding.shard(docs).groupBy("shard").agg(F.sum("size").alias("b")).collect()
-    mean = sum(bytes_.values()) / 24
-    assert sorted(r["shard"] for r in out) == list(range(24))
-    assert all(abs(r["b"] - mean) < 0.1 * mean for r in out)
-    assert all(abs(b - mean) < 0.1 * mean for b in bytes_.values())
-
-
-def test_equal_texts_share_a_shard_unless_heavy(spark):
-    data = [(i, f"text number {i // 3} " * (1 + i // 3 % 7), None, None, 0) for i in range(600)]
-    out = sharding.shard(frame(spark, data), shards=6).collect()
-    shards = defaultdict(set)
+        widths = {d: width(part, d) / max(1, whole[d]) for d in sharding.DIMENSIONS}
+        wide = max(sharding.DIMENSIONS, key=lambda d: (widths[d], -sharding.DIMENSIONS.index(d)))
+        at, goal, run = defaultdict(int), sum(r["w"] for r in part) * (many // 2) / many, 0
+        for r in part:
+            at[r[wide]] += r["w"]
+        for key in sorted(at):
+            if run + at[key] > goal:
+                break
+            run += at[key]
+        left = key + (run + at[key] - goal < goal - run)
+        cut([r for r in part if r[wide] < left], first, many // 2)
+        cut([r for r in part if r[wide] >= left], first + many // 2, many - many // 2)
+
+    cut(units, 0, shards)
+    return shard_of
+
+
+@pytest.mark.parametrize("shards", [24, 7])
+def test_shards_equal_a_direct_tree(spark, shards):
+    """Row by row, on whole documents with copies, sources and languages."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows_ = sharding.in_pieces(sharding.documents(docs), shards).cache()
+    want = direct_tree([r.asDict() for r in sharding.units(rows_).collect()], shards)
+    by_id = {r["doc_id"]: want[tuple(r[c] for c in sharding.UNIT)] for r in rows_.collect()}
+    got = {r["doc_id"]: r["shard"] for r in sharding.shard(docs, shards=shards, tolerance=0).collect()}
+    assert got == by_id
+
+
+def test_shard_sizes_and_groups_on_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = sharding.shard(docs).collect()
+    size, groups, weight = defaultdict(int), defaultdict(set), defaultdict(int)
     for r in out:
+        size[r["shard"]] += r["size"]
+        groups[r["size"], r["text_crc32"]].add(r["shard"])
+        weight[r["size"], r["text_crc32"]] += r["size"]
+    mean = sum(size.values()) / 24
+    assert sorted(size) == list(range(24)) and all(abs(b - mean) < 0.1 * mean for b in size.values())
+    assert all(len(s) == 1 for g, s in groups.items() if weight[g] <= sharding.HEAVY * mean)
+
+
+def test_cuts_follow_source_and_language(spark):
+    """Texts of one size: the tree can cut by source and language only, and keeps them apart."""
+    data = [(i, f"text {i:05d}", "en" if i % 2 else "de", f"s{i // 2 % 2}", 0) for i in range(400)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n long")
+    out = {r["doc_id"]: r["shard"] for r in sharding.shard(df, shards=4, tolerance=0).collect()}
+    kinds = defaultdict(set)
+    for i, _, lang, source, _ in data:
+        kinds[lang, source].add(out[i])
+    assert all(len(s) == 1 for s in kinds.values()) and len(set.union(*kinds.values())) == 4
+
+
+def test_equal_texts_share_a_shard(spark):
+    """Whatever their sources and languages."""
+    data = [(i, f"text number {i // 3} " * (1 + i // 3 % 7), f"l{i % 2}", f"s{i % 5}", 0) for i in range(600)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n long")
+    shards = defaultdict(set)
+    for r in sharding.shard(df, shards=6).collect():
         shards[r["doc_id"] // 3].add(r["shard"])
-    assert sum(len(s) > 1 for s in shards.values()) <= 5        # at most one group at each of five cuts
+    assert all(len(s) == 1 for s in shards.values())
 
 
 def test_one_group_of_copies_is_cut_evenly(spark):
+    """It outweighs the shards, so it is cut by id; without ids it is one unit, numbered as a run."""
     data = [(i, "the same text", None, None, 0) for i in range(800)]
     out = sharding.shard(frame(spark, data), shards=8).groupBy("shard").count().collect()
     assert len(out) == 8 and all(70 <= r["count"] <= 130 for r in out)
+    alone = frame(spark, data).withColumn("doc_id", F.lit(None).cast("long"))
+    out = sharding.shard(alone, shards=8).collect()
+    assert len({r["shard"] for r in out}) == 1 and sorted(r["slot"] for r in out) == list(range(800))
     assert sharding.shard(frame(spark, [])).count() == 0
+
+
+def test_repeated_ids_and_runs_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 7)
+    data = [(i % 3, "copy" * (1 + i % 2), None, None, 0) for i in range(100)]
+    out = sharding.shard(frame(spark, data), shards=3).collect()
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r["slot"])
+    assert len(out) == 100 and all(sorted(v) == list(range(len(v))) for v in slots.values())
