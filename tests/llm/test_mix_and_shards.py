@@ -152,7 +152,7 @@ def test_cuts_follow_source_and_language(spark):
 
 def test_equal_texts_share_a_shard(spark):
     """Whatever their sources and languages."""
-    data = [(i, f"text number {i // 3} " * (1 + i // 3 % 7), f"l{i % 2}", f"s{i % 5}", 0) for i in range(600)]
+    data = [(i, f"text number {i // 3} " * (1 + i // 3 % 7), f"l{i % 2}", f"s{i % 5}", 0) for i in range(3000)]
     df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n long")
     shards = defaultdict(set)
     for r in sharding.shard(df, shards=6).collect():
