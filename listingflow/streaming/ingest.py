@@ -9,6 +9,9 @@ A batch whose files have columns that the schema lacks is not written: the schem
 stored, and the query starts again from the same checkpoint, which gives it the same files. So a
 column is never lost, whenever its file arrives; old files read the new columns as NULL. Lines that
 CSV or JSON cannot read go to the quarantine as they are, with the same stamps.
+
+Rows and unreadable lines per file come from the job that finds a batch's files for the look at their
+columns, and are logged under the batch's number.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from listingflow.functions.keys import ts_literal
 BAD_LINE = "_corrupt_record"        # Spark's name for the text of a line that could not be read
 STAMPS = StructType([StructField("bronze_ingested_at", TimestampType()), StructField("source_file_path", StringType()),
                      StructField("ingest_date", DateType()), StructField("ingest_batch", IntegerType())])
+LOG_SCHEMA = "source_file_path string, rows bigint, bad_lines bigint, ingest_batch int"
 
 
 def evolved_schema(spark: SparkSession, src, fmt: str = "parquet",
@@ -84,11 +88,17 @@ class SchemaGrew(RuntimeError):
 
 
 def _write_batches(spark: SparkSession, dst: str, fmt: str, schema: StructType, options: dict, grow: bool,
-                   quarantine: str | None, grown: list):
+                   quarantine: str | None, grown: list, log: str | None):
     """Function that writes one micro-batch under its number, good and bad rows apart."""
+    bad = F.col(BAD_LINE).isNotNull() if quarantine else F.lit(False)
+
     def write(batch: DataFrame, number: int) -> None:
+        counts = []
+        if grow or log:         # one row per file of the batch
+            per_file = batch.groupBy("source_file_path").agg(F.count_if(~bad).alias("rows"), F.count_if(bad).alias("bad_lines"))
+            counts = per_file.collect()
         if grow:
-            files = [r[0] for r in batch.select("source_file_path").distinct().collect()]
+            files = [r["source_file_path"] for r in counts]
             wider = evolved_schema(spark, files, fmt, schema, options) if files else schema
             if len(wider) > len(schema):
                 grown.append(wider)         # the error itself comes back as text only
@@ -96,12 +106,14 @@ def _write_batches(spark: SparkSession, dst: str, fmt: str, schema: StructType,
         batch = batch.withColumn("ingest_batch", F.lit(number).cast("int"))
         parts = [(batch, dst)]
         if quarantine:
-            bad = F.col(BAD_LINE).isNotNull()
             stamps = [f.name for f in STAMPS.fields]
             parts = [(batch.filter(~bad).drop(BAD_LINE), dst), (batch.filter(bad).select(BAD_LINE, *stamps), quarantine)]
         for rows, path in parts:
             (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("ingest_date", "ingest_batch").parquet(path))
+        if log:
+            (spark.createDataFrame([(*r, number) for r in counts], LOG_SCHEMA).coalesce(1).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch").parquet(log))
 
     return write
 
@@ -109,14 +121,14 @@ def _write_batches(spark: SparkSession, dst: str, fmt: str, schema: StructType,
 def ingest_stream(spark: SparkSession, src: str, dst: str, checkpoint: str, fmt: str = "parquet",
                   schema: StructType | None = None, options: dict | None = None,
                   schema_path: str | None = None, max_files_per_trigger: int | None = None,
-                  quarantine: str | None = None):
+                  quarantine: str | None = None, log: str | None = None):
     """Drain all new files of ``src`` into the parquet table ``dst`` and wait for the end.
 
     With ``schema_path`` the schema is remembered between runs and widened by new columns; a stored
     one is used as it is, so a run opens only the files that it takes in. With ``schema`` alone the
     schema is fixed. ``quarantine`` (CSV and JSON) is the table for lines that cannot be read; without
-    it they are rows of NULLs. Returns the finished ``StreamingQuery`` (its ``recentProgress`` holds
-    the row counts).
+    it they are rows of NULLs. ``log`` is the table of what each batch took from each file. Returns
+    the finished ``StreamingQuery`` (its ``recentProgress`` holds the row counts).
     """
     options = dict(options or {})
     stored = load_schema(spark, schema_path) if schema_path else None
@@ -141,11 +153,11 @@ def ingest_stream(spark: SparkSession, src: str, dst: str, checkpoint: str, fmt:
         # directory instead of opening every file footer of the table.
         writer = (stamp_ingest(reader.load(stream_path(spark, src))).writeStream.outputMode("append")
                   .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-        if not schema_path and not quarantine:
+        if not schema_path and not quarantine and not log:
             query = writer.format("parquet").partitionBy("ingest_date").start(dst)
         else:
             grown: list[StructType] = []
-            query = writer.foreachBatch(_write_batches(spark, dst, fmt, schema, options, grow, quarantine, grown)).start()
+            query = writer.foreachBatch(_write_batches(spark, dst, fmt, schema, options, grow, quarantine, grown, log)).start()
         try:
             query.awaitTermination()
         except Exception:
@@ -167,3 +179,9 @@ def read_ingested(spark: SparkSession, dst: str, schema_path: str) -> DataFrame
     names = {f.name for f in STAMPS.fields}
     whole = StructType([*[f for f in schema.fields if f.name not in names], *STAMPS.fields])
     return spark.read.schema(whole).parquet(dst).drop("ingest_batch")
+
+
+def read_log(spark: SparkSession, log: str, after: int | None = None) -> DataFrame:
+    """Rows and unreadable lines per file and batch; of the batches after ``after`` only, if given."""
+    rows = spark.read.schema(LOG_SCHEMA).parquet(log)
+    return rows if after is None else rows.filter(F.col("ingest_batch") > after)

@@ -108,3 +108,43 @@ def test_table_is_read_with_the_stored_schema(spark, tmp_root):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     with pytest.raises(ValueError):
         run(spark, tmp_root, quarantine=f"{tmp_root}/bad")
+
+
+def test_log_of_rows_and_bad_lines_per_file(spark, tmp_root, monkeypatch):
+    """Also after a crash between a batch's rows and its log: the batch runs again and is counted once."""
+    lines(f"{tmp_root}/in/a/1.json", '{"id": 1, "x": "a"}', '{"id": ', '{"id": 2, "x": "b"}')
+    lines(f"{tmp_root}/in/b/2.json", '{"id": 3, "x": "c"}')
+    options = dict(fmt="json", schema=SCHEMA, quarantine=f"{tmp_root}/bad", log=f"{tmp_root}/log")
+    original = DataFrameWriter.parquet
+
+    def parquet(writer, path, *args, **kwargs):
+        if path.endswith("/log"):
+            raise RuntimeError("crash")
+        original(writer, path, *args, **kwargs)
+
+    with monkeypatch.context() as m:
+        m.setattr(DataFrameWriter, "parquet", parquet)
+        with pytest.raises(Exception, match="crash"):
+            run(spark, tmp_root, **options)
+    run(spark, tmp_root, **options)
+    lines(f"{tmp_root}/in/c/3.json", '{"id": 4, "x": "d", "y": 1}', '{"id": ')
+    run(spark, tmp_root, **options)
+    log = [(r.source_file_path.rsplit("/", 1)[1], r.rows, r.bad_lines) for r in ingest.read_log(spark, f"{tmp_root}/log").collect()]
+    assert sorted(log) == [("1.json", 2, 1), ("2.json", 1, 0), ("3.json", 1, 1)]
+    assert [r.rows for r in ingest.read_log(spark, f"{tmp_root}/log", after=0).collect()] == [1]
+    assert [r[0] for r in table(spark, tmp_root)] == [1, 2, 3, 4]
+
+
+def test_bronze_control_row_counts_the_run(spark, tmp_root):
+    import datetime as dt
+
+    from listingflow.plans.lakehouse import RunConfig, ingest_step
+    from listingflow.sources.tables import TableStore
+    cfg = RunConfig(root=f"{tmp_root}/lake", as_of="2021-06-30", raw_dir=f"{tmp_root}/in/*", run_ts=dt.datetime(2030, 1, 1))
+    store, seen = TableStore(spark, cfg.root), []
+    for i, n in enumerate((3, 5, 0)):
+        if n:
+            spark.range(n).selectExpr("id", "'v' AS x").write.parquet(f"{tmp_root}/in/f{i}")
+        ingest_step(spark, cfg)
+        seen += [(r.last_mark, r.rows_merged) for r in store.read("control").filter("layer = 'bronze'").collect()]
+    assert seen == [("0", 3), ("1", 5), ("1", 5)]
