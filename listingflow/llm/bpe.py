@@ -4,7 +4,7 @@ For a byte string, exactly one token can be the last one of the correct encoding
 the longest token ``t`` ending there such that the last token of the prefix before it and ``t``
 may stand side by side (merging the bytes of the two gives the two back). Storing that token per
 prefix makes appends exact (only new prefixes are computed) and lets an edit re-encode from the
-edited byte on. The text is first cut by the vocabulary's pattern; pieces are independent.
+edited byte on, up to where the table agrees with the old one again. The text is first cut by the vocabulary's pattern; pieces are independent.
 
 Defined results: null or empty text has no tokens (digest of zero bytes); copies and ties need no
 rule since each document is encoded alone; an empty table gives an empty table; other columns of
@@ -109,24 +109,41 @@ class PrefixEncoder:
         self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
         self.append(data)
 
-    def append(self, more: bytes) -> None:
-        """Add bytes; the stored prefixes stay valid."""
+    def append(self, more: bytes) -> int:
+        """Add bytes; the stored prefixes stay valid. Returns the number of prefixes computed."""
+        self.data += more
+        return self._complete()
+
+    def edit(self, at: int, removed: int, added: bytes) -> int:
+        """Replace ``removed`` bytes at ``at`` by ``added``. Prefixes before ``at`` are reused, and so
+        are those after the place from which the table agrees with the old one. Returns the number
+        of prefixes computed."""
+        removed = min(removed, len(self.data) - at)
+        old, rest = self.last, self.data[at + removed:]
+        self.data, self.last = self.data[:at], old[:at + 1]
+        computed = self.append(added)
+        self.data += rest
+        return computed + self._complete(old, len(added) - removed)
+
+    def _complete(self, old: list[int] | None = None, shift: int = 0) -> int:
+        """Compute the missing prefixes. A prefix depends on as many places as the longest token has
+        bytes: once these all agree with ``old``, ``shift`` places before, so does all that follows."""
         v = self.vocabulary
-        start, self.data = len(self.data), self.data + more
         data, last, ranks, fits = self.data, self.last, v.ranks, v.side_by_side
-        for end in range(start + 1, len(data) + 1):
+        first = len(last)
+        same = int(old is not None and last[-1] == old[first - 1 - shift])
+        for end in range(first, len(data) + 1):
             for at in range(max(0, end - v.longest), end):
                 token = ranks.get(data[at:end])
                 if token is not None and (fits(last[at], token) if at else v.parts(token)):
                     last.append(token)
                     break
-
-    def edit(self, at: int, removed: int, added: bytes) -> None:
-        """Replace ``removed`` bytes at ``at`` by ``added``; prefixes before ``at`` are reused."""
-        rest = self.data[at + removed:]
-        self.data = self.data[:at]
-        del self.last[at + 1:]
-        self.append(added + rest)
+            if old is not None:
+                same = same + 1 if token == old[end - shift] else 0
+                if same >= v.longest:
+                    last += old[end - shift + 1:]
+                    return end + 1 - first
+        return len(data) + 1 - first
 
     def ids(self) -> list[int]:
         out, end = [], len(self.data)

@@ -64,6 +64,24 @@ def test_appends_and_edits_equal_a_new_encoding():
         assert encoder.ids() == bpe.PrefixEncoder(v, data[:at] + more + data[at + 2:]).ids()
 
 
+def test_an_edit_computes_near_places_only():
+    v = bpe.codec(PATH, public_tokenizers.PATTERN).vocabulary
+    rng = random.Random(5)
+    data = bytes(rng.choice(b"abetion st") for _ in range(4000))
+    encoder = bpe.PrefixEncoder(v, data)
+    for _ in range(40):
+        at, removed = rng.randrange(len(data)), rng.randrange(4)
+        more = bytes(rng.choice(b"abetion st") for _ in range(rng.randrange(4)))
+        computed = encoder.edit(at, removed, more)
+        data = data[:at] + more + data[at + removed:]
+        assert encoder.data == data and encoder.ids() == bpe.PrefixEncoder(v, data).ids()
+        assert computed <= len(more) + 3 * v.longest
+    # Bytes that never agree again are all computed: what a run of one letter splits into moves on.
+    run = bpe.PrefixEncoder(v, b"x" * 1500)
+    run.edit(0, 0, b"x")
+    assert run.ids() == bpe.PrefixEncoder(v, b"x" * 1501).ids()
+
+
 def test_vocabulary_without_all_bytes_is_refused():
     with pytest.raises(ValueError):
         bpe.Vocabulary({b"a": 0})
