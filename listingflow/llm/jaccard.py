@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.llm.common import Stages
+from listingflow.llm.common import Stages, small
 from listingflow.llm.components import components
 from listingflow.llm.symbols import U, joined_bytes, mix, prefix_sums, turns, window_hash, word_hashes, word_places
 from listingflow.session import stage
@@ -74,7 +74,7 @@ def _scan(batches, gram, percent):
     same = [(n, pa.int64()) for n in ("row", "id", "k1", "k2")]
     schema = pa.schema([*same, ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
                         ("prefix", pa.list_(pa.int64())), ("bits", pa.binary())])
-    for batch in batches:
+    for batch in small(batches):
         sets = shingle_sets(batch.column("text").to_pylist(), gram)
         out = {n: [] for n in schema.names} | {n: batch.column(n) for n, _ in same}
         for s in sets:
@@ -98,7 +98,7 @@ def _sets(batches, gram):
     elements, cut at the borders of equal ranges of hash values."""
     schema = pa.schema([("family", pa.int64()), ("slice", pa.int32()), ("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
                         ("na", pa.int64()), ("nb", pa.int64()), ("elements", pa.binary())])
-    for batch in batches:
+    for batch in small(batches):
         families, slices, a, texts = (batch.column(c).to_pylist() for c in ("family", "slices", "a", "text"))
         for i, j in turns(texts):
             out = []

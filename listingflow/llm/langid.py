@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from listingflow.llm.common import arrow_rows
+from listingflow.llm.common import arrow_rows, small
 
 UNKNOWN = "und"
 DIMENSIONS = 1024
@@ -105,7 +105,7 @@ def train(labelled: DataFrame, *, dimensions: int = DIMENSIONS) -> dict[str, lis
 
     def run(batches):
         p, totals = _profiles(dimensions), {}
-        for batch in batches:
+        for batch in small(batches):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 grams, counts = p.ngrams(text)
                 if len(grams):
@@ -159,7 +159,7 @@ def with_language(docs: DataFrame, languages: dict[str, list[float]], *, text_co
     told = _told(languages, dimensions)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(columns.index(text_col)).to_pylist()
             yield batch.filter(pa.array([told(t)[0] != UNKNOWN for t in texts], pa.bool_()))
 
