@@ -23,6 +23,7 @@ that it is linked with, or none; ties need no rule; an empty table gives an empt
 
 from __future__ import annotations
 
+import math
 from functools import partial
 
 import numpy as np
@@ -70,6 +71,13 @@ def least_overlap(a, b, percent: int = PERCENT):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def size_class(n, percent: int = PERCENT):
+    """The class of a set's size: sizes that can link lie in one class or in two neighbouring ones."""
+    if percent >= 100:
+        return n
+    return F.floor(F.log(n) / (math.log(100 / percent) * (1 + 1e-9)))   # a little wide, for rounding
+
+
 def _scan(batches, gram, percent):
     same = [(n, pa.int64()) for n in ("row", "id", "k1", "k2")]
     schema = pa.schema([*same, ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
@@ -259,18 +267,23 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
     key = ["n", "f1", "f2"]
     some = scanned.filter("n > 0").select("row", "id", *key)
     reps = stages.write(some.groupBy(*key).agg(F.min("row").alias("rep"), F.min("id").alias("least")), "set-reps")
-    others = some.join(reps, F.col("row") == F.col("rep"), "left_anti").select(F.col("row").alias("rep"))
-    one = stages.write(scanned.filter("n > 0").withColumnRenamed("row", "rep").join(others, "rep", "left_anti")
-                       .select("rep", "id", "k1", "k2", "n", "prefix", "bits"), "set-firsts")
+    # Written, as its size then shows: the wide rows are shuffled only where many sets have copies.
+    others = stages.write(some.join(reps, F.col("row") == F.col("rep"), "left_anti").select(F.col("row").alias("rep")), "set-others")
+    firsts = scanned.filter("n > 0").withColumnRenamed("row", "rep").join(others, "rep", "left_anti")
+    prefixes = stages.write(firsts.select("rep", "n", "prefix"), "set-prefixes")
+    one = stages.write(firsts.select("rep", "id", "k1", "k2", "n", "bits"), "set-firsts")
     ids = stages.write(scanned.select("id", *key), "set-ids")
-    stages.drop("sets")
+    stages.drop("sets", "set-others")
     texts, known = texts.filter("text is not null"), one.select("rep", "n", "id", "k1", "k2")
     # The first set of each element that several sets have, then its members: partial sums and a
     # join that Spark can split, so an element that a third of all sets have is not one task.
-    tokens = one.select(F.explode("prefix").alias("token"), "rep", "n")
-    leads = stages.write(tokens.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("lead"), F.count("*").alias("members"))
-                         .filter("members > 1").select("token", F.col("lead.rep").alias("lead"), F.col("lead.n").alias("lead_n")), "set-leads")
+    tokens = prefixes.select(F.explode("prefix").alias("token"), "rep", "n")
+    leads = stages.write(tokens.groupBy("token").agg(F.min("rep").alias("lead"), F.min_by("n", "rep").alias("lead_n"),
+                                                     F.count("*").alias("members"))
+                         .filter("members > 1").select("token", "lead", "lead_n"), "set-leads")
+    stages.drop()
     met = stages.write(tokens.join(leads, "token"), "set-groups")
+    stages.drop("set-prefixes")
     # Each set is first compared with one set: the lead that it shares the most of its first
     # elements with, if that is half of them at least (fewer are left to the trees).
     near = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
@@ -289,10 +302,19 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
     placed = stages.write(met.select("token", "rep", "n").join(label, F.col("rep") == F.col("id"), "left")
                           .select("token", "rep", "n", F.coalesce("label", "rep").alias("component")), "set-placed")
     stages.drop("set-groups")
-    mixed = (placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
-                                         F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-             .filter("c1 != c2").select("token", "tiles"))
-    members = placed.join(mixed, "token").join(one.select("rep", "bits"), "rep")
+    # Only sets of one size class or of neighbouring ones can link, so a set goes to a tree only if those
+    # classes of the element hold several components. A token's classes are few (a logarithm of the sizes).
+    placed = placed.withColumn("class", size_class(F.col("n"), percent))
+    mixed = (placed.groupBy("token", "class").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("members"))
+             .groupBy("token").agg(F.min("c1").alias("c1"), F.max("c2").alias("c2"), F.ceil(F.sum("members") / TILE).cast("int").alias("tiles"),
+                                   F.collect_list(F.struct("class", "c1", "c2")).alias("classes"))
+             .filter("c1 != c2")
+             .select("token", "tiles", F.explode(F.expr(
+                 "filter(classes, x -> exists(classes, y -> abs(y.class - x.class) <= 1 and (y.c1 != x.c1 or y.c2 != x.c1)))")).alias("x"))
+             .select("token", "tiles", F.col("x.class").alias("class")))
+    members = stages.write(placed.join(mixed, ["token", "class"]).select("token", "rep", "n", "component", "tiles"), "set-members")
+    stages.drop("set-placed")
+    members = members.join(one.select("rep", "bits"), "rep")
     tile = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
     members = (members.withColumn("t", tile).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
                .select("token", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "rep", "component",
@@ -300,7 +322,7 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
                        (F.col("t") <= F.col("o")).alias("left"), (F.col("t") >= F.col("o")).alias("right")))
     pairs = stages.write(members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
                          .mapInArrow(partial(_tree_pairs, percent=percent), "a long, b long").distinct(), "set-pairs")
-    stages.drop("set-placed")
+    stages.drop("set-members")
     families = stages.write(components(pairs).select(F.col("id").alias("rep"), F.col("component").alias("family")), "set-parts")
     pairs = pairs.join(families, F.col("a") == F.col("rep")).select("a", "b", "family")
     more = stages.write(linked_pairs(pairs, families.join(known, "rep"), texts, gram, percent), "set-more")

@@ -6,7 +6,10 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from listingflow.llm import jaccard
+from listingflow.llm.common import Stages
 from listingflow.llm.components import components
 from llm_rows import frame, prose, rows, table
 
@@ -146,3 +149,38 @@ def test_components_of_paths_stars_and_random_links(spark):
             parent[max(x, y)] = min(x, y)
     assert got == {x: root(x) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85, 97, 100])
+def test_size_classes_keep_sizes_that_can_link_together(spark, percent):
+    n = np.arange(1, 4000)
+    top = n * 100 // percent            # the largest size that n can link with
+    pairs = spark.createDataFrame([(int(a), int(b)) for a, b in zip(n, top, strict=True)], "a long, b long")
+    one, two = (jaccard.size_class(F.col(c), percent) for c in "ab")
+    apart = pairs.select((two - one).alias("d")).distinct().collect()
+    if percent < 100:
+        assert {r.d for r in apart} <= {0, 1}
+    else:
+        assert {r.d for r in apart} == {0}
+
+
+def test_sets_at_the_border_of_their_classes_link(spark):
+    words = [f"v{k}" for k in range(1300)]
+    data = [(k + 1, " ".join(words[:size + 3]), None, None, 0)      # nested sets of these sizes
+            for k, size in enumerate([17, 20, 34, 40, 85, 100, 170, 200, 850, 1000, 1176])]
+    assert table(jaccard.jaccard_groups(frame(spark, data, clash=True)), "doc_id") == expected(data)
+
+
+def test_no_bitmap_is_sent_for_sets_of_sizes_that_cannot_link(spark, monkeypatch):
+    rows_of, write = {}, Stages.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        rows_of[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Stages, "write", counted)
+    words = [f"v{k}" for k in range(500)]
+    data = [(k + 1, " ".join(words[:size]), None, None, 0) for k, size in enumerate([30, 60, 120, 240, 480])]
+    assert table(jaccard.jaccard_groups(frame(spark, data)), "doc_id") == expected(data)
+    assert rows_of["set-groups"] > 0 and rows_of["set-members"] == 0
