@@ -1,10 +1,13 @@
 """N-gram Jaccard join by signature trees.
 
 Documents are sets of word n-grams; two link when their sets' Jaccard similarity reaches the
-threshold. Equal sets are one set here. Any two linked sets share one of each set's first few
-elements in a common (hash) order, so sets meet in groups by such an element. Most links are found
-by comparing each set with the first of a group, the one that it shares the most elements with;
-what is linked that way is not compared again. Groups that still hold several components are joined by
+threshold. Equal sets are one set here. Any two linked sets share several of each set's first
+elements in a common (hash) order (``least_shared``), so sets meet in groups by such an element. A set
+that shares fewer of its first elements with any others at all links with nothing and goes, so sets that
+only have some common n-grams make no pairs. Most links are found by comparing each set with the first
+of a group, the one that it shares the most elements with; what is linked that way is not compared
+again. Then each set stays in the groups of its rarest elements alone, and pairs count in how many groups
+they meet (``least_meetings``). Small groups give their pairs as they are, large ones are joined by
 signature trees: leaves of sets of like size, inner nodes with the OR of their token bitmaps and
 their size range. Two trees are walked together; a pair of nodes is dropped when the sizes are too
 far apart or the common bits allow too small an overlap.
@@ -28,7 +31,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingflow.llm.common import Stages, small
@@ -40,7 +43,11 @@ GRAM, PERCENT = 4, 85   # of op10
 BITS = 2048             # of a set's bitmap
 TILE = 4096             # sets of a group that are joined in one task
 ELEMENTS = 16_000_000   # that one task holds when it compares pairs of a family (8 bytes each)
+SMALL = 8               # sets of a group whose pairs are taken without trees
 LEAF, FAN = 16, 8       # sets of a leaf, children of an inner node
+PAIRS = 10_000          # candidate pairs of a batch, at least
+NODES = 1 << 18         # pairs of nodes that a walk holds at once
+SHARE = 8               # of the elements that linked sets have in common, one in so many is looked for
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32      # A-Z
@@ -71,6 +78,26 @@ def least_overlap(a, b, percent: int = PERCENT):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def least_shared(n, percent: int = PERCENT):
+    """How many of a set's first ``prefix_size`` elements any set that it links with has among its own.
+
+    With h = ceil(percent * n / 100), a prefix leaves out h - k elements, which does not fall with n. Of two
+    linked sets, take the one whose prefix ends first: of the h or more common elements of the larger
+    set, at most its h - k lie behind that end, so k of them are in both prefixes (k: of the larger set).
+    """
+    return 1 + -(-percent * n // 100) // SHARE
+
+
+def least_meetings(n, percent: int = PERCENT):
+    """In how many groups linked sets (n: of the larger one) meet, when each stays in those of its rarest
+    elements and leaves ``least_shared - least_meetings`` of the most frequent ones, which does not fall with n."""
+    return 1 + (least_shared(n, percent) - 1) // 2
+
+
+def prefix_size(n, percent: int = PERCENT):
+    return n - -(-percent * n // 100) + least_shared(n, percent)
+
+
 def size_class(n, percent: int = PERCENT):
     """The class of a set's size: sizes that can link lie in one class or in two neighbouring ones."""
     if percent >= 100:
@@ -90,7 +117,7 @@ def _scan(batches, gram, percent):
             out["n"].append(n)
             for name, salt in (("f1", 1), ("f2", 2)):
                 out[name].append(int(np.add.reduce(mix(s + U(salt)), dtype=U).view(np.int64)) if n else 0)
-            out["prefix"].append(s[:n - (-(-percent * n // 100)) + 1].view(np.int64) if n else [])
+            out["prefix"].append(s[:prefix_size(n, percent)].view(np.int64) if n else [])
             out["bits"].append(bitmap(s))
         yield pa.RecordBatch.from_pydict(out, schema=schema)
 
@@ -168,16 +195,15 @@ class SignatureTree:
         ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         # Elements that share a bit with another of their set: common bits can hide so many more.
         self.levels = [(bits, sizes, sizes, sizes - ones)]
-        fan = LEAF
         while len(self.levels[-1][1]) > 1:
             b, low, high, hidden = self.levels[-1]
-            at = np.arange(0, len(low), fan)
+            at = np.arange(0, len(low), fan(len(self.levels)))
             self.levels.append((np.bitwise_or.reduceat(b, at, axis=0), np.minimum.reduceat(low, at),
                                 np.maximum.reduceat(high, at), np.maximum.reduceat(hidden, at)))
-            fan = FAN
 
-    def fan(self, level: int) -> int:
-        return LEAF if level == 1 else FAN
+
+def fan(level: int) -> int:
+    return LEAF if level == 1 else FAN
 
 
 def join_trees(one: SignatureTree, two: SignatureTree, percent: int = PERCENT):
@@ -204,25 +230,29 @@ def join_trees(one: SignatureTree, two: SignatureTree, percent: int = PERCENT):
         if level == 0:
             yield p, q
             continue
+        if len(p) > NODES // fan(level) ** 2:   # their children are too many at once
+            step = NODES // fan(level) ** 2
+            stack += [(level, p[k:k + step], q[k:k + step]) for k in range(0, len(p), step)]
+            continue
         p, q = _children(one, level, p, q)
         q, p = _children(two, level, q, p)
-        for k in range(0, len(p), 1 << 18):
-            stack.append((level - 1, p[k:k + (1 << 18)], q[k:k + (1 << 18)]))
+        stack.append((level - 1, p, q))
 
 
 def _children(tree: SignatureTree, level: int, nodes: np.ndarray, others: np.ndarray):
     if level >= len(tree.levels):       # the other tree is higher
         return nodes, others
-    fan, below = tree.fan(level), len(tree.levels[level - 1][1])
-    first = nodes * fan
-    count = np.minimum(first + fan, below) - first
+    below = len(tree.levels[level - 1][1])
+    first = nodes * fan(level)
+    count = np.minimum(first + fan(level), below) - first
     which = np.repeat(np.arange(len(nodes)), count)
     return np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + first[which], others[which]
 
 
 def _tree_pairs(batches, percent):
-    """Rows sorted by (token, i, j): candidate pairs of sets in different components."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Rows sorted by (token, i, j): candidate pairs of sets in different components, and in how many
+    groups they meet at least if they are linked."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("least", pa.int64())])
 
     def pairs(rows):
         rows.sort(key=lambda r: r[5])
@@ -230,28 +260,44 @@ def _tree_pairs(batches, percent):
         whole = rows[0][1] == rows[0][2]
         if not all(side):
             return
-        made = []
-        for part in side[:1] if whole else side:
-            bits = np.frombuffer(b"".join(r[6] for r in part), np.uint64).reshape(len(part), -1)
-            made.append((SignatureTree(np.array([r[5] for r in part]), bits),
-                         np.array([r[3] for r in part]), np.array([r[4] for r in part])))
-        (t1, rep1, comp1), (t2, rep2, comp2) = made[0], made[-1]
-        for p, q in join_trees(t1, t2, percent):
+        sides = [tuple(np.array([r[c] for r in part]) for c in (3, 4, 5)) for part in (side[:1] if whole else side)]
+        (rep1, comp1, n1), (rep2, comp2, n2) = sides[0], sides[-1]
+        if rows[0][6] is None:
+            p, q = (x.ravel() for x in np.indices((len(rep1), len(rep2))))
+            fits = 100 * np.minimum(n1[p], n2[q]) >= percent * np.maximum(n1[p], n2[q])
+            met = [(p[fits], q[fits])]
+        else:
+            trees = [SignatureTree(n, np.frombuffer(b"".join(r[6] for r in part), np.uint64).reshape(len(part), -1))
+                     for (_, _, n), part in zip(sides, side, strict=False)]
+            met = join_trees(trees[0], trees[-1], percent)
+        for p, q in met:
             fine = (comp1[p] != comp2[q]) & ((rep1[p] < rep2[q]) if whole else (rep1[p] != rep2[q]))
-            a, b = rep1[p[fine]], rep2[q[fine]]
+            a, b, n = rep1[p[fine]], rep2[q[fine]], np.maximum(n1[p[fine]], n2[q[fine]])
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
+                yield np.minimum(a, b), np.maximum(a, b), least_meetings(n, percent)
 
     names = ("token", "i", "j", "rep", "component", "n", "bits", "left", "right")
-    held = []
-    for batch in batches:
-        for row in zip(*[batch.column(n).to_pylist() for n in names], strict=True):
-            if held and held[-1][:3] != row[:3]:
-                yield from pairs(held)
-                held = []
-            held.append(row)
-    if held:
-        yield from pairs(held)
+    def groups():
+        held = []
+        for batch in batches:
+            for row in zip(*[batch.column(n).to_pylist() for n in names], strict=True):
+                if held and held[-1][:3] != row[:3]:
+                    yield held
+                    held = []
+                held.append(row)
+        if held:
+            yield held
+
+    out, rows = [], 0
+    for group in groups():
+        for part in pairs(group):
+            out.append(part)
+            rows += len(part[0])
+            if rows >= PAIRS:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], schema=schema)
+                out, rows = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], schema=schema)
 
 
 def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT, id_col: str = "doc_id",
@@ -275,20 +321,27 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
     ids = stages.write(scanned.select("id", *key), "set-ids")
     stages.drop("sets", "set-others")
     texts, known = texts.filter("text is not null"), one.select("rep", "n", "id", "k1", "k2")
-    # The first set of each element that several sets have, then its members: partial sums and a
-    # join that Spark can split, so an element that a third of all sets have is not one task.
-    tokens = prefixes.select(F.explode("prefix").alias("token"), "rep", "n")
-    leads = stages.write(tokens.groupBy("token").agg(F.min("rep").alias("lead"), F.min_by("n", "rep").alias("lead_n"),
-                                                     F.count("*").alias("members"))
-                         .filter("members > 1").select("token", "lead", "lead_n"), "set-leads")
+    # The elements that several sets have, then their sets: partial sums and a join that Spark can
+    # split, so an element that a third of all sets have is not one task.
+    tokens = prefixes.select(F.explode("prefix").alias("token"), "rep")
+    common = stages.write(tokens.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1").select("token"), "set-common")
     stages.drop()
-    met = stages.write(tokens.join(leads, "token"), "set-groups")
-    stages.drop("set-prefixes")
+    shared = stages.write(tokens.join(common, "token"), "set-shared")
+    stages.drop("set-prefixes", "set-common")
+    # Sets that share enough, and the first set of each element that several of those have.
+    least = F.expr(f"1 + ceil({percent} * n / 100) div {SHARE}")     # least_shared, as a column
+    able = shared.groupBy("rep").agg(F.count("*").alias("met")).join(one.select("rep", "n"), "rep").filter(F.col("met") >= least).drop("met")
+    alive = stages.write(shared.join(able, "rep"), "set-alive")
+    stages.drop("set-shared")
+    leads = stages.write(alive.groupBy("token").agg(F.min("rep").alias("lead"), F.min_by("n", "rep").alias("lead_n"),
+                                                    F.count("*").alias("members")).filter("members > 1"), "set-leads")
+    met = stages.write(alive.join(leads, "token"), "set-groups")
+    stages.drop("set-alive")
     # Each set is first compared with one set: the lead that it shares the most of its first
     # elements with, if that is half of them at least (fewer are left to the trees).
     near = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
     star = (met.filter((F.col("rep") != F.col("lead")) & near).groupBy("rep", "n", "lead").agg(F.count("*").alias("shared"))
-            .filter(2 * F.col("shared") >= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
+            .filter(2 * F.col("shared") >= F.col("n") - F.ceil(percent * F.col("n") / 100) + least)
             .groupBy(F.col("rep").alias("b")).agg(F.max(F.struct("shared", (-F.col("lead")).alias("minus"))).alias("best"))
             .select((-F.col("best.minus")).alias("a"), "b", (-F.col("best.minus")).alias("family")))
     star = stages.write(star, "set-stars")
@@ -299,29 +352,35 @@ def jaccard_groups(docs: DataFrame, *, gram: int = GRAM, percent: int = PERCENT,
     first, second = (links.select(F.col("b").alias(f"{c}_from"), F.col("a").alias(f"{c}_to")) for c in ("one", "two"))
     label = (first.join(second, F.col("one_to") == F.col("two_from"), "left")
              .select(F.col("one_from").alias("id"), F.coalesce("two_to", "one_to").alias("label")))
-    placed = stages.write(met.select("token", "rep", "n").join(label, F.col("rep") == F.col("id"), "left")
+    of_rep = Window.partitionBy("rep")
+    kept = (met.withColumns({"at": F.row_number().over(of_rep.orderBy("members", "token")), "met": F.count("*").over(of_rep)})
+            .filter(F.col("at") <= F.col("met") - least + F.expr(f"1 + ceil({percent} * n / 100) div {SHARE} div 2")))
+    placed = stages.write(kept.select("token", "rep", "n").join(label, F.col("rep") == F.col("id"), "left")
                           .select("token", "rep", "n", F.coalesce("label", "rep").alias("component")), "set-placed")
     stages.drop("set-groups")
     # Only sets of one size class or of neighbouring ones can link, so a set goes to a tree only if those
     # classes of the element hold several components. A token's classes are few (a logarithm of the sizes).
     placed = placed.withColumn("class", size_class(F.col("n"), percent))
     mixed = (placed.groupBy("token", "class").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("members"))
-             .groupBy("token").agg(F.min("c1").alias("c1"), F.max("c2").alias("c2"), F.ceil(F.sum("members") / TILE).cast("int").alias("tiles"),
+             .groupBy("token").agg(F.min("c1").alias("c1"), F.max("c2").alias("c2"), F.sum("members").alias("size"),
                                    F.collect_list(F.struct("class", "c1", "c2")).alias("classes"))
              .filter("c1 != c2")
-             .select("token", "tiles", F.explode(F.expr(
+             .select("token", "size", F.explode(F.expr(
                  "filter(classes, x -> exists(classes, y -> abs(y.class - x.class) <= 1 and (y.c1 != x.c1 or y.c2 != x.c1)))")).alias("x"))
-             .select("token", "tiles", F.col("x.class").alias("class")))
-    members = stages.write(placed.join(mixed, ["token", "class"]).select("token", "rep", "n", "component", "tiles"), "set-members")
+             .select("token", "size", F.col("x.class").alias("class")))
+    members = stages.write(placed.join(mixed, ["token", "class"]).select("token", "rep", "n", "component", "size"), "set-members")
     stages.drop("set-placed")
-    members = members.join(one.select("rep", "bits"), "rep")
-    tile = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
-    members = (members.withColumn("t", tile).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    big = F.col("size") > SMALL
+    members = (members.filter(big).join(one.select("rep", "bits"), "rep")
+               .unionByName(members.filter(~big).withColumn("bits", F.lit(None).cast("binary"))))
+    members = (members.withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
+               .withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
                .select("token", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "rep", "component",
                        F.col("n").cast("long").alias("n"), "bits",
                        (F.col("t") <= F.col("o")).alias("left"), (F.col("t") >= F.col("o")).alias("right")))
     pairs = stages.write(members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-                         .mapInArrow(partial(_tree_pairs, percent=percent), "a long, b long").distinct(), "set-pairs")
+                         .mapInArrow(partial(_tree_pairs, percent=percent), "a long, b long, least long")
+                         .groupBy("a", "b", "least").agg(F.count("*").alias("times")).filter("times >= least").select("a", "b"), "set-pairs")
     stages.drop("set-members")
     families = stages.write(components(pairs).select(F.col("id").alias("rep"), F.col("component").alias("family")), "set-parts")
     pairs = pairs.join(families, F.col("a") == F.col("rep")).select("a", "b", "family")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -184,3 +185,48 @@ def test_no_bitmap_is_sent_for_sets_of_sizes_that_cannot_link(spark, monkeypatch
     data = [(k + 1, " ".join(words[:size]), None, None, 0) for k, size in enumerate([30, 60, 120, 240, 480])]
     assert table(jaccard.jaccard_groups(frame(spark, data)), "doc_id") == expected(data)
     assert rows_of["set-groups"] > 0 and rows_of["set-members"] == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85, 97, 100])
+def test_linked_sets_share_as_many_first_elements(percent):
+    rng = np.random.default_rng(percent)
+    n = np.arange(1, 5000)
+    h, k, j = -(-percent * n // 100), jaccard.least_shared(n, percent), jaccard.least_meetings(n, percent)
+    assert (np.diff(h - k) >= 0).all() and (np.diff(k - j) >= 0).all() and (1 <= j).all() and (j <= k).all() and (k <= h).all()
+    for _ in range(400):
+        whole = np.unique(rng.integers(0, 10 ** 6, rng.integers(1, 200)))
+        gone = len(whole) * (100 - percent) // 100      # elements that one of both sets lacks
+        at = np.arange(gone) if rng.random() < 0.5 else rng.permutation(len(whole))[:gone]
+        side = rng.random(gone) < rng.random()
+        a, b = np.delete(whole, at[side]), np.delete(whole, at[~side])
+        most = max(len(a), len(b))
+        first = [s[:jaccard.prefix_size(len(s), percent)] for s in (a, b)]
+        assert len(np.intersect1d(*first)) >= jaccard.least_shared(most, percent)
+
+
+def test_long_texts_with_one_passage_in_common_make_no_pairs(spark, monkeypatch):
+    rows_of, write = {}, Stages.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        rows_of[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Stages, "write", counted)
+    rng = random.Random(4)
+    passage = " ".join(f"p{k}" for k in range(100))
+    data = [(k, " ".join([*(f"w{rng.randrange(10**9)}" for _ in range(4000)), passage]), None, None, 0) for k in range(12)]
+    got = table(jaccard.jaccard_groups(frame(spark, data)), "doc_id")
+    assert {i: c for i, (_, c) in got.items()} == {k: k for k in range(12)}
+    assert rows_of["set-pairs"] == 0
+
+
+def test_a_walk_of_full_bitmaps_holds_few_pairs():
+    n = 2048
+    tree = jaccard.SignatureTree(np.full(n, 5000), np.full((n, jaccard.BITS // 64), ~np.uint64(0)))
+    tracemalloc.start()
+    found = sum(len(p) for p, _ in jaccard.join_trees(tree, tree))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == n * n
+    assert peak < 64 * 2 ** 20
