@@ -43,6 +43,7 @@ GRAM, PERCENT = 4, 85   # of op10
 BITS = 2048             # of a set's bitmap
 TILE = 4096             # sets of a group that are joined in one task
 ELEMENTS = 16_000_000   # that one task holds when it compares pairs of a family (8 bytes each)
+PLACES = 1 << 25        # bits that tell which texts are needed (4 MB, however many texts there are)
 SMALL = 8               # sets of a group whose pairs are taken without trees
 LEAF, FAN = 16, 8       # sets of a leaf, children of an inner node
 PAIRS = 10_000          # candidate pairs of a batch, at least
@@ -167,6 +168,19 @@ def _compare(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
 
+def needed(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose ``k1`` may be among those of ``keys``, told by one bit each: most of the
+    texts that are not needed are not shuffled."""
+    place = F.pmod("k1", F.lit(PLACES))
+    marks = (keys.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("__bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("__marks")))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("__marks", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1
+    return (texts.join(F.broadcast(marks), F.bitmap_bucket_number(place) == F.col("__bucket")).filter(marked)
+            .select(*texts.columns))
+
+
 def linked_pairs(pairs: DataFrame, families: DataFrame, texts: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold. ``families``: rep, family, n, id, k1, k2, with
     both sets of every pair in its ``family``; ``texts``: text with the id and the content hashes by
@@ -178,7 +192,7 @@ def linked_pairs(pairs: DataFrame, families: DataFrame, texts: DataFrame, gram:
     met = (pairs.join(one, ["family", "a"]).join(two, ["family", "b"])
            .select("family", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("kind"), "a", "b",
                    "na", "nb", F.lit(None).cast("binary").alias("elements")))
-    held = (texts.join(placed.withColumnRenamed("id", "__id"), ["k1", "k2"]).filter(F.col("id").eqNullSafe(F.col("__id")))
+    held = (needed(texts, placed).join(placed.withColumnRenamed("id", "__id"), ["k1", "k2"]).filter(F.col("id").eqNullSafe(F.col("__id")))
             .select("family", "slices", F.col("rep").alias("a"), "text")
             .mapInArrow(partial(_sets, gram=gram), "family long, slice int, kind int, a long, b long, na long, nb long, elements binary"))
     common = (held.unionByName(met).repartition("family", "slice").sortWithinPartitions("family", "slice", "kind")

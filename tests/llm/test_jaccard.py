@@ -230,3 +230,11 @@ def test_a_walk_of_full_bitmaps_holds_few_pairs():
     tracemalloc.stop()
     assert found == n * n
     assert peak < 64 * 2 ** 20
+
+
+def test_few_texts_are_taken_that_are_not_needed(spark):
+    texts = spark.range(3000).select(F.xxhash64("id").alias("k1"), "id")
+    wanted = texts.filter("id % 30 = 0")
+    ids = {r.id for r in jaccard.needed(texts, wanted).collect()}
+    assert ids >= set(range(0, 3000, 30)) and len(ids) <= 105
+    assert jaccard.needed(texts, wanted.filter("false")).count() == 0
