@@ -64,6 +64,7 @@ def test_pick_is_one_pass_and_keeps_rows_without_key(spark, tmp_root):
     got = newest_versions(spark.read.parquet(f"{tmp_root}/t"), narrow=True)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Partial" in plan and "WindowGroupLimit" in plan
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 2        # the second is the partial limit's
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(
         [("A", day[2], 2, False), ("B", day[0], 1, False), ("C", None, None, False), (" nan ", day[0], 1, True), (" nan ", day[2], 1, True),
          (None, day[0], 1, True), (None, day[0], 1, True), (None, None, None, True), ("  ", day[0], 5, True)], key=repr)
