@@ -20,6 +20,13 @@ def spark():
     yield session
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_cached(spark):
+    """What a module caches must not show in the plans of the next."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp_root(tmp_path):
     return str(tmp_path)

@@ -24,22 +24,21 @@ def test_first_write_of_a_table_is_not_copied(spark, tmp_root, monkeypatch):
     store, paths, original = TableStore(spark, tmp_root), [], DataFrameWriter.parquet
     monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path, *a, **k: paths.append(path) or original(w, path, *a, **k))
     data = spark.range(100).selectExpr("id AS k", "'v' AS v")
-    store.upsert("t", data, ["k"], 4)
-    store.publish("p", data)
-    assert paths == [f"{tmp_root}/_staged/t", f"{tmp_root}/_staged/p"]
-    assert rows(store.read("t")) == rows(store.read("p")) == rows(data)
+    store.upsert("t", data, ["k"], 4, move=True)
+    assert paths == [f"{tmp_root}/_staged/t"]
+    assert rows(store.read("t")) == rows(data)
     assert store.partition_column("t") == "__bucket_of_4" and os.listdir(f"{tmp_root}/_staged") == []
-    # a folder that the catalog does not know is not taken for a new table
-    spark.sql(f"DROP TABLE {store.name('p')}")
-    store.publish("p", data.filter("k < 3"))
-    assert store.read("p").count() == 3
+    # a folder that the catalog does not know is no new table
+    spark.sql(f"DROP TABLE {store.name('t')}")
+    store.upsert("t", spark.createDataFrame([(5, "w")], "k long, v string"), ["k"], 4, move=True)
+    assert store.read("t").count() == 100 and store.read("t").filter("v = 'w'").count() == 1
 
 
 class Crash(Exception):
     pass
 
 
-@pytest.mark.parametrize("at", ["_place", "_create"])
+@pytest.mark.parametrize("at", ["_move", "_create"])
 def test_crash_in_the_first_write(spark, tmp_root, monkeypatch, at):
     """Before the staged folder is renamed, and after that, before the catalog knows the table."""
     def crash(*args):
@@ -48,7 +47,7 @@ def test_crash_in_the_first_write(spark, tmp_root, monkeypatch, at):
     with monkeypatch.context() as m:
         m.setattr(TableStore, at, crash)
         with pytest.raises(Crash):
-            TableStore(spark, tmp_root).upsert("t", data, ["k"], 4)
+            TableStore(spark, tmp_root).upsert("t", data, ["k"], 4, move=True)
     again = TableStore(spark, tmp_root)
     assert rows(again.read("t")) == rows(data)
     again.upsert("t", spark.createDataFrame([(5, "w"), (100, "w")], "k long, v string"), ["k"], 4)
